@@ -1,0 +1,62 @@
+"""The word lists behind the keyword features.
+
+They decide which flag a text gets, so they are stated as they are.
+"""
+
+# --- units, one flag each -------------------------------------------------
+UNITS_FAST = ["oz", "ounce", "lb", "pound", "count", "pack", "ml", "liter"]
+UNITS_BASE = ["oz", "ounce", "lb", "pound", "kg", "gram", "ml", "liter", "count", "pack"]
+
+# --- unit groups ----------------------------------------------------------
+WEIGHT = ["oz", "ounce", "lb", "pound", "kg", "gram", "g"]
+VOLUME = ["ml", "liter", "l", "fl oz", "gallon"]
+VOLUME_OPT = VOLUME + ["quart"]
+COUNT = ["count", "pack", "piece", "ct", "pcs"]
+COUNT_BOX = COUNT + ["box"]
+SIZE = ["inch", "cm", "mm", "ft"]
+SIZE_OPT = SIZE + ["meter"]
+
+# --- quality --------------------------------------------------------------
+PREMIUM = ["premium", "gourmet", "luxury", "deluxe", "professional"]
+NATURAL = ["organic", "natural", "pure", "fresh", "raw"]
+BRAND = ["brand", "authentic", "original", "genuine"]
+QUALITY = ["quality", "grade", "finest", "best", "top"]
+QUALITY_FLAGS_FAST = ["premium", "organic", "natural", "gourmet", "fresh"]
+BRAND_FLAGS_BASE = ["brand", "premium", "organic", "natural", "gourmet"]
+QUALITY_SCORE = ["premium", "organic", "natural", "gourmet", "fresh", "luxury"]
+BRAND_WORDS = ["premium", "luxury", "professional", "authentic", "original", "genuine"]
+
+# --- categories -----------------------------------------------------------
+FOOD_COMPACT = ["food", "snack", "candy", "chocolate", "sauce"]
+FOOD_FAST = FOOD_COMPACT + ["spice"]
+FOOD_BASE = FOOD_FAST + ["oil"]
+FOOD = FOOD_BASE + ["drink"]
+FOOD_OPT = FOOD + ["beverage"]
+BEAUTY_BASE = ["cosmetic", "beauty", "lip", "skin", "hair"]
+BEAUTY = BEAUTY_BASE + ["makeup", "lotion"]
+BEAUTY_OPT = BEAUTY + ["cream"]
+BEAUTY_FAST = ["cosmetic", "beauty", "lip", "lotion", "cream"]
+CLEANING = ["cleaning", "detergent", "soap", "wash", "cleaner"]
+HEALTH_COMPACT = ["vitamin", "supplement", "medicine"]
+HEALTH = HEALTH_COMPACT + ["health"]
+HEALTH_OPT = HEALTH + ["wellness"]
+ELECTRONICS = ["electronic", "digital", "battery", "charger"]
+ELECTRONICS_OPT = ELECTRONICS + ["device"]
+
+# --- exclusive category label, first match wins ---------------------------
+LABEL_FOOD = ["food", "snack", "candy", "sauce", "spice"]
+LABEL_BEAUTY = ["cosmetic", "beauty", "lip", "lotion"]
+LABEL_CLEANING = ["cleaning", "dish", "soap"]
+
+# --- price words ----------------------------------------------------------
+PRICE_WORDS = ["cheap", "expensive", "affordable", "budget", "value", "deal", "sale"]
+PRICE_WORDS_OPT = PRICE_WORDS + ["discount"]
+
+# --- patterns -------------------------------------------------------------
+PRICE_PATTERNS = {
+    "dollar_sign": r"\$[0-9]+\.?[0-9]*",
+    "dollar_word": r"[0-9]+\.[0-9]+\s*dollars?",
+    "worth": r"worth\s*\$?[0-9]+",
+}
+SIZE_PATTERN = r"([0-9]+\.?[0-9]*)\s*(oz|ounce|lb|pound|kg|gram|ml|liter)"
+PACK_PATTERN = r"([0-9]+)\s*(pack|count|piece|ct)"
