@@ -56,19 +56,22 @@ def tokens(cleaned: Column, stop_words: Sequence[str] = ()) -> Column:
 
 
 def ngrams(toks: Column, low: int, high: int) -> Column:
-    """All runs of ``low`` to ``high`` tokens, joined by one blank."""
-    def runs(n: int) -> Column:
-        if n == 1:
-            return toks
-        last = F.size(toks) - n
-        grams = F.transform(
-            F.sequence(F.lit(0), last),
-            lambda i: F.concat_ws(" ", *[F.get(toks, i + j) for j in range(n)]),
-        )
-        return F.when(last >= 0, grams).otherwise(F.array().cast("array<string>"))
-
-    sizes = range(low, high + 1)
-    return F.concat(*[runs(n) for n in sizes]) if len(sizes) > 1 else runs(low)
+    """All runs of ``low`` to ``high`` tokens, joined by one blank.
+
+    Runs of n are made from runs of n - 1 and the tokens after them. Lambdas
+    see single strings only, never the array: should a filter be pushed through
+    the projection that makes ``toks``, its work is repeated, not multiplied.
+    """
+    size = F.size(toks)
+    grams = [toks]
+    for n in range(2, high + 1):
+        left = F.greatest(size - (n - 1), F.lit(0))
+        grams.append(F.zip_with(
+            F.slice(grams[-1], F.lit(1), left), F.slice(toks, F.lit(n), left),
+            lambda a, b: F.concat_ws(" ", a, b),
+        ))
+    wanted = grams[low - 1:]
+    return F.concat(*wanted) if len(wanted) > 1 else wanted[0]
 
 
 def with_terms(
