@@ -1,0 +1,264 @@
+"""Models, cross-validation, tuning, stacking, whole plans and saved bundles."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from checks.registry import catalog, query, r6, rounded, s6, table, with_tables
+from checks.text_queries import ENHANCED, tfidf_ctes
+from tagwright.operators import metrics as me
+from tagwright.operators import scaling as sc
+from tagwright.operators import tfidf as tv
+from tagwright.operators.ensemble import to_long
+from tagwright.operators.splits import contiguous_folds, shuffled_folds
+from tagwright.operators.text_features import feature_names, text_features
+from tagwright.plans import bundle, models as mo, training as tr
+from tagwright.plans.presets import PLANS
+from tagwright.streaming import score as st
+from tagwright.workspace import scratch_path
+
+# small models keep the checks short; the plans hold the full-size ones
+SMALL = {
+    "rf": lambda: mo.random_forest(8, 5),
+    "et": lambda: mo.extra_trees(8, 5),
+    "xgb": lambda: mo.boosting(8, 4, 0.3),
+    "ridge": lambda: mo.ridge(1.0),
+}
+
+
+def _vectors(spark, sf_dir, preset="compact"):
+    """``sample_id, label, features`` with robustly scaled text features."""
+    rows = text_features(catalog(spark, sf_dir), preset, keep=("sample_id", "price"))
+    names = feature_names(preset)
+    ready = sc.apply_scales(rows, sc.fit_robust(rows, names)).withColumn("label", F.col("price"))
+    return sc.assemble(ready, names, ["sample_id", "label"])
+
+
+# ------------------------------------------------- linear models, closed form
+_XY = with_tables("catalog", xy=(
+    "SELECT sample_id, price AS y, CAST(length(catalog_content) AS DOUBLE) AS x1, CAST(sample_id % 13 AS DOUBLE) AS x2 FROM catalog"
+))
+
+
+def _xy(spark, sf_dir, names):
+    rows = catalog(spark, sf_dir).select(
+        "sample_id", F.col("price").alias("label"),
+        F.length("catalog_content").cast("double").alias("x1"),
+        (F.col("sample_id") % 13).cast("double").alias("x2"),
+    )
+    return sc.assemble(rows, names, ["sample_id", "label"])
+
+
+@query("ridge_M5", _XY + f"""
+, m AS (SELECT var_pop(x1) * count(*) + 1 AS a, covar_pop(x1, x2) * count(*) AS b, var_pop(x2) * count(*) + 1 AS d,
+  covar_pop(x1, y) * count(*) AS e, covar_pop(x2, y) * count(*) AS f, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM xy),
+w AS (SELECT (d * e - b * f) / (a * d - b * b) AS w1, (a * f - b * e) / (a * d - b * b) AS w2, m1, m2, my FROM m)
+SELECT sample_id, {s6('my + w1 * (x1 - m1) + w2 * (x2 - m2)')} AS prediction FROM xy, w""")
+def ridge(spark, sf_dir):
+    rows = _xy(spark, sf_dir, ["x1", "x2"])
+    return rounded(mo.ridge(1.0).fit(rows).transform(rows).select("sample_id", "prediction"))
+
+
+@query("elastic_net_M6", _XY + f"""
+, m AS (SELECT covar_pop(x1, y) AS c, var_pop(x1) AS v, avg(x1) AS m1, avg(y) AS my FROM xy),
+w AS (SELECT sign(c) * greatest(abs(c) - 0.1 * 0.5, 0) / (v + 0.1 * 0.5) AS w1, m1, my FROM m)
+SELECT sample_id, {s6('my + w1 * (x1 - m1)', 4)} AS prediction FROM xy, w""")
+def elastic_net(spark, sf_dir):
+    rows = _xy(spark, sf_dir, ["x1"])
+    return rounded(mo.elastic_net(0.1, 0.5).fit(rows).transform(rows).select("sample_id", "prediction"), 4)
+
+
+# -------------------------------------------------------------------- trees
+def _add_model(name: str, make) -> None:
+    @query(name)
+    def run(spark, sf_dir):
+        rows = _vectors(spark, sf_dir)
+        return rounded(make().fit(rows).transform(rows).select("sample_id", "label", "prediction"))
+
+
+_add_model("random_forest_M1", SMALL["rf"])
+_add_model("extra_trees_M2", SMALL["et"])
+_add_model("boosting_M3", SMALL["xgb"])
+_add_model("leafwise_boosting_M4", lambda: mo.leafwise_boosting(8, 0.3, 0.8, 0.8))
+
+
+@query("failing_member_M8")
+def failing_member(spark, sf_dir):
+    """One member cannot be fitted: it is reported, the others stay."""
+    members = {"ridge": SMALL["ridge"], "broken": lambda: mo.random_forest(5, 5, subset="none")}
+    _, status = tr.fit_members(_vectors(spark, sf_dir), members, None)
+    return spark.createDataFrame(status, tr.STATUS_SCHEMA).select("model", "fitted")
+
+
+@query("cross_validation_C1")
+def cross_validation(spark, sf_dir):
+    """MAE and twice its deviation over three contiguous folds, per model."""
+    folded = contiguous_folds(_vectors(spark, sf_dir), 3)
+    members = {k: SMALL[k] for k in ("rf", "ridge")}
+    _, status = tr.fit_members(folded, members, 3)
+    return rounded(spark.createDataFrame(status, tr.STATUS_SCHEMA))
+
+
+# ridge on one feature has a closed form per fold, so its scores can be checked
+_CV = _XY + """
+, ix AS (SELECT *, row_number() OVER (ORDER BY sample_id) - 1 AS i, count(*) OVER () AS n FROM xy),
+fo AS (SELECT *, CASE WHEN i < (n % 3) * (n // 3 + 1) THEN i // (n // 3 + 1) ELSE (i - (n % 3) * (n // 3 + 1)) // (n // 3) + n % 3 END AS fold FROM ix),
+tr AS (SELECT k, t.* FROM (SELECT unnest(range(3)) AS k) JOIN fo t ON t.fold <> k),
+w AS (SELECT k, covar_pop(x1, y) * count(*) / (var_pop(x1) * count(*) + 1) AS w1, avg(x1) AS m1, avg(y) AS my FROM tr GROUP BY k),
+sc AS (SELECT k, avg(abs(my + w1 * (x1 - m1) - y)) AS mae FROM fo JOIN w ON fo.fold = w.k GROUP BY k)
+"""
+
+
+@query("ridge_cross_validation_C1", _CV + f"SELECT {s6('avg(mae)', 4)} AS mae, {s6('2 * stddev_pop(mae)', 4)} AS mae_spread FROM sc")
+def ridge_cross_validation(spark, sf_dir):
+    folded = contiguous_folds(_xy(spark, sf_dir, ["x1"]), 3)
+    _, status = tr.fit_members(folded, {"ridge": SMALL["ridge"]}, 3)
+    return rounded(spark.createDataFrame(status, tr.STATUS_SCHEMA).select("mae", "mae_spread"), 4)
+
+
+@query("grid_search_C4")
+def grid_search(spark, sf_dir):
+    """MAE of every grid point; ``best`` marks the one that is kept."""
+    folded = contiguous_folds(_vectors(spark, sf_dir), 3)
+    _, best, scores = tr.tune(mo.random_forest(5, 3), folded, {"numTrees": [4, 8], "maxDepth": [3, 5]})
+    rows = [(s["numTrees"], s["maxDepth"], s["mae"], int(all(s[k] == v for k, v in best.items()))) for s in scores]
+    return rounded(spark.createDataFrame(rows, "trees long, depth long, mae double, best long"))
+
+
+@query("stacking_E5")
+def stacking(spark, sf_dir):
+    """Out-of-fold predictions of each member and the blend over them."""
+    rows = _vectors(spark, sf_dir)
+    stack = tr.fit_stack(rows, {k: SMALL[k] for k in ("rf", "xgb")}, k=5)
+    blended = stack.predict(rows).withColumnRenamed("price", "prediction")
+    return rounded(stack.out_of_fold.join(blended, "sample_id"))
+
+
+# ------------------------------------------------ selection and importance
+@query("select_features_L1")
+def select_features(spark, sf_dir):
+    """The five text features with the highest regression score."""
+    rows = _vectors(spark, sf_dir, "enhanced")
+    chosen = sc.fit_selector(rows, 5)
+    names = feature_names("enhanced")
+    return spark.createDataFrame([(i, names[i]) for i in chosen.selectedFeatures], "position long, feature string")
+
+
+@query("feature_importance_L2")
+def feature_importance(spark, sf_dir):
+    model = SMALL["rf"]().fit(_vectors(spark, sf_dir))
+    return rounded(sc.importance_table(table(spark, sf_dir, "part"), model, feature_names("compact")))
+
+
+@query("assembled_vectors_L3", with_tables("catalog") + """
+SELECT sample_id, CAST(3 AS BIGINT) AS width, CAST(length(catalog_content) AS DOUBLE) + 0.0 AS f0,
+  CAST(sample_id % 13 AS DOUBLE) + 0.0 AS f1, round(price, 6) + 0.0 AS f2 FROM catalog""")
+def assembled_vectors(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    rows = catalog(spark, sf_dir).select(
+        "sample_id", F.length("catalog_content").cast("double").alias("a"),
+        (F.col("sample_id") % 13).cast("double").alias("b"), "price",
+    )
+    v = sc.assemble(rows, ["a", "b", "price"], ["sample_id"]).withColumn("v", vector_to_array("features"))
+    return v.select(
+        "sample_id", F.size("v").cast("long").alias("width"),
+        *[r6(F.get("v", F.lit(i))).alias(f"f{i}") for i in range(3)],
+    )
+
+
+@query("robust_scale_tfidf_Z1", with_tables("catalog", **tfidf_ctes("catalog", "sample_id", "catalog_content", ENHANCED)) + f"""
+, full_grid AS (SELECT v.idx, coalesce(w.weight, 0) AS weight FROM catalog c CROSS JOIN vocab v
+  LEFT JOIN weights w ON w.id = c.sample_id AND w.idx = v.idx),
+q AS (SELECT idx, quantile_cont(weight, 0.5) AS m, quantile_cont(weight, 0.75) - quantile_cont(weight, 0.25) AS s FROM full_grid GROUP BY idx)
+SELECT CAST(idx AS BIGINT) AS idx, {s6('m')} AS centre, {s6('CASE WHEN s = 0 THEN 1 ELSE s END')} AS width FROM q""")
+def robust_scale_tfidf(spark, sf_dir):
+    """Centre and width of every TF-IDF column, found without filling them up."""
+    rows = catalog(spark, sf_dir)
+    vocabulary = tv.fit_vocabulary(rows, ENHANCED)
+    vectors = tv.tfidf_vectors(rows, vocabulary)
+    scale = sc.fit_robust_vector(vectors, "tfidf", len(vocabulary))
+    centres = dict(scale.centred)
+    table_ = [(i, float(centres.get(i, 0.0)), float(w)) for i, w in enumerate(scale.widths)]
+    return rounded(spark.createDataFrame(table_, "idx long, centre double, width double"))
+
+
+@query("standard_scale_tfidf_Z2", with_tables("catalog", **tfidf_ctes("catalog", "sample_id", "catalog_content", ENHANCED)) + f"""
+, n AS (SELECT count(*) AS n FROM catalog),
+q AS (SELECT idx, sqrt(greatest(sum(weight * weight) / any_value(n) - pow(sum(weight) / any_value(n), 2), 0)) AS s FROM weights, n GROUP BY idx)
+SELECT CAST(idx AS BIGINT) AS idx, {s6('CASE WHEN s = 0 THEN 1 ELSE s END')} AS width FROM q""")
+def standard_scale_tfidf(spark, sf_dir):
+    rows = catalog(spark, sf_dir)
+    vocabulary = tv.fit_vocabulary(rows, ENHANCED)
+    scale = sc.fit_standard_vector(tv.tfidf_vectors(rows, vocabulary), "tfidf", len(vocabulary))
+    return rounded(spark.createDataFrame(list(enumerate(scale.widths)), "idx long, width double"))
+
+
+# -------------------------------------------------------------- whole plans
+def _add_plan(name: str, plan: str, members: dict) -> None:
+    @query(name)
+    def run(spark, sf_dir):
+        """Fit on four fifths, predict the rest, compare with known prices."""
+        split = shuffled_folds(catalog(spark, sf_dir), 5)
+        fitted = tr.train(split.where("fold <> 0").drop("fold"), plan, members=members, folds=None)
+        held = split.where("fold = 0").drop("fold").withColumnRenamed("price", "actual")
+        return rounded(fitted.predict(held, ["sample_id", "actual"]))
+
+
+_WITHOUT_ET = {**{k: SMALL[k] for k in ("rf", "xgb", "ridge")}, "gb": lambda: mo.boosting(6, 4, 0.3, seed=43)}
+_add_plan("fit_predict_base", "base", _WITHOUT_ET)
+_add_plan("fit_predict_fast", "fast", SMALL)
+_add_plan("fit_predict_enhanced", "enhanced", SMALL)
+_add_plan("fit_predict_enhanced_opt", "enhanced_opt", {**SMALL, "en": lambda: mo.elastic_net()})
+
+
+@query("member_errors_compact_Q5")
+def member_errors_compact(spark, sf_dir):
+    """In-sample and hold-out errors of every member of a plan."""
+    split = shuffled_folds(catalog(spark, sf_dir), 5).withColumn("set", F.when(F.col("fold") == 0, "held out").otherwise("seen"))
+    fitted = tr.train(split.where("fold <> 0").drop("fold", "set"), "compact", members=SMALL, folds=None)
+    wide = fitted.member_predictions(split, ["sample_id", "price", "set"])
+    parts = []
+    for which in ("seen", "held out"):
+        rows = wide.where(F.col("set") == which)
+        long = to_long(rows, list(fitted.models))
+        parts.append(me.score_against(long, rows).withColumn("set", F.lit(which)))
+    return rounded(reduce(lambda a, b: a.unionByName(b), parts))
+
+
+@query("saved_bundle_S9_S10")
+def saved_bundle(spark, sf_dir):
+    """Predictions of a plan and of the same plan saved and loaded again."""
+    rows = catalog(spark, sf_dir)
+    fitted = tr.train(rows, PLANS["fast"], members={k: SMALL[k] for k in ("rf", "ridge")}, folds=None)
+    path = scratch_path(spark, "bundle")
+    bundle.save(spark, fitted, path)
+    again = bundle.load(spark, path)
+    before = fitted.predict(rows).withColumnRenamed("price", "fitted")
+    return rounded(before.join(again.predict(rows).withColumnRenamed("price", "loaded"), "sample_id"))
+
+
+@query("image_plan_J4")
+def image_plan(spark, sf_dir):
+    """A plan that also reads an image vector per row."""
+    from checks.registry import image_vectors
+    from tagwright.operators.joins import attach_vectors
+
+    vectors = image_vectors(spark, sf_dir)
+    width = vectors.select(F.size("embedding").alias("n")).first()["n"]
+    rows = attach_vectors(catalog(spark, sf_dir), vectors, width)
+    fitted = tr.train(rows, "base", members={**_WITHOUT_ET}, folds=None, image=("embedding", width))
+    return rounded(fitted.predict(rows))
+
+
+@query("streamed_scores")
+def streamed_scores(spark, sf_dir):
+    """Catalog files scored as a stream, read back from the sink."""
+    rows = catalog(spark, sf_dir)
+    fitted = tr.train(rows, "fast", members={"ridge": SMALL["ridge"]}, folds=None)
+    inbox, out, mark = (scratch_path(spark, n) for n in ("inbox", "scores", "mark"))
+    rows.select("sample_id", "catalog_content", "image_link").write.parquet(inbox)
+    st.score_stream(fitted, st.catalog_stream(spark, inbox), out, mark, once=True).awaitTermination()
+    return rounded(spark.read.parquet(out))

@@ -63,16 +63,23 @@ def with_category(df: DataFrame, text: str = "catalog_content") -> DataFrame:
     return low.withColumn("category", tx.category_label(F.col("_low"))).drop("_low")
 
 
+def pearson(x: str, y: str) -> Column:
+    """Correlation over rows that have both; null, not an error, without spread."""
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.agg(F.corr(x, y).alias("correlation"))
+    return df.agg(pearson(x, y).alias("correlation"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``left, right, correlation`` for every ordered pair, from one aggregate."""
     pairs = list(combinations(columns, 2))
     row = df.agg(
-        *[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}~{b}") for a, b in pairs],
-        *[F.corr(F.col(a).cast("double"), F.col(a).cast("double")).alias(f"{a}~{a}") for a in columns],
+        *[pearson(a, b).alias(f"{a}~{b}") for a, b in pairs],
+        *[pearson(a, a).alias(f"{a}~{a}") for a in columns],
     )
     cells = [(a, b, f"{a}~{b}") for a, b in pairs] + [(b, a, f"{a}~{b}") for a, b in pairs]
     cells += [(a, a, f"{a}~{a}") for a in columns]
@@ -87,8 +94,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def correlations_with(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """Correlation of each column with the target, highest first."""
-    t = F.col(target).cast("double")
-    row = df.agg(*[F.corr(F.col(c).cast("double"), t).alias(c) for c in columns])
+    row = df.agg(*[pearson(c, target).alias(c) for c in columns])
     table = {c: {"correlation": F.col(f"`{c}`")} for c in columns}
     return _unpivot(row, table, "column").orderBy(F.desc("correlation"), "column")
 

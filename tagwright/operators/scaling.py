@@ -21,7 +21,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.operators.profile import _unpivot
+from tagwright.operators.profile import _unpivot, pearson
 from tagwright.operators.quantiles import DIRECT_ROWS, exact_quantiles
 
 _COLUMNS_PER_JOB = 100
@@ -169,10 +169,7 @@ def assemble(df: DataFrame, columns: Sequence[str], keep: Sequence[str], output:
 # --------------------------------------------------- scores and importance
 def f_scores(df: DataFrame, columns: Sequence[str], target: str = "price") -> DataFrame:
     """Univariate regression score ``r^2 / (1 - r^2) * (n - 2)``, highest first."""
-    t = F.col(target).cast("double")
-    row = df.agg(
-        F.count(t).alias("_n"), *[F.corr(F.col(c).cast("double"), t).alias(c) for c in columns]
-    )
+    row = df.agg(F.count(target).alias("_n"), *[pearson(c, target).alias(c) for c in columns])
 
     def score(c: str) -> Column:
         r2 = F.col(f"`{c}`") * F.col(f"`{c}`")

@@ -63,11 +63,10 @@ def stratified_folds(
         "strata",
     )
     starts = order.groupBy("bin").agg(F.min("row_index").alias("_start"))
-    return df.join(
-        order.join(F.broadcast(starts), F.col("bin").eqNullSafe(starts["bin"]))
-        .select(key, order["bin"], ((F.col("row_index") - F.col("_start")) % k).alias("fold")),
-        key,
-    )
+    starts = starts.withColumnRenamed("bin", "_bin")
+    dealt = order.join(F.broadcast(starts), F.col("bin").eqNullSafe(F.col("_bin")))
+    fold = (F.col("row_index") - F.col("_start")) % k
+    return df.join(dealt.select(key, "bin", fold.alias("fold")), key)
 
 
 def contiguous_fold(index: Column, rows: int, k: int) -> Column:

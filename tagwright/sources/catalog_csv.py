@@ -15,9 +15,9 @@ LABELLED = T.StructType([_ID, _TEXT, _LINK, _PRICE])
 UNLABELLED = T.StructType([_ID, _TEXT, _LINK])
 ANSWERS = T.StructType([_ID, _PRICE])
 
-# descriptions hold line breaks and doubled quotes; an empty cell is a null
+# descriptions hold line breaks and doubled quotes; an empty cell is a null,
+# quoted or not
 _FORMAT = {"header": "true", "quote": '"', "escape": '"'}
-# keep blanks, and write a null as an empty cell but an empty text as ""
 _READ = {
     **_FORMAT, "multiLine": "true", "mode": "FAILFAST", "enforceSchema": "false",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
