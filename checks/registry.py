@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagwright.workspace import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -24,8 +26,13 @@ def query(name: str, sql: str | None = None):
 
 
 # ------------------------------------------------------------ input tables
+#: tables whose texts are worked on; small ones are spread over all cores first
+_TEXT_KEYS = {"documents": "doc_id", "part": "p_partkey"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, _TEXT_KEYS[name]) if name in _TEXT_KEYS else df
 
 
 CATALOG_SELECT = """

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 2_000_000
+DIRECT_ROWS = 1_000_000
 INSIDE_VALUES = 500_000  # 4 MB of doubles in one task
 _SKETCH = 10_000
 _SERIES_PER_JOB = 24

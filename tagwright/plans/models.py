@@ -15,7 +15,7 @@ SEED = 42
 #: most features the exact linear solver takes
 NORMAL_LIMIT = 4096
 #: histogram memory per pass: fewer passes over the data for wide, deep forests
-_TREE_MEMORY_MB = 1024
+_TREE_MEMORY_MB = 512
 
 
 def random_forest(

@@ -208,8 +208,7 @@ def train(
     check_not_empty(training=df)
     fitted, table = fit_features(df, plan, image)
     if folds or tuning:
-        table = contiguous_folds(table, folds or 3, KEY)
-    table = materialize(table, "training")
+        table = materialize(contiguous_folds(table, folds or 3, KEY), "training")
     models, status = fit_members(table, members or plan.members, folds)
     best = {}
     for name, grid in (tuning or {}).items():

@@ -48,3 +48,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; for frames holding ML vectors."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: rows up to which :func:`spread` moves a table
+SPREAD_ROWS = 2_000_000
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a small file over all cores before heavy work per row.
+
+    A file with one row group is read by one task. Tables in many files or
+    with many rows come back as they are, without a shuffle.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= tasks or df.count() > SPREAD_ROWS:
+        return df
+    return df.repartition(tasks, key)
