@@ -9,7 +9,7 @@ as a broadcast. Vectors for models are made row by row without any shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -44,7 +44,12 @@ class TfidfSettings:
     max_df: float | None = 0.95
     sublinear: bool = True
     cleaner: str = "ascii"
-    stop_words: tuple[str, ...] = field(default_factory=lambda: tuple(english_stop_words()))
+    #: None means the English list that comes with Spark
+    stop_words: tuple[str, ...] | None = None
+
+    @property
+    def stop_list(self) -> list[str]:
+        return english_stop_words() if self.stop_words is None else list(self.stop_words)
 
 
 # ------------------------------------------------------------------- terms
@@ -79,7 +84,7 @@ def with_terms(
 ) -> DataFrame:
     """``keep`` columns and the array of a text's terms, repeats included."""
     cleaned = clean(tx.as_text(F.col(text)), settings.cleaner)
-    toks = df.select(*keep, tokens(cleaned, settings.stop_words).alias("_tokens"))
+    toks = df.select(*keep, tokens(cleaned, settings.stop_list).alias("_tokens"))
     return toks.select(*keep, ngrams(F.col("_tokens"), *settings.ngrams).alias(name))
 
 

@@ -27,7 +27,7 @@ def save(spark: SparkSession, fitted: FittedPlan, path: str) -> None:
         "overwrite").parquet(f"{path}/sparse_scales")
     about = {
         "plan": fitted.plan.name, "preset": f.preset, "rows": f.vocabulary.rows,
-        "tfidf": asdict(f.vocabulary.settings), "image": f.image, "models": list(fitted.models),
+        "tfidf": {**asdict(f.vocabulary.settings), "stop_words": f.vocabulary.settings.stop_list}, "image": f.image, "models": list(fitted.models),
         "status": fitted.status, "best_params": fitted.best_params, "feature_names": f.names,
     }
     spark.createDataFrame([(json.dumps(about),)], "about string").coalesce(1).write.mode(
