@@ -111,11 +111,17 @@ def write_predictions(spark, sf_dir):
 _REQUIRED = ["sample_id", "catalog_content", "image_link", "price", "brand"]
 
 
-@query("required_columns_S5",
-       "SELECT unnest(['sample_id', 'catalog_content', 'image_link', 'price', 'brand']) AS \"column\", "
-       "unnest([1::BIGINT, 1, 1, 1, 0]) AS present")
+def _filled(name: str) -> str:
+    return f"(SELECT CAST(count(*) FILTER (WHERE {name} IS NULL) AS BIGINT) FROM catalog_null)"
+
+
+@query("required_columns_S5", CATN + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({int(c != 'brand')} AS BIGINT) AS present, "
+    f"{_filled(c) if c != 'brand' else 'CAST(NULL AS BIGINT)'} AS nulls" for c in _REQUIRED))
 def required_columns(spark, sf_dir):
-    return cs.required_columns(catalog(spark, sf_dir), _REQUIRED)
+    """Are the columns there, and how many cells do they lack?"""
+    rows = catalog_null(spark, sf_dir)
+    return cs.required_columns(rows, _REQUIRED).join(pr.null_counts(rows), "column", "left")
 
 
 @query("preview_S6", CAT + f"SELECT sample_id, catalog_content, image_link, {s6('price')} AS price FROM catalog ORDER BY sample_id LIMIT 5")
@@ -123,10 +129,15 @@ def preview(spark, sf_dir):
     return rounded(cs.preview(catalog(spark, sf_dir)))
 
 
-@query("column_table_S6", "SELECT * FROM (VALUES (0::BIGINT, 'sample_id', 'bigint', 4::BIGINT), (1, 'catalog_content', 'string', 4), "
-       "(2, 'image_link', 'string', 4), (3, 'price', 'double', 4)) v(position, \"column\", type, width)")
+_TYPES = {"sample_id": "bigint", "catalog_content": "string", "image_link": "string", "price": "double"}
+
+
+@query("column_table_S6", CATN + " UNION ALL ".join(
+    f"SELECT CAST({i} AS BIGINT) AS position, '{c}' AS \"column\", '{t}' AS type, CAST(4 AS BIGINT) AS width, {_filled(c)} AS nulls"
+    for i, (c, t) in enumerate(_TYPES.items())))
 def column_table(spark, sf_dir):
-    return cs.column_table(catalog(spark, sf_dir))
+    rows = catalog_null(spark, sf_dir)
+    return cs.column_table(rows).join(pr.null_counts(rows), "column")
 
 
 @query("empty_input_S7")

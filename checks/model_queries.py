@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from checks.registry import catalog, query, r6, rounded, s6, table, with_tables
@@ -220,12 +218,16 @@ def member_errors_compact(spark, sf_dir):
     split = shuffled_folds(catalog(spark, sf_dir), 5).withColumn("set", F.when(F.col("fold") == 0, "held out").otherwise("seen"))
     fitted = tr.train(split.where("fold <> 0").drop("fold", "set"), "compact", members=SMALL, folds=None)
     wide = fitted.member_predictions(split, ["sample_id", "price", "set"])
-    parts = []
-    for which in ("seen", "held out"):
-        rows = wide.where(F.col("set") == which)
-        long = to_long(rows, list(fitted.models))
-        parts.append(me.score_against(long, rows).withColumn("set", F.lit(which)))
-    return rounded(reduce(lambda a, b: a.unionByName(b), parts))
+    long = to_long(wide, list(fitted.models), ["price", "set"])
+    both = long.withColumn("model", F.concat_ws(", ", "model", "set"))
+    return rounded(me.score(both))
+
+
+@query("honest_cross_validation_C1")
+def honest_cross_validation(spark, sf_dir):
+    """Errors per fold and member with features fitted inside the folds."""
+    members = {"ridge": SMALL["ridge"]}
+    return rounded(tr.honest_scores(catalog(spark, sf_dir), "fast", members=members))
 
 
 @query("saved_bundle_S9_S10")

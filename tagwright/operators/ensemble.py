@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,14 +80,14 @@ def performance_weights(scored: DataFrame, actual: str = "price") -> DataFrame:
     )
 
 
-def to_long(wide: DataFrame, members: list[str], key: str = "sample_id") -> DataFrame:
-    """One column per model to the long table."""
+def to_long(wide: DataFrame, members: list[str], keep: Sequence[str] = ("sample_id",)) -> DataFrame:
+    """``keep, model, prediction`` from one column ``prediction_<model>`` per model."""
     if not members:
         raise NoModelError("no models available for prediction")
     cells = [
         F.struct(F.lit(m).alias("model"), F.col(f"prediction_{m}").alias("prediction"))
         for m in members
     ]
-    return wide.select(key, F.explode(F.array(*cells)).alias("c")).select(
-        key, F.col("c.model").alias("model"), F.col("c.prediction").alias("prediction")
+    return wide.select(*keep, F.explode(F.array(*cells)).alias("c")).select(
+        *keep, F.col("c.model").alias("model"), F.col("c.prediction").alias("prediction")
     )

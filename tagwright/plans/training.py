@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.operators import scaling as sc
-from tagwright.operators.ensemble import NoModelError, pick_weights
+from tagwright.operators.ensemble import NoModelError, pick_weights, to_long
+from tagwright.operators.metrics import score
 from tagwright.operators.profile import drop_outliers
 from tagwright.operators.rows import clip
 from tagwright.operators.splits import contiguous_folds, shuffled_folds
@@ -148,6 +149,30 @@ def fit_members(
     return models, status
 
 
+def honest_scores(
+    df: DataFrame, plan: PricePlan | str, *, members: dict[str, MemberFactory] | None = None,
+    k: int = 3,
+) -> DataFrame:
+    """``fold, model`` and all metrics with everything fitted inside the folds.
+
+    The usual scores share vocabulary, fences and scales between folds; here
+    each fold's are fitted on the other rows only.
+    """
+    plan = PLANS[plan] if isinstance(plan, str) else plan
+    folded = materialize(contiguous_folds(df, k, KEY), "honest")
+    scores = []
+    for fold in range(k):
+        seen, held = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        features, table = fit_features(seen.drop("fold"), plan)
+        models = {n: make().fit(table) for n, make in (members or plan.members).items()}
+        wide = predict_members(models, features.vectors(held, [KEY, PRICE]), [KEY, PRICE])
+        scores.append(score(to_long(wide, list(models), [KEY, PRICE])).withColumn("fold", F.lit(fold)))
+    out = scores[0]
+    for more in scores[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 STATUS_SCHEMA = "model string, fitted long, mae double, mae_spread double, error string"
 
 

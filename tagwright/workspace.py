@@ -44,12 +44,6 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; for frames holding ML vectors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 #: rows up to which :func:`spread` moves a table
 SPREAD_ROWS = 2_000_000
 

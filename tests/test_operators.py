@@ -179,7 +179,17 @@ def test_checks(spark, catalog):
 
 
 def test_shared_folder_follows_the_session(spark):
-    assert workspace.scratch_path(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = workspace.shared_folder(spark)
+    assert folder == named if named else folder
+    assert workspace.scratch_path(spark, "x") != workspace.scratch_path(spark, "x")
+    assert spark.sparkContext.getCheckpointDir()
+
+
+def test_only_small_tables_are_spread(spark, sf_dir):
+    small = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert "Exchange" in plan_of(workspace.spread(small, "doc_id"))
+    assert "Exchange" not in plan_of(small)
 
 
 # ------------------------------------------------------------------- images
