@@ -194,5 +194,8 @@ def measures_table(
 ) -> DataFrame:
     """One row per measured size or pack count found: ``key, qty, unit``."""
     low = df.select(key, F.lower(tx.as_text(F.col(text))).alias(_LOW))
-    found = low.select(key, F.explode(tx.measures(F.col(_LOW), pattern)).alias("m"))
-    return found.select(key, F.col("m.qty").alias("qty"), F.col("m.unit").alias("unit"))
+    # explode would add a filter on the array below it and search every text twice
+    found = low.select(key, F.explode_outer(tx.measures(F.col(_LOW), pattern)).alias("m"))
+    return found.where(F.col("m").isNotNull()).select(
+        key, F.col("m.qty").alias("qty"), F.col("m.unit").alias("unit")
+    )

@@ -21,7 +21,7 @@ from tagwright.operators.tfidf import Vocabulary, fit_vocabulary, tfidf_vectors
 from tagwright.plans.models import mae_evaluator, ridge
 from tagwright.plans.presets import PLANS, MemberFactory, PricePlan
 from tagwright.sources.catalog_csv import check_not_empty
-from tagwright.workspace import materialize
+from tagwright.workspace import materialize, spread
 
 KEY, TEXT, PRICE = "sample_id", "catalog_content", "price"
 #: folds and grid points fitted at the same time
@@ -231,6 +231,7 @@ def train(
     """
     plan = PLANS[plan] if isinstance(plan, str) else plan
     check_not_empty(training=df)
+    df = spread(df, KEY)  # one small CSV file would be one task
     fitted, table = fit_features(df, plan, image)
     if folds or tuning:
         table = materialize(contiguous_folds(table, folds or 3, KEY), "training")
