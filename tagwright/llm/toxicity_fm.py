@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tagwright.llm.frames import crc_part, map_texts
 from tagwright.llm.quality_crf import labelled_sample
-from tagwright.llm.words import Words, chunks, lower, mix
+from tagwright.llm.words import Words, chunks, find, lower, mix
 
 #: letters, digits and all bytes of characters beyond ASCII make up a term
 _TERM_BYTES = np.zeros(256, bool)
@@ -70,14 +70,8 @@ class ToxicityModel:
         if not len(self.chosen):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         hashes, text = terms(texts)
-        mask = np.zeros(1 << 16, bool)
-        mask[self.chosen & np.uint64(0xFFFF)] = True
-        may = mask[hashes & np.uint64(0xFFFF)]
-        hashes, text = hashes[may], text[may]
-        at = np.searchsorted(self.chosen, hashes)
-        at[at == len(self.chosen)] = 0
-        hit = self.chosen[at] == hashes
-        pairs = np.unique(text[hit] * len(self.chosen) + at[hit])
+        at, term = find(self.chosen, hashes)
+        pairs = np.unique(text[at] * len(self.chosen) + term)
         return pairs // len(self.chosen), pairs % len(self.chosen)
 
     def scores(self, texts: list[bytes]) -> np.ndarray:

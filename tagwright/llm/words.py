@@ -128,6 +128,17 @@ def repeated(values: np.ndarray) -> np.ndarray:
     return twice[at] == values
 
 
+def find(wanted: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of ``values`` that are among the sorted ``wanted``, and where there."""
+    mask = np.zeros(1 << 16, bool)
+    mask[wanted & np.uint64(0xFFFF)] = True
+    at = np.flatnonzero(mask[values & np.uint64(0xFFFF)])
+    some = values[at]
+    place = np.minimum(np.searchsorted(wanted, some), len(wanted) - 1)
+    hit = wanted[place] == some
+    return at[hit], place[hit]
+
+
 def covered(marked: np.ndarray, n: int, size: int) -> np.ndarray:
     """Marks the ``n`` places inside a marked window of ``size`` places."""
     edge = np.zeros(n + 1, np.int32)
