@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.llm import bpe, line_rules, ngram_join, packing, pii, quality_crf, substring, top_k, toxicity_fm
+from tagwright.llm import (
+    bpe, line_rules, lm_scoring, ngram_join, packing, pii, quality_crf, substring, top_k, toxicity_fm,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_lm_scoring")
+def op1(spark, sf_dir):
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents"))
+
+
 _TOP_K_SQL = """
 WITH vectors AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS w FROM embeddings

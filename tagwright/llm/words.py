@@ -74,10 +74,14 @@ class Words:
         self.starts, self.ends = edges[0::2], edges[1::2]
         self.ptr = np.searchsorted(self.starts, self.text_start)
 
-    def hashes(self, length: int | None = None) -> np.ndarray:
-        """One value per word; with ``length``, of its first bytes only."""
+    def hashes(self, length: int | None = None, tail: bool = False) -> np.ndarray:
+        """One value per word; with ``length``, of its first bytes only, or of its last (``tail``)."""
         out = np.empty(len(self.starts), np.uint64)
-        ends = self.ends if length is None else np.minimum(self.ends, self.starts + length)
+        starts, ends = self.starts, self.ends
+        if length is not None and tail:
+            starts = np.maximum(starts, ends - length)
+        elif length is not None:
+            ends = np.minimum(ends, starts + length)
         i = 0
         while i < len(out):
             first = int(self.starts[i])
@@ -86,7 +90,7 @@ class Words:
             up, down = _powers(len(part) + 1)
             total = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(_BYTE_VALUE[part] * up[: len(part)], out=total[1:])
-            a, b = self.starts[i:j] - first, ends[i:j] - first
+            a, b = starts[i:j] - first, ends[i:j] - first
             out[i:j] = (total[b] - total[a]) * down[a]
             i = j
         return mix(out)
