@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tagwright.llm.automaton import SuffixAutomaton
 from tagwright.llm.blocks import by_range, deal, layout
-from tagwright.llm.words import Words, chunks, covered, find, per_text, window_starts, windows
+from tagwright.llm.words import Words, chunks, covered, find, per_text, run_hashes, window_starts, windows
 
 #: words in the runs that anchors are chosen from
 _RUN = 5
@@ -79,11 +79,9 @@ class _Passages:
         #: stretches: their first window and number of windows
         self.first = np.repeat(starts, pieces) + offset * _STRETCH
         self.count = np.minimum(np.repeat(starts + runs_of, pieces) - self.first, _STRETCH)
-        # hashes of all lengths from sums over the words
-        self.hash = np.zeros(len(self.first), np.uint64)
-        for n in np.unique(self.count):
-            of = self.count == n
-            self.hash[of] = windows(hashes, size + int(n) - 1)[self.at[self.first[of]]]
+        begin = self.at[self.first]
+        self.hash = run_hashes(hashes, begin, begin + size - 1 + self.count)
+        self.word_hashes = hashes
 
     def stretch(self, i: int) -> bytes:
         """The words of a stretch, joined by one space."""
@@ -92,7 +90,7 @@ class _Passages:
 
     def run(self, a: int, b: int) -> bytes:
         w = self.words
-        return b" ".join(w.data[w.starts[a] : w.ends[b - 1]].tobytes().split())
+        return b" ".join(w.bytes[w.starts[a] : w.ends[b - 1]].split())
 
 
 def _known(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
@@ -186,7 +184,7 @@ def _send(size: int, n_ranges: int, n_shards: int):
         keep[1:] = p.hash[least][1:] != p.hash[least][:-1]
         for i in least[keep].tolist():
             put(int(p.anchor[p.first[i]]), p.stretch(i), int(p.hash[i]), int(ids[p.text[p.first[i]]]))
-        single = windows(p.words.hashes(), size) if (of == 2).any() else None
+        single = windows(p.word_hashes, size) if (of == 2).any() else None
         for i in np.flatnonzero(of == 2).tolist():
             for j in range(p.first[i], p.first[i] + p.count[i]):
                 a = int(p.at[j])
@@ -256,7 +254,7 @@ def _cut(size: int, join_all: bool, schema: T.StructType):
                     elif owner is not None and first < owner:
                         marked[p.at[j : j + p.count[i]]] = True
             if len(single_tags):
-                for j, tag in zip(*(x.tolist() for x in find(single_tags, windows(p.words.hashes(), size)[p.at]))):
+                for j, tag in zip(*(x.tolist() for x in find(single_tags, windows(p.word_hashes, size)[p.at]))):
                     owner = ids[p.text[j]]
                     if owner is not None and singles[int(single_tags[tag])] < owner:
                         marked[p.at[j]] = True
@@ -273,7 +271,7 @@ def _cut(size: int, join_all: bool, schema: T.StructType):
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], stay, [False]])))
                 kept.append(b" ".join(
                     word for a, b in zip(edge[0::2] + ptr[t], edge[1::2] + ptr[t])
-                    for word in w.data[w.starts[a] : w.ends[b - 1]].tobytes().split()
+                    for word in w.bytes[w.starts[a] : w.ends[b - 1]].split()
                 ))
         arrow = to_arrow_schema(schema)
         made = {"n_words": n_words, "n_removed": n_removed, "kept": kept}
@@ -302,11 +300,11 @@ def mark_repeated(
     names[docs.columns.index(key)], names[docs.columns.index(text)] = "doc_id", "text"
     dealt = deal(docs.toDF(*names), plan.n_blocks)
     blocks = dealt.groupBy("block")
-    slim = dealt.select("block", F.col("doc_id").cast("long").alias("doc_id"), "text").groupBy("block")
-    answers = slim.applyInArrow(
+    # all three steps read the same blocks, so that the documents are dealt once
+    answers = blocks.applyInArrow(
         _ask(size, plan.n_ranges), "block int, range int, anchors binary, numbers binary"
     ).groupBy("range").applyInArrow(_answer, "block int, range int, states binary")
-    firsts = slim.cogroup(answers.groupBy("block")).applyInArrow(
+    firsts = blocks.cogroup(answers.groupBy("block")).applyInArrow(
         _send(size, plan.n_ranges, n_shards), "block int, shard int, single boolean, texts array<binary>, tags binary, owners array<long>"
     ).groupBy("shard").applyInArrow(_match(size), "block int, single boolean, tags binary, firsts array<long>, each array<array<long>>")
     schema = T.StructType([

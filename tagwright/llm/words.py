@@ -64,7 +64,8 @@ class Words:
     text ``i`` has the words ``ptr[i]`` to ``ptr[i + 1]``."""
 
     def __init__(self, texts: list[bytes], word_bytes: np.ndarray = WORD_BYTES):
-        self.data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+        self.bytes = b"\n".join([*texts, b""])
+        self.data = np.frombuffer(self.bytes, np.uint8)
         self.text_start = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) + 1 for t in texts], out=self.text_start[1:])
         inside = word_bytes[self.data]
@@ -103,14 +104,21 @@ class Words:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
 
+def run_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each run of values ``starts[i]`` to ``ends[i]``: of its values alone, wherever it stands."""
+    up, down = _powers(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[: len(hashes)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts])
+
+
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """The hash of each run of ``size`` values, at the place where it starts."""
     n = max(0, len(hashes) - size + 1)
-    total, factor = np.zeros(n, np.uint64), np.uint64(1)
-    for j in range(size):
-        total += hashes[j : j + n] * factor
-        factor = np.uint64(int(factor) * _STEP % (1 << 64))
-    return mix(total)
+    up, down = _powers(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[: len(hashes)], out=total[1:])
+    return mix((total[size : size + n] - total[:n]) * down[:n])
 
 
 def window_starts(ptr: np.ndarray, size: int) -> np.ndarray:
