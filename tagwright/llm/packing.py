@@ -27,15 +27,24 @@ from pyspark.sql import types as T
 
 from tagwright.llm.frames import map_texts
 
-#: encodings of words remembered by a task; when full it starts anew
-_REMEMBERED = 400_000
+#: encodings of words, and of stems, remembered by a worker; when full it starts anew
+_REMEMBERED = 800_000
+#: stems encoded in one call
+_CALL = 5_000
+
+
+def _simple(c: str) -> bool:
+    """A small Latin letter: no normalisation joins it with what follows."""
+    return c.isalpha() and c < "\u0250" and c.lower() == c
 
 
 class WordEncoder:
     """Ids by the ``tokenizers`` library, word by word.
 
-    For vocabularies that drop white space and never join across it; each
-    distinct word is encoded once.
+    For vocabularies that drop white space and case, cut words where letters
+    meet marks, and never join across white space. Each distinct word is looked
+    up once; it is cut into a stem and the full stops and commas at its end, so
+    that each distinct stem is encoded once.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -47,21 +56,64 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.end = np.array([end_id], "<u4").tobytes()
         self.known: dict[bytes, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+
+    def _encode_stems(self, stems: list[str]) -> None:
+        # letters alone are one piece each: many go in one call, cut by the numbers of the pieces
+        plain = [s for s in stems if s.isalpha()]
+        for at in range(0, len(plain), _CALL):
+            some = plain[at : at + _CALL]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, piece = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
+            bounds = np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(ids)).tolist()
+            if len(bounds) != len(some) + 1:
+                self._encode_each(some)
+                continue
+            self.stems.update((s, ids[a:b].tobytes()) for s, a, b in zip(some, bounds, bounds[1:]))
+        self._encode_each([s for s in stems if not s.isalpha()])
+
+    def _encode_each(self, stems: list[str]) -> None:
+        for at in range(0, len(stems), _CALL):
+            some = stems[at : at + _CALL]
+            found = self.tokenizer.encode_batch(some, add_special_tokens=False)
+            self.stems.update((s, np.array(e.ids, "<u4").tobytes()) for s, e in zip(some, found))
+
+    def _learn(self, words: list[bytes]) -> None:
+        if len(self.stems) > _REMEMBERED:
+            self.stems.clear()
+        cut = []
+        for word in words:
+            text = word.lower().decode()
+            stem = text.rstrip(".,")
+            if stem and not _simple(stem[-1]):
+                stem = text
+            cut.append((word, stem, text[len(stem):]))
+        needed = {s for _, stem, tail in cut for s in (stem, tail) if s}
+        stems = self.stems
+        stems[""] = b""
+        self._encode_stems([s for s in needed if s not in stems])
+        self.known.update((word, stems[stem] + stems[tail]) for word, stem, tail in cut)
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Each text's ids with the end id, as little-endian unsigned 32-bit integers."""
         known, split = self.known, [t.split() for t in texts]
         if len(known) > _REMEMBERED:
             known.clear()
-        new = list(set().union(*split) - known.keys())
-        for at in range(0, len(new), 10_000):
-            words = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, found))
+        self._learn([w for w in set().union(*split) if w not in known])
         for words in split:
             yield b"".join(map(known.__getitem__, words)) + self.end
 
 
+_LOADED: dict[tuple[str, int], WordEncoder] = {}
+
+
+def _load(path: str, end_id: int) -> WordEncoder:
+    """One encoder per Python worker."""
+    if (path, end_id) not in _LOADED:
+        _LOADED[path, end_id] = WordEncoder(path, end_id)
+    return _LOADED[path, end_id]
+
+
 class Room:
     """A tournament tree over the room left in sequences: the first with enough room wins."""
 
@@ -102,7 +154,7 @@ def pack(
     step = 4 * length
 
     def make():
-        encoder = WordEncoder(path, end_id)
+        encoder = _load(path, end_id)
 
         def run(texts):
             tokens, sums = [], []
