@@ -283,7 +283,7 @@ FROM catalog c LEFT JOIN image_vectors v ON string_split(c.image_link, '/')[-1]
 def attach_vectors(spark, sf_dir):
     vectors = image_vectors(spark, sf_dir)
     width = vectors.select(F.size("embedding").alias("n")).first()["n"]
-    joined = jo.attach_vectors(catalog(spark, sf_dir), vectors, width, hot_rows=1000)
+    joined = jo.attach_vectors(catalog(spark, sf_dir), vectors, width)
     v = F.col("embedding").cast("array<double>")
     return joined.select(
         "sample_id", F.exists(v, lambda x: x != 0).cast("long").alias("found"),
@@ -346,12 +346,6 @@ def describe_lineitem(spark, sf_dir):
     return rounded(pr.describe(table(spark, sf_dir, "lineitem"), _MONEY))
 
 
-@query("describe_by_rank_A1", " UNION ALL ".join(_describe_sql(c, "lineitem") for c in _MONEY))
-def describe_by_rank(spark, sf_dir):
-    """The path of tables too large for one task, forced."""
-    return rounded(pr.describe(table(spark, sf_dir, "lineitem"), _MONEY, direct_rows=0))
-
-
 @query("mean_by_category_A2", _LABELLED + f"SELECT category, {s6('avg(price)')} AS mean_price FROM lab GROUP BY category")
 def mean_by_category(spark, sf_dir):
     return rounded(pr.mean_by(pr.with_category(catalog(spark, sf_dir)), "category"))
@@ -476,9 +470,8 @@ def box_plot_by_category(spark, sf_dir):
 @query("box_plot_by_status_A15", _box_sql(
     "WITH lab AS (SELECT l_returnflag, l_extendedprice FROM lineitem)", "lab", "l_extendedprice", "l_returnflag"))
 def box_plot_by_status(spark, sf_dir):
-    """Groups above the direct limit are found by rank, the others directly."""
     rows = table(spark, sf_dir, "lineitem")
-    return rounded(pr.box_plot(rows, "l_extendedprice", "l_returnflag", direct_rows=20_000))
+    return rounded(pr.box_plot(rows, "l_extendedprice", "l_returnflag"))
 
 
 PREDICTIONS = with_tables("predictions")
@@ -540,8 +533,13 @@ def positional_split(spark, sf_dir):
     return sp.positional_split(catalog(spark, sf_dir)).select("sample_id", "split")
 
 
-@query("random_split_K2", CAT + f"""
-SELECT sample_id, CASE WHEN {_DRAW_NUMBER} < CAST(floor(0.2::DOUBLE * 268435456) AS BIGINT) THEN 'test' ELSE 'train' END AS split FROM catalog""")
+_DRAWN = with_tables(
+    "catalog", ix=f"SELECT *, row_number() OVER (ORDER BY {_DRAW}, sample_id) - 1 AS i, count(*) OVER () AS n FROM catalog"
+)
+
+
+@query("random_split_K2", _DRAWN + """
+SELECT sample_id, CASE WHEN i < CAST(ceil(0.2::DOUBLE * n) AS BIGINT) THEN 'test' ELSE 'train' END AS split FROM ix""")
 def random_split(spark, sf_dir):
     return sp.random_split(catalog(spark, sf_dir)).select("sample_id", "split")
 
@@ -586,7 +584,9 @@ def contiguous_folds(spark, sf_dir):
     return sp.contiguous_folds(catalog(spark, sf_dir)).select("sample_id", F.col("fold").cast("long").alias("fold"))
 
 
-@query("shuffled_folds_C2", CAT + f"SELECT sample_id, {_DRAW_NUMBER} % 5 AS fold FROM catalog")
+@query("shuffled_folds_C2", _DRAWN + """
+SELECT sample_id, CAST(CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1)
+  ELSE (i - (n % 5) * (n // 5 + 1)) // (n // 5) + n % 5 END AS BIGINT) AS fold FROM ix""")
 def shuffled_folds(spark, sf_dir):
     return sp.shuffled_folds(catalog(spark, sf_dir)).select("sample_id", F.col("fold").cast("long").alias("fold"))
 
@@ -820,18 +820,23 @@ _STATUS = (
 )
 
 
+def _size_of(content: bytes) -> tuple[int, int] | None:
+    """Width and height of the stand-in images."""
+    return (int.from_bytes(content[16:20], "big"), int.from_bytes(content[20:24], "big")) if content[:4] == b"\x89PNG" else None
+
+
 @query("image_guards_I3", f"WITH s AS ({_STATUS}) SELECT status, CAST(count(*) AS BIGINT) AS files FROM s GROUP BY status")
 def image_guards(spark, sf_dir):
-    done = im.embed_images(_headers(spark, sf_dir), lambda contents: [[1.0] * 4 for _ in contents], width=4)
+    done = im.embed_images(_headers(spark, sf_dir), lambda contents: [[1.0] * 4 for _ in contents], width=4, size_of=_size_of)
     return done.groupBy("status").agg(F.count(F.lit(1)).alias("files"))
 
 
 @query("image_embedding_I4", f"WITH s AS ({_STATUS}) SELECT file_name, CASE WHEN status = 'ok' THEN CAST(p_size + 10 AS DOUBLE) ELSE 0.0 END + 0.0 AS first, CAST(8 AS BIGINT) AS width FROM s")
 def image_embedding(spark, sf_dir):
     def embed(contents):
-        return [[float(im.image_size(c)[0])] * 8 for c in contents]
+        return [[float(_size_of(c)[0])] * 8 for c in contents]
 
-    done = im.embed_images(_headers(spark, sf_dir), embed, width=8)
+    done = im.embed_images(_headers(spark, sf_dir), embed, width=8, size_of=_size_of)
     return done.select(
         "file_name", (F.element_at("embedding", 1).cast("double") + 0.0).alias("first"),
         F.size("embedding").cast("long").alias("width"),

@@ -6,7 +6,6 @@ links and files over tasks, to batch them, and to keep a failure to its row.
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -14,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwright.functions.text import url_file_name
+from tagwright.operators.joins import attach_vectors, with_file_name
+from tagwright.workspace import materialize
 
 WIDTH = 2048
 MAX_BYTES = 10 * 1024 * 1024
@@ -79,24 +80,6 @@ def fetch(plan: DataFrame, get: Callable[[str], bytes]) -> DataFrame:
     )
 
 
-def image_size(content: bytes) -> tuple[int, int] | None:
-    """Width and height from a PNG, JPEG or GIF header; None for anything else."""
-    if content[:8] == b"\x89PNG\r\n\x1a\n" and len(content) >= 24:
-        return struct.unpack(">II", content[16:24])
-    if content[:3] == b"GIF" and len(content) >= 10:
-        return struct.unpack("<HH", content[6:10])
-    if content[:2] != b"\xff\xd8":
-        return None
-    at = 2
-    while at + 9 <= len(content):
-        marker, length = content[at + 1], struct.unpack(">H", content[at + 2:at + 4])[0]
-        if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
-            height, width = struct.unpack(">HH", content[at + 5:at + 9])
-            return width, height
-        at += 2 + length
-    return None
-
-
 def map_batches(
     df: DataFrame, column: str, infer: Callable[[Sequence], Sequence], schema: str, output: str,
     keep: Sequence[str], batch_size: int = 32,
@@ -122,26 +105,54 @@ def map_batches(
 def embed_images(
     files: DataFrame, embed: Callable[[list[bytes]], Sequence[Sequence[float]]],
     width: int = WIDTH, batch_size: int = 32, max_bytes: int = MAX_BYTES, min_side: int = MIN_SIDE,
-    check_size: Callable[[bytes], tuple[int, int] | None] = image_size,
+    size_of: Callable[[bytes], tuple[int, int] | None] | None = None,
 ) -> DataFrame:
     """``file_name, embedding, status``; zeros for files that are no usable image.
 
-    Too large files are set aside by their length before their bytes are read.
+    ``embed`` decodes and embeds, so it decides which formats there are.
+    ``size_of``, if given, tells width and height: images with a side below
+    ``min_side`` are ``small``, files it raises for or knows no size of
+    ``unreadable``. Too large files are set aside by their length before their
+    bytes are read. A batch that fails is done again file by file: only the
+    files that fail alone, or give a vector of another width, are ``failed``.
     """
-    def run_batch(contents: list[bytes]) -> list[tuple[list[float], str]]:
-        zeros = [0.0] * width
-        status = []
-        for c in contents:
-            size = check_size(c) if c else None
-            status.append(
-                "unreadable" if size is None else "small" if min(size) < min_side else "ok"
-            )
+    zeros = [0.0] * width
+
+    def guard(content: bytes | None) -> str:
+        if not content:
+            return "unreadable"
+        if size_of is None:
+            return "ok"
+        try:
+            size = size_of(content)
+        except Exception:  # not an image: a row, not a failed job
+            size = None
+        return "unreadable" if size is None else "small" if min(size) < min_side else "ok"
+
+    def vectors(contents: list[bytes]) -> list[list[float]]:
+        found = [[float(x) for x in v] for v in embed(contents)]
+        if len(found) != len(contents) or any(len(v) != width for v in found):
+            raise ValueError(f"expected {len(contents)} vectors of {width} values")
+        return found
+
+    def alone(content: bytes) -> list[float] | None:
+        try:
+            return vectors([content])[0]
+        except Exception:
+            return None
+
+    def run_batch(contents: list[bytes | None]) -> list[tuple[list[float], str]]:
+        status = [guard(c) for c in contents]
         good = [c for c, s in zip(contents, status) if s == "ok"]
         try:
-            vectors = iter(embed(good) if good else [])
-            return [(list(map(float, next(vectors))) if s == "ok" else zeros, s) for s in status]
-        except Exception:  # the batch falls back to zeros, the job goes on
-            return [(zeros, "failed" if s == "ok" else s) for s in status]
+            found = iter(vectors(good) if good else [])
+        except Exception:
+            found = iter([alone(c) for c in good])
+        out = []
+        for s in status:
+            v = next(found) if s == "ok" else None
+            out.append((v, s) if v is not None else (zeros, "failed" if s == "ok" else s))
+        return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -153,12 +164,29 @@ def embed_images(
                     "embedding": [v for v, _ in done], "status": [s for _, s in done],
                 })
 
-    fits = F.coalesce(F.col("length") <= max_bytes, F.lit(True))
-    done = files.where(fits).select("file_name", "content").mapInPandas(
+    # plain comparisons reach the scan; a file of unknown length is read
+    length = F.col("length")
+    fits = files.where(length <= max_bytes).unionByName(files.where(length.isNull()))
+    done = fits.select("file_name", "content").mapInPandas(
         run, "file_name string, embedding array<float>, status string"
     )
-    oversized = files.where(~fits).select(
+    oversized = files.where(length > max_bytes).select(
         "file_name", F.array_repeat(F.lit(0.0).cast("float"), width).alias("embedding"),
         F.lit("large").alias("status"),
     )
     return done.unionByName(oversized)
+
+
+def attach_images(
+    df: DataFrame, files: DataFrame, embed: Callable[[list[bytes]], Sequence[Sequence[float]]],
+    width: int = WIDTH, link: str = "image_link", **settings,
+) -> DataFrame:
+    """From links and image files to rows with a vector: embed, write, attach.
+
+    Only files that a link names are embedded, each once; rows without a
+    usable image get zeros. Train on the result with ``image=("embedding", width)``.
+    """
+    names = with_file_name(df.select(link), link).select("file_name").distinct()
+    wanted = files.join(names, "file_name", "left_semi").dropDuplicates(["file_name"])
+    vectors = materialize(embed_images(wanted, embed, width, **settings), "vectors")
+    return attach_vectors(df, vectors, width, link)

@@ -2,7 +2,7 @@
 
 Left sides may be lopsided: a third of the rows can share one file name, or
 have none. AQE may split such a partition, but a plan must not rest on it, so
-hot names are joined apart through a broadcast whose size is counted first.
+rows of a key with more than its share are dealt over several salts.
 """
 
 from __future__ import annotations
@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 
 from tagwright.functions.text import url_file_name
 
-#: rows of one join key beyond which the key is joined apart
-HOT_ROWS = 1_000_000
-#: most hot keys to broadcast (2,048 floats each are 16 MB in all)
-HOT_KEYS = 2_000
-
 
 def with_answers(df: DataFrame, answers: DataFrame, key: str = "sample_id") -> DataFrame:
     return df.join(answers, key, "inner")
@@ -60,34 +55,36 @@ def missing_file_count(df: DataFrame, files: DataFrame, link: str = "image_link"
     )
 
 
-def left_join_unique(
-    left: DataFrame, right: DataFrame, key: str,
-    hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS,
-) -> DataFrame:
+def left_join_unique(left: DataFrame, right: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """Left join to a table with one row per ``key``, whatever the left's skew.
 
-    Null keys match nothing and never enter the shuffle. Keys with more than
-    ``hot_rows`` rows, few by arithmetic, join through a broadcast of their
-    right rows; should there be more than ``hot_keys`` of them, the hottest
-    are taken and the others are left to the shuffle, which then is even.
+    Null keys match nothing and never enter the shuffle. A key with more than
+    one ``parts``-th of the rows (default: the session's shuffle partitions) is
+    dealt over as many salts as it holds such shares, by a hash of its rows,
+    and its right row is copied to each. There are fewer such keys than
+    ``parts``, so their table is small by arithmetic. One way at every size.
     """
+    parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     extra = [f for f in right.schema.fields if f.name != key]
     counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
-    hot = [
-        r[key] for r in counts.where(F.col("count") > hot_rows)
-        .orderBy(F.desc("count"), key).limit(hot_keys).collect()
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    shares = [
+        (r[key], -(-r["count"] * parts // total))
+        for r in counts.where(F.col("count") * parts > total).collect()
     ]
+    kind = left.schema[key].dataType.simpleString()
+    salts = F.broadcast(left.sparkSession.createDataFrame(shares, f"`{key}` {kind}, _salts long"))
     no_key = left.where(F.col(key).isNull()).select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
     )
-    keyed = left.where(F.col(key).isNotNull())
-    columns = [*left.columns, *[f.name for f in extra]]
-    if not hot:
-        return keyed.join(right, key, "left").select(*columns).unionByName(no_key)
-    is_hot = F.col(key).isin(hot)
-    apart = keyed.where(is_hot).join(F.broadcast(right.where(is_hot)), key, "left")
-    rest = keyed.where(~is_hot).join(right.where(~is_hot), key, "left")
-    return rest.select(*columns).unionByName(apart.select(*columns)).unionByName(no_key)
+    hashed = [f.name for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    many = F.coalesce("_salts", F.lit(1))
+    keyed = left.where(F.col(key).isNotNull()).join(salts, key, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*hashed), many)
+    )
+    copied = right.join(salts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)))
+    joined = keyed.drop("_salts").join(copied.drop("_salts"), [key, "_salt"], "left")
+    return joined.select(*left.columns, *[f.name for f in extra]).unionByName(no_key)
 
 
 def zero_vector(width: int) -> Column:
@@ -96,15 +93,15 @@ def zero_vector(width: int) -> Column:
 
 def attach_vectors(
     df: DataFrame, vectors: DataFrame, width: int, link: str = "image_link",
-    vector: str = "embedding", hot_rows: int = HOT_ROWS,
+    vector: str = "embedding",
 ) -> DataFrame:
     """Each row with the vector of its image file; zeros where there is none."""
     joined = left_join_unique(
-        with_file_name(df, link), vectors.select("file_name", vector), "file_name", hot_rows
+        with_file_name(df, link), vectors.select("file_name", vector), "file_name"
     )
     return joined.withColumn(vector, F.coalesce(F.col(vector), zero_vector(width)))
 
 
 def known_terms(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Keep the terms the vocabulary knows; its size is capped when fitted."""
-    return terms.join(F.broadcast(vocabulary), "term", "inner")
+    """Keep the terms the vocabulary knows; Spark chooses how, by its size."""
+    return terms.join(vocabulary, "term", "inner")

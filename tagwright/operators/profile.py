@@ -14,11 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.functions import text as tx
-from tagwright.operators.quantiles import DIRECT_ROWS, exact_quantiles, group_quantiles
+from tagwright.operators.joins import left_join_unique
+from tagwright.operators.quantiles import exact_quantiles, group_quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
-#: groups up to which a table of group figures is broadcast
-BROADCAST_GROUPS = 10_000
 
 
 def _unpivot(row: DataFrame, table: dict[str, dict[str, Column]], label: str) -> DataFrame:
@@ -30,9 +29,9 @@ def _unpivot(row: DataFrame, table: dict[str, dict[str, Column]], label: str) ->
     return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
-def describe(df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample deviation, min, quartiles and max of each column."""
-    q = exact_quantiles(df, columns, QUARTILES, direct_rows)
+    q = exact_quantiles(df, columns, QUARTILES)
     aggs, table = [], {}
     for c in columns:
         v = F.col(c).cast("double")
@@ -109,8 +108,8 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return _unpivot(row, {c: {"nulls": F.col(f"`{c}`")} for c in columns}, "column")
 
 
-def price_summary(df: DataFrame, price: str = "price", direct_rows: int = DIRECT_ROWS) -> DataFrame:
-    median = exact_quantiles(df, [price], [0.5], direct_rows)[price][0]
+def price_summary(df: DataFrame, price: str = "price") -> DataFrame:
+    median = exact_quantiles(df, [price], [0.5])[price][0]
     return df.agg(
         F.min(price).alias("min_price"), F.max(price).alias("max_price"),
         F.avg(price).alias("mean_price"),
@@ -178,9 +177,9 @@ def binned_pairs(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
     )
 
 
-def iqr_bounds(df: DataFrame, column: str = "price", direct_rows: int = DIRECT_ROWS) -> dict[str, float]:
+def iqr_bounds(df: DataFrame, column: str = "price") -> dict[str, float]:
     """Quartiles and the fences 1.5 interquartile ranges beyond them."""
-    q1, q3 = exact_quantiles(df, [column], [0.25, 0.75], direct_rows)[column]
+    q1, q3 = exact_quantiles(df, [column], [0.25, 0.75])[column]
     if q1 is None:
         raise ValueError(f"no values in {column!r}")
     reach = 1.5 * (q3 - q1)
@@ -211,22 +210,20 @@ def outlier_summary(df: DataFrame, column: str = "price") -> DataFrame:
 
 
 def box_plot(
-    df: DataFrame, column: str = "price", by: str | None = None, direct_rows: int = DIRECT_ROWS
+    df: DataFrame, column: str = "price", by: str | None = None
 ) -> DataFrame:
     """Quartiles, whiskers (last data inside the fences) and outlier count.
 
-    With ``by``, one row per group: a group too large for one task has its
-    quartiles found by rank, the others by the built-in.
+    With ``by``, one row per group, however large some are.
     """
     c = F.col(column).cast("double")
     if by is None:
-        q = F.array(*[F.lit(v) for v in exact_quantiles(df, [column], QUARTILES, direct_rows)[column]])
+        q = F.array(*[F.lit(v) for v in exact_quantiles(df, [column], QUARTILES)[column]])
         ready, keys = df.withColumn("quantiles", q), []
     else:
-        per_group = group_quantiles(df, column, QUARTILES, by, direct_rows).withColumnRenamed(by, "_by")
-        if per_group.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
-            per_group = F.broadcast(per_group)
-        ready = df.join(per_group, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
+        group = F.to_json(F.struct(F.col(by).alias("g")))
+        per_group = group_quantiles(df, column, QUARTILES, by).select(group.alias("_group"), "quantiles")
+        ready = left_join_unique(df.select(by, column).withColumn("_group", group), per_group, "_group")
         keys = [by]
     q1, q2, q3 = (F.get("quantiles", F.lit(i)) for i in range(3))
     inside = c.between(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))

@@ -1,12 +1,12 @@
-"""Exact, linearly interpolated quantiles that no task has to hold.
-
-Spark's ``percentile`` keeps one counter per distinct value in one task: right
-for few values, unbounded for a column of distinct floats. So the row count is
-looked at first. Up to ``DIRECT_ROWS`` the built-in is used. Beyond, each order
-statistic is bracketed by a sketch, the rows below and at the bracket's ends
-are counted exactly, and only the values strictly inside (a thousandth of the
-rows, ties excluded) are looked at, bracketed again while they are too many.
-The counts decide, so the sketch's error can cost a pass but never the result.
+"""Exact, linearly interpolated quantiles, the same way for tables of any size.
+
+Every order statistic is bracketed by a sketch, the rows below and at the
+bracket's ends are counted exactly, and only the values strictly inside (a few
+ten-thousandths of the rows, ties at the ends excluded) are sorted, over all
+tasks. The counts decide: a bracket that missed its rank is opened to all
+values. One job sketches all columns or groups, one counts, one sorts, so the
+number of jobs depends on neither columns nor groups; nothing but the ungrouped
+results comes to the driver, and no task holds a column or a group.
 """
 
 from __future__ import annotations
@@ -14,158 +14,154 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 1_000_000
-INSIDE_VALUES = 500_000  # 4 MB of doubles in one task
+from tagwright.operators.joins import left_join_unique
+from tagwright.workspace import materialize
+
 _SKETCH = 10_000
-_SERIES_PER_JOB = 24
+_SLACK = 2.0 / _SKETCH
+_POS_BITS = 33  # monotonically_increasing_id keeps the place in its low 33 bits
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-    direct_rows: int = DIRECT_ROWS, inside_values: int = INSIDE_VALUES,
-) -> dict[str, list[float]]:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
     """``{column: [quantile per prob]}``; ``None`` for a column without values."""
-    sizes = df.agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in columns]
+    if not columns:
+        return {}
+    values = {c: F.col(c).cast("double") for c in columns}
+    seen = df.agg(
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(values.values())],
+        *[_sketch(v, probs).alias(f"b{i}") for i, v in enumerate(values.values())],
     ).first()
-    if sizes["_n"] <= direct_rows:
-        row = df.agg(*[_direct(F.col(c), probs).alias(c) for c in columns]).first()
-        return {c: (list(row[c]) if row[c] is not None else [None] * len(probs)) for c in columns}
-    return _by_rank(
-        df, {c: (F.col(c).cast("double"), sizes[c]) for c in columns}, probs, inside_values
-    )
-
-
-def group_quantiles(
-    df: DataFrame, column: str, probs: Sequence[float], by: str,
-    direct_rows: int = DIRECT_ROWS, inside_values: int = INSIDE_VALUES,
-) -> DataFrame:
-    """``by, quantiles`` per group; groups too large for one task go by rank.
-
-    There are at most rows / ``direct_rows`` such groups.
-    """
-    spark = df.sparkSession
-    sizes = df.groupBy(by).agg(F.count(column).alias("_n"))
-    hot = {r[by]: r["_n"] for r in sizes.where(F.col("_n") > direct_rows).collect()}
-    small = df if not hot else df.where(_is_none_of(by, hot))
-    direct = small.groupBy(by).agg(_direct(F.col(column), probs).alias("quantiles"))
-    if not hot:
-        return direct
-    values = list(hot)
+    #: (column, prob): value, rows, low and high end
     series = {
-        str(i): (F.when(F.col(by).eqNullSafe(F.lit(v)), F.col(column).cast("double")), hot[v])
-        for i, v in enumerate(values)
+        (c, j): (v, seen[f"n{i}"], *seen[f"b{i}"][2 * j:2 * j + 2])
+        for i, (c, v) in enumerate(values.items()) if seen[f"n{i}"] for j in range(len(probs))
     }
-    found = _by_rank(df, series, probs, inside_values)
-    rows = [(v, found[str(i)]) for i, v in enumerate(values)]
-    kind = df.schema[by].dataType.simpleString()
-    return direct.unionByName(
-        spark.createDataFrame(rows, f"{by} {kind}, quantiles array<double>")
+    if not series:
+        return {c: [None] * len(probs) for c in columns}
+    counted = df.agg(*[
+        F.struct(*_counts(v, F.lit(low), F.lit(high))).alias(f"c{i}")
+        for i, (v, _, low, high) in enumerate(series.values())
+    ]).first()
+    found, wanted, inside = {}, [], []
+    for i, (key, (v, n, low, high)) in enumerate(series.items()):
+        below, at_low, between, at_high = counted[i]
+        ranks = [r - below for r in _ranks(probs[key[1]], n)]
+        whole = min(ranks) < 0 or max(ranks) >= at_low + between + at_high
+        if whole:
+            ranks, at_low, between, low, high = [r + below for r in ranks], 0, n, -math.inf, math.inf
+        for k, r in enumerate(ranks):
+            if r < at_low:
+                found[key, k] = low
+            elif r >= at_low + between:
+                found[key, k] = high
+            else:
+                wanted.append((i, r - at_low))
+                found[key, k] = (i, r - at_low)
+        if any(w[0] == i for w in wanted):
+            keep = v.isNotNull() if whole else (v > low) & (v < high)
+            inside.append(F.when(keep, F.struct(F.lit(i).alias("series"), v.alias("value"))))
+    if wanted:
+        some = df.select(F.explode(F.array_compact(F.array(*inside))).alias("s")).select("s.series", "s.value")
+        places = df.sparkSession.createDataFrame(sorted(set(wanted)), "series int, place long")
+        got = {(r["series"], r["place"]): r["value"] for r in _at_places(some, places).collect()}
+        found = {k: got[v] if isinstance(v, tuple) else v for k, v in found.items()}
+    out = {}
+    for c in columns:
+        out[c] = [None] * len(probs)
+        for j, p in enumerate(probs):
+            if (c, j) in series:
+                at = p * (series[c, j][1] - 1)
+                low, high = found[(c, j), 0], found[(c, j), 1]
+                out[c][j] = low + (high - low) * (at - math.floor(at))
+    return out
+
+
+def group_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: str) -> DataFrame:
+    """``by, quantiles`` per group; a null in ``by`` is a group, without values quantiles are null."""
+    group = F.to_json(F.struct(F.col(by).alias("g")))
+    rows = df.select(group.alias("_g"), F.col(by).alias("_by"), F.col(column).cast("double").alias("_v"))
+    groups = materialize(
+        rows.groupBy("_g").agg(
+            F.first("_by").alias("_by"), F.count("_v").alias("_n"), _sketch(F.col("_v"), probs).alias("_b")
+        ), "sketches",
+    )
+    each = range(len(probs))
+    end = lambda j, side: F.get("_b", F.lit(2 * j + side))
+    bracketed = left_join_unique(
+        rows.where(F.col("_v").isNotNull()).select("_g", "_v"), groups.select("_g", "_b"), "_g"
+    )
+    counted = bracketed.groupBy("_g").agg(*[
+        F.struct(*_counts(F.col("_v"), end(j, 0), end(j, 1))).alias(f"_c{j}") for j in each
+    ])
+    # one row per group, prob and neighbour in rank: found at an end, or a place among the values inside
+    wanted = materialize(
+        groups.join(counted, "_g").select("_g", F.explode(F.array(*[
+            F.struct(F.lit(j).alias("j"), F.lit(k).alias("k"), rank.alias("rank"), (at - F.floor(at)).alias("part"),
+                     end(j, 0).alias("low"), end(j, 1).alias("high"), F.col(f"_c{j}").alias("c"))
+            for j in each for at in [F.lit(float(probs[j])) * (F.col("_n") - 1)]
+            for k, rank in enumerate((F.floor(at).cast("long"), F.ceil(at).cast("long")))
+        ])).alias("w")).select("_g", "w.*")
+        .withColumn("r", F.col("rank") - F.col("c.below"))
+        .withColumn("whole", (F.col("r") < 0) | (F.col("r") >= F.col("c.at_low") + F.col("c.between") + F.col("c.at_high")))
+        .withColumn("value", F.when(F.col("whole"), None).when(F.col("r") < F.col("c.at_low"), F.col("low"))
+                    .when(F.col("r") >= F.col("c.at_low") + F.col("c.between"), F.col("high")))
+        .withColumn("place", F.when(F.col("whole"), F.col("rank")).otherwise(F.col("r") - F.col("c.at_low")))
+        .withColumn("series", F.concat_ws("|", "_g", "j", "whole")), "ranks",
     )
+    inside = bracketed.select(F.explode(F.array_compact(F.array(*[
+        F.when((F.col("_v") > end(j, 0)) & (F.col("_v") < end(j, 1)), F.struct(
+            F.concat_ws("|", "_g", F.lit(j), F.lit(False)).alias("series"), F.col("_v").alias("value")))
+        for j in each
+    ]))).alias("s")).select("s.series", "s.value")
+    missed = wanted.where("whole").select("_g", "series").distinct()
+    inside = inside.unionByName(bracketed.join(missed, "_g").select("series", F.col("_v").alias("value")))
+    asked = wanted.where("value is null").select("series", "place").distinct()
+    picked = _at_places(inside, asked).withColumnRenamed("value", "picked")
+    both = wanted.join(picked, ["series", "place"], "left").withColumn("value", F.coalesce("value", "picked"))
+    low, high = F.max(F.when(F.col("k") == 0, F.col("value"))), F.max(F.when(F.col("k") == 1, F.col("value")))
+    quantiles = (
+        both.groupBy("_g", "j").agg((low + (high - low) * F.first("part")).alias("q"))
+        .groupBy("_g").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "q"))), lambda s: s["q"]).alias("quantiles"))
+    )
+    return groups.join(quantiles, "_g", "left").select(F.col("_by").alias(by), "quantiles")
 
 
-def _is_none_of(by: str, values) -> Column:
-    out = F.lit(True)
-    for v in values:
-        out = out & ~F.col(by).eqNullSafe(F.lit(v))
-    return out
+def _ranks(p: float, n: int) -> tuple[int, int]:
+    at = p * (n - 1)
+    return math.floor(at), math.ceil(at)
 
 
-def _direct(c: Column, probs: Sequence[float]) -> Column:
-    return F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])).cast("array<double>")
+def _sketch(v: Column, probs: Sequence[float]) -> Column:
+    """Two ends around every quantile."""
+    ends = [e for p in probs for e in (max(p - _SLACK, 0.0), min(p + _SLACK, 1.0))]
+    return F.percentile_approx(v, F.array(*map(F.lit, ends)), F.lit(_SKETCH))
 
 
-def _by_rank(df, series: dict, probs, inside_values) -> dict[str, list[float]]:
-    wanted = {}
-    for name, (col, n) in series.items():
-        for p in probs if n else ():
-            at = p * (n - 1)
-            for rank in {math.floor(at), math.ceil(at)}:
-                wanted[(name, rank)] = (col, rank, n)
-    values = {}
-    items = list(wanted.items())
-    for i in range(0, len(items), _SERIES_PER_JOB):
-        values.update(_order_statistics(df, dict(items[i:i + _SERIES_PER_JOB]), inside_values))
-    out = {}
-    for name, (_, n) in series.items():
-        if not n:
-            out[name] = [None] * len(probs)
-            continue
-        out[name] = []
-        for p in probs:
-            at = p * (n - 1)
-            low, high = values[(name, math.floor(at))], values[(name, math.ceil(at))]
-            out[name].append(low + (high - low) * (at - math.floor(at)))
-    return out
+def _counts(v: Column, low: Column, high: Column) -> list[Column]:
+    return [
+        F.count_if(v < low).alias("below"), F.count_if(v == low).alias("at_low"),
+        F.count_if((v > low) & (v < high)).alias("between"), F.count_if((v == high) & (v > low)).alias("at_high"),
+    ]
 
 
-def _order_statistics(df: DataFrame, wanted: dict, inside_values: int) -> dict:
-    """The value at each 0-based rank: ``{key: (column, rank, size)} -> {key: value}``."""
-    brackets = _brackets(df, wanted)
-    found, inside, again = {}, {}, {}
-    for _ in range(2):  # the second round only if a sketch missed its rank
-        counts = _counts(df, wanted, brackets)
-        missed = {}
-        for key, (col, rank, n) in wanted.items():
-            if key in found or key in inside or key in again:
-                continue
-            low, high = brackets[key]
-            below, at_low, between, at_high = counts[key]
-            place = rank - below
-            if place < 0 or place >= at_low + between + at_high:
-                missed[key] = wanted[key]
-            elif place < at_low:
-                found[key] = low
-            elif place >= at_low + between:
-                found[key] = high
-            else:
-                strictly = F.when((col > F.lit(low)) & (col < F.lit(high)), col)
-                step = (strictly, place - at_low, between)
-                (inside if between <= inside_values else again)[key] = step
-        if not missed:
-            break
-        brackets.update(_extremes(df, missed))
-        wanted = missed
-    if inside:
-        row = df.agg(*[
-            F.element_at(F.sort_array(F.collect_list(col)), F.lit(rank + 1)).alias(f"v{i}")
-            for i, (col, rank, _) in enumerate(inside.values())
-        ]).first()
-        found.update(zip(inside, row))
-    if again:
-        found.update(_order_statistics(df, again, inside_values))
-    return found
-
-
-def _brackets(df, wanted) -> dict:
-    cols = []
-    for i, (col, rank, n) in enumerate(wanted.values()):
-        p, slack = rank / max(n - 1, 1), 2.0 / _SKETCH
-        ends = F.array(F.lit(max(p - slack, 0.0)), F.lit(min(p + slack, 1.0)))
-        cols.append(F.percentile_approx(col, ends, F.lit(_SKETCH)).alias(f"b{i}"))
-    return dict(zip(wanted, (tuple(b) for b in df.agg(*cols).first())))
-
-
-def _extremes(df, wanted) -> dict:
-    cols = []
-    for i, (col, _, _) in enumerate(wanted.values()):
-        cols += [F.min(col).alias(f"lo{i}"), F.max(col).alias(f"hi{i}")]
-    row = df.agg(*cols).first()
-    return {key: (row[2 * i], row[2 * i + 1]) for i, key in enumerate(wanted)}
-
-
-def _counts(df, wanted, brackets) -> dict:
-    cols = []
-    for i, (key, (col, _, _)) in enumerate(wanted.items()):
-        low, high = (F.lit(v) for v in brackets[key])
-        cols += [
-            F.count_if(col < low).alias(f"a{i}"),
-            F.count_if(col == low).alias(f"b{i}"),
-            F.count_if((col > low) & (col < high)).alias(f"c{i}"),
-            F.count_if((col == high) & (col > low)).alias(f"d{i}"),
-        ]
-    row = df.agg(*cols).first()
-    return {key: row[4 * i:4 * i + 4] for i, key in enumerate(wanted)}
+def _at_places(values: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``series, place, value``: the values at places of each series in sorted order.
+
+    Values are range-partitioned by series and value and written with their
+    place; counts per partition and series turn places in a series into places
+    in partitions.
+    """
+    placed = materialize(
+        values.repartitionByRange("series", "value").sortWithinPartitions("series", "value")
+        .select("series", "value", F.monotonically_increasing_id().alias("_id")), "inside",
+    ).withColumn("part", F.shiftrightunsigned("_id", _POS_BITS))
+    runs = placed.groupBy("series", "part").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("series").orderBy("part")) - F.col("n")
+    runs = runs.withColumn("before", before)
+    at = wanted.join(runs, "series").where(
+        (F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("n"))
+    ).select("series", "place", (F.col("first") + F.col("place") - F.col("before")).alias("_id"))
+    return at.join(placed.select("_id", "value"), "_id").select("series", "place", "value")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.operators.profile import _unpivot, pearson
-from tagwright.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from tagwright.operators.quantiles import exact_quantiles
 
 _COLUMNS_PER_JOB = 100
 
@@ -35,12 +35,12 @@ class Scale:
     width: float
 
 
-def fit_robust(df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS) -> dict[str, Scale]:
+def fit_robust(df: DataFrame, columns: Sequence[str]) -> dict[str, Scale]:
     """Median and interquartile range of each column."""
     out = {}
     for i in range(0, len(columns), _COLUMNS_PER_JOB):
         part = list(columns[i:i + _COLUMNS_PER_JOB])
-        for c, (q1, q2, q3) in exact_quantiles(df, part, [0.25, 0.5, 0.75], direct_rows).items():
+        for c, (q1, q2, q3) in exact_quantiles(df, part, [0.25, 0.5, 0.75]).items():
             out[c] = Scale(q2 or 0.0, (q3 - q1) if q1 is not None and q3 != q1 else 1.0)
     return out
 
@@ -97,9 +97,7 @@ def _slots(df: DataFrame, vector: str, slots: Sequence[int], prefix: str) -> Dat
     ).drop("_slots")
 
 
-def fit_robust_vector(
-    df: DataFrame, vector: str, size: int, direct_rows: int = DIRECT_ROWS
-) -> VectorScale:
+def fit_robust_vector(df: DataFrame, vector: str, size: int) -> VectorScale:
     """Quartiles of the slots that are non-zero often enough to have any."""
     stats = df.select(
         Summarizer.metrics("count", "numNonZeros").summary(F.col(vector)).alias("s")
@@ -112,7 +110,7 @@ def fit_robust_vector(
     for at in range(0, len(dense), _COLUMNS_PER_JOB):
         part = dense[at:at + _COLUMNS_PER_JOB]
         columns = [f"_q{i}" for i in range(len(part))]
-        scales = fit_robust(_slots(df.select(vector), vector, part, "_q"), columns, direct_rows)
+        scales = fit_robust(_slots(df.select(vector), vector, part, "_q"), columns)
         for slot, c in zip(part, columns):
             widths[slot] = scales[c].width
             if scales[c].centre:

@@ -2,31 +2,63 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.operators.quantiles import exact_quantiles
 from tagwright.operators.row_index import key_index
-from tagwright.operators.rows import draw, draw_number
+from tagwright.operators.rows import draw
 from tagwright.workspace import materialize
 
-_DRAW_SPAN = 1 << 28
+def _order(key: str, seed: int | None) -> list[Column]:
+    """Key order, or with a seed a random order that repeats anywhere."""
+    return [F.col(key)] if seed is None else [draw(key, seed), F.col(key)]
+
+
+def _at_or_after(df: DataFrame, index: DataFrame, places: list[int], key: str, seed: int | None) -> list[Column]:
+    """For each place in the order: whether a row stands there or later.
+
+    Only the keys at the places come to the driver; the answer is a comparison
+    of the row with them, so rows are neither joined nor moved.
+    """
+    wanted = sorted({p for p in places if p > 0})
+    found = {
+        r["row_index"]: r for r in index.where(F.col("row_index").isin(wanted)).select(
+            "row_index", *[c.alias(f"o{i}") for i, c in enumerate(_order(key, seed))]
+        ).collect()
+    } if wanted else {}
+    row = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_order(key, seed))])
+    out = []
+    for p in places:
+        if p <= 0:
+            out.append(F.lit(True))
+        elif p not in found:
+            out.append(F.lit(False))
+        else:
+            bound = [found[p][f"o{i}"] for i in range(len(_order(key, seed)))]
+            out.append(row >= F.struct(*[F.lit(v).alias(f"o{i}") for i, v in enumerate(bound)]))
+    return out
+
+
+def _indexed(df: DataFrame, key: str, seed: int | None) -> tuple[DataFrame, int]:
+    index = key_index(df, key, _order(key, seed)[:-1])
+    return index, index.count()
 
 
 def positional_split(df: DataFrame, fraction: float = 0.7, key: str = "sample_id") -> DataFrame:
     """``split`` is train for the first ``int(fraction * rows)`` keys, else test."""
-    idx = key_index(df, key)
-    cut = int(fraction * idx.count())
-    side = F.when(F.col("row_index") < cut, "train").otherwise("test")
-    return df.join(idx.select(key, side.alias("split")), key)
+    index, rows = _indexed(df, key, None)
+    (late,) = _at_or_after(df, index, [int(fraction * rows)], key, None)
+    return df.withColumn("split", F.when(late, "test").otherwise("train"))
 
 
 def random_split(df: DataFrame, test_size: float = 0.2, key: str = "sample_id", seed: int = 42) -> DataFrame:
-    """``split`` from a seeded draw per key; a scan, no shuffle."""
-    cut = int(test_size * _DRAW_SPAN)
-    return df.withColumn(
-        "split", F.when(draw_number(key, seed) < cut, "test").otherwise("train")
-    )
+    """``split``: exactly ``ceil(test_size * rows)`` test rows, the first in a seeded random order."""
+    index, rows = _indexed(df, key, seed)
+    (late,) = _at_or_after(df, index, [math.ceil(test_size * rows)], key, seed)
+    return df.withColumn("split", F.when(late, "train").otherwise("test"))
 
 
 def time_split(df: DataFrame, time: str, quantile: float = 0.8) -> DataFrame:
@@ -69,28 +101,23 @@ def stratified_folds(
     return df.join(dealt.select(key, "bin", fold.alias("fold")), key)
 
 
-def contiguous_fold(index: Column, rows: int, k: int) -> Column:
-    """Fold of a position when ``rows`` are cut into ``k`` runs, longer ones first."""
+def _folds(df: DataFrame, k: int, key: str, seed: int | None) -> DataFrame:
+    """Runs of an order, sizes differing by one at most, longer ones first."""
+    index, rows = _indexed(df, key, seed)
     size, longer = divmod(rows, k)
-    edge = longer * (size + 1)
-    return (
-        F.when(index < edge, F.floor(index / F.lit(size + 1)))
-        .otherwise(F.floor((index - edge) / F.lit(max(size, 1))) + longer)
-        .cast("int")
-    )
+    starts = [i * size + min(i, longer) for i in range(1, k)]
+    later = _at_or_after(df, index, starts, key, seed)
+    return df.withColumn("fold", sum((c.cast("int") for c in later), F.lit(0)))
 
 
 def contiguous_folds(df: DataFrame, k: int = 3, key: str = "sample_id") -> DataFrame:
-    idx = key_index(df, key)
-    rows = idx.count()
-    return df.join(
-        idx.select(key, contiguous_fold(F.col("row_index"), rows, k).alias("fold")), key
-    )
+    """``fold`` by runs in key order."""
+    return _folds(df, k, key, None)
 
 
 def shuffled_folds(df: DataFrame, k: int = 5, key: str = "sample_id", seed: int = 42) -> DataFrame:
-    """Seeded random folds; a scan, no shuffle."""
-    return df.withColumn("fold", (draw_number(key, seed) % k).cast("int"))
+    """``fold`` by runs of a seeded random order."""
+    return _folds(df, k, key, seed)
 
 
 def time_blocks(df: DataFrame, time: str, key: str, splits: int = 5) -> DataFrame:

@@ -8,17 +8,15 @@ as a broadcast. Vectors for models are made row by row without any shuffle.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import (
-    CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover,
-)
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagwright.functions import text as tx
 from tagwright.functions.charsets import WORD
@@ -186,37 +184,33 @@ def tfidf_weights(
 ) -> DataFrame:
     """``key, idx, weight`` in long form, each text scaled to length 1.
 
-    Only terms of the vocabulary survive the broadcast join, so a text's group
-    is never larger than the vocabulary.
+    One row becomes its own entries: there is no join and no shuffle.
     """
-    if vocabulary is None:
-        raise NotFittedError("fit the vocabulary first")
-    s = vocabulary.settings
-    table = F.broadcast(vocabulary.table(df.sparkSession))
-    raw = (
-        term_counts(with_terms(df, s, text, [key]), key)
-        .join(table, "term")
-        .select(key, "idx", (term_weight(F.col("tf"), s.sublinear) * F.col("idf")).alias("w"))
-    )
-    per_text = raw.groupBy(key).agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
-        F.collect_list(F.struct("idx", "w")).alias("entries"),
-    )
-    return per_text.select(key, "norm", F.explode("entries").alias("e")).select(
-        key, F.col("e.idx").alias("idx"), (F.col("e.w") / F.col("norm")).alias("weight")
+    counted = _counted(df, vocabulary, text, [key])
+    entries = _entries(counted, vocabulary, [key])
+    return entries.select(key, F.explode(F.arrays_zip("indices", "values")).alias("e")).select(
+        key, F.col("e.indices").alias("idx"), F.col("e.values").alias("weight")
     )
 
 
-def _scale_rows(idfs: Sequence[float]):
-    """Count vector to sublinear TF-IDF vector of length 1."""
-    weights = np.asarray(idfs)
-
-    def scale(v):
-        values = (1.0 + np.log(v.values)) * weights[v.indices]
-        norm = np.sqrt((values * values).sum())
-        return Vectors.sparse(v.size, v.indices, values / norm if norm else values)
-
-    return F.udf(scale, VectorUDT())
+def _counted(df: DataFrame, vocabulary: Vocabulary | None, text: str, keep: Sequence[str]) -> DataFrame:
+    if vocabulary is None:
+        raise NotFittedError("fit the vocabulary first")
+    counter = CountVectorizerModel.from_vocabulary(list(vocabulary.terms), "_terms", "_counts")
+    return counter.transform(with_terms(df, vocabulary.settings, text, keep, "_terms"))
+
+
+def _entries(counted: DataFrame, vocabulary: Vocabulary, keep: Sequence[str]) -> DataFrame:
+    """``keep`` and a count vector's ``size``, ``indices`` and ``values``, weighted, of length 1."""
+    # one constant, not an expression per term
+    idfs = F.from_json(F.lit(json.dumps([float(x) for x in vocabulary.idf])), "array<double>")
+    parts = counted.select(*keep, F.unwrap_udt("_counts").alias("_c")).select(*keep, "_c.size", "_c.indices", F.zip_with(
+        "_c.values", "_c.indices", lambda n, i: term_weight(n, vocabulary.settings.sublinear) * F.get(idfs, i)
+    ).alias("_w"))
+    norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda total, x: total + x * x))
+    return parts.select(*keep, "size", "indices", "_w", norm.alias("_norm")).select(
+        *keep, "size", "indices", F.transform("_w", lambda x: x / F.col("_norm")).alias("values")
+    )
 
 
 def tfidf_vectors(
@@ -225,21 +219,11 @@ def tfidf_vectors(
 ) -> DataFrame:
     """``keep`` columns and one sparse vector per row, without a shuffle.
 
-    Counting, IDF and length 1 are Spark ML stages. The logarithm of the
-    counts has no stage, so only sublinear settings go through a small function
-    that sees the few non-zero entries of each vector.
+    Counting is a Spark ML stage, weights and length 1 are expressions on the
+    entries that are not zero; the vector is read back from its parts.
     """
-    if vocabulary is None:
-        raise NotFittedError("fit the vocabulary first")
-    s = vocabulary.settings
-    counter = CountVectorizerModel.from_vocabulary(list(vocabulary.terms), "_terms", "_counts")
-    counted = counter.transform(with_terms(df, s, text, keep, "_terms"))
-    if s.sublinear:
-        return counted.select(*keep, _scale_rows(vocabulary.idf)("_counts").alias(name))
-    stages = PipelineModel([
-        ElementwiseProduct(
-            scalingVec=Vectors.dense(vocabulary.idf), inputCol="_counts", outputCol="_weighted"
-        ),
-        Normalizer(p=2.0, inputCol="_weighted", outputCol=name),
-    ])
-    return stages.transform(counted).select(*keep, name)
+    entries = _entries(_counted(df, vocabulary, text, keep), vocabulary, keep)
+    parts = F.struct(F.lit(0).alias("type"), F.col("size"), F.col("indices"), F.col("values"))
+    schema = T.StructType([T.StructField("v", VectorUDT())])
+    read = F.from_json(F.to_json(F.struct(parts.alias("v"))), schema)["v"]
+    return entries.select(*keep, read.alias(name))

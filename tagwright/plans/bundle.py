@@ -1,21 +1,33 @@
-"""Save and load a fitted plan: models as Spark ML folders, the rest as tables."""
+"""Save and load a fitted plan: models as Spark ML folders, the rest as tables.
+
+Everything goes into a fresh folder, whose name is written last: a failure on
+the way leaves the former bundle as it was. All settings of the plan travel,
+so a changed or custom plan predicts the same after loading.
+"""
 
 from __future__ import annotations
 
 import json
-from dataclasses import asdict
+import uuid
+from dataclasses import asdict, fields
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from tagwright.operators.scaling import Scale, VectorScale
 from tagwright.operators.tfidf import TfidfSettings, Vocabulary
-from tagwright.plans.presets import PLANS
+from tagwright.plans.presets import PricePlan
 from tagwright.plans.training import FittedFeatures, FittedPlan
 
 
+#: what of a plan is not a plain value
+_APART = ("tfidf", "members", "weights")
+
+
 def save(spark: SparkSession, fitted: FittedPlan, path: str) -> None:
-    f = fitted.features
+    f, root = fitted.features, path.rstrip("/")
+    version = f"v-{uuid.uuid4().hex}"
+    path = f"{root}/{version}"
     f.vocabulary.table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/vocabulary")
     dense = [(i, c, float(s.centre), float(s.width)) for i, (c, s) in enumerate(f.dense.items())]
     spark.createDataFrame(
@@ -26,7 +38,8 @@ def save(spark: SparkSession, fitted: FittedPlan, path: str) -> None:
     spark.createDataFrame(slots, "idx int, width double, centre double").coalesce(1).write.mode(
         "overwrite").parquet(f"{path}/sparse_scales")
     about = {
-        "plan": fitted.plan.name, "preset": f.preset, "rows": f.vocabulary.rows,
+        "plan": {n.name: getattr(fitted.plan, n.name) for n in fields(PricePlan) if n.name not in _APART},
+        "plan_tfidf": asdict(fitted.plan.tfidf), "weights": fitted.plan.weights, "preset": f.preset, "rows": f.vocabulary.rows,
         "tfidf": {**asdict(f.vocabulary.settings), "stop_words": f.vocabulary.settings.stop_list}, "image": f.image, "models": list(fitted.models),
         "status": fitted.status, "best_params": fitted.best_params, "feature_names": f.names,
     }
@@ -34,14 +47,25 @@ def save(spark: SparkSession, fitted: FittedPlan, path: str) -> None:
         "overwrite").text(f"{path}/about")
     for name, model in fitted.models.items():
         PipelineModel([model]).write().overwrite().save(f"{path}/models/{name}")
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(f"{root}/current")
+
+
+def _tfidf(saved: dict) -> TfidfSettings:
+    stop = saved["stop_words"]
+    return TfidfSettings(**{
+        **saved, "ngrams": tuple(saved["ngrams"]), "stop_words": None if stop is None else tuple(stop),
+    })
 
 
 def load(spark: SparkSession, path: str) -> FittedPlan:
+    """The plan as saved; it has no member factories, its members are fitted."""
+    path = f"{path.rstrip('/')}/{spark.read.text(f'{path}/current').first()['value']}"
     about = json.loads(spark.read.text(f"{path}/about").first()["value"])
-    tfidf = about["tfidf"]
-    settings = TfidfSettings(**{
-        **tfidf, "ngrams": tuple(tfidf["ngrams"]), "stop_words": tuple(tfidf["stop_words"]),
-    })
+    settings = _tfidf(about["tfidf"])
+    plan = PricePlan(
+        **about["plan"], tfidf=_tfidf(about["plan_tfidf"]), members={},
+        weights=[(least, weights) for least, weights in about["weights"]],
+    )
     terms = spark.read.parquet(f"{path}/vocabulary").orderBy("idx").collect()
     vocabulary = Vocabulary(
         settings, tuple(r["term"] for r in terms), tuple(r["df"] for r in terms),
@@ -62,6 +86,6 @@ def load(spark: SparkSession, path: str) -> FittedPlan:
         name: PipelineModel.load(f"{path}/models/{name}").stages[0] for name in about["models"]
     }
     return FittedPlan(
-        PLANS[about["plan"]], features, models,
+        plan, features, models,
         [tuple(s) for s in about["status"]], about["best_params"],
     )

@@ -12,8 +12,6 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 
 SEED = 42
-#: most features the exact linear solver takes
-NORMAL_LIMIT = 4096
 #: histogram memory per pass: fewer passes over the data for wide, deep forests
 _TREE_MEMORY_MB = 512
 
@@ -85,12 +83,9 @@ class PenalizedRegression(
     def _fit(self, dataset):
         label = F.col(self.getOrDefault(self.labelCol))
         stats = dataset.agg(
-            F.count(label).alias("n"), F.stddev_pop(label).alias("pop"),
-            F.stddev_samp(label).alias("samp"),
+            F.count(label).alias("n"), F.stddev_samp(label).alias("samp"),
         ).first()
-        first = dataset.select(self.getOrDefault(self.featuresCol)).first()
-        exact = first is None or first[0].size <= NORMAL_LIMIT
-        spread = (stats["pop"] if exact else stats["samp"]) or 1.0
+        spread = stats["samp"] or 1.0
         alpha, ratio = self.getOrDefault(self.alpha), self.getOrDefault(self.l1Ratio)
         if ratio < 0:
             reg, mix = alpha * spread / max(stats["n"], 1), 0.0
@@ -101,8 +96,7 @@ class PenalizedRegression(
             featuresCol=self.getOrDefault(self.featuresCol),
             labelCol=self.getOrDefault(self.labelCol),
             predictionCol=self.getOrDefault(self.predictionCol),
-            solver="normal" if exact else "l-bfgs", standardization=False,
-            regParam=reg, elasticNetParam=mix, maxIter=1000 if mix else 100, tol=1e-8,
+            solver="l-bfgs", standardization=False, regParam=reg, elasticNetParam=mix, maxIter=1000, tol=1e-9,
         ).fit(dataset)
 
 

@@ -21,7 +21,7 @@ from tagwright.operators.tfidf import Vocabulary, fit_vocabulary, tfidf_vectors
 from tagwright.plans.models import mae_evaluator, ridge
 from tagwright.plans.presets import PLANS, MemberFactory, PricePlan
 from tagwright.sources.catalog_csv import check_not_empty
-from tagwright.workspace import materialize, spread
+from tagwright.workspace import materialize
 
 KEY, TEXT, PRICE = "sample_id", "catalog_content", "price"
 #: folds and grid points fitted at the same time
@@ -127,9 +127,9 @@ def tune(estimator: Estimator, folded: DataFrame, values: dict[str, list], k: in
 
 
 def fit_members(
-    train: DataFrame, members: dict[str, MemberFactory], folds: int | None = 3
+    train: DataFrame, members: dict[str, MemberFactory], folds: int | None = 3, strict: bool = False
 ) -> tuple[dict[str, Model], list[tuple]]:
-    """Fit every member; one that fails is reported and left out.
+    """Fit every member; one that fails is reported and left out, or raised if ``strict``.
 
     Status rows: ``model, fitted, mae, mae_spread, error``, where the spread
     is twice the population deviation over the folds.
@@ -145,7 +145,9 @@ def fit_members(
                 models[name] = make().fit(train)
                 status.append((name, 1, None, None, None))
         except Exception as exc:
-            status.append((name, 0, None, None, f"{type(exc).__name__}: {exc}"[:500]))
+            if strict:
+                raise
+            status.append((name, 0, None, None, f"{type(exc).__name__}: {exc}"))
     return models, status
 
 
@@ -223,19 +225,25 @@ def predict_members(models: dict[str, Model], vectors: DataFrame, keep: Sequence
 def train(
     df: DataFrame, plan: PricePlan | str, *, members: dict[str, MemberFactory] | None = None,
     folds: int | None = 3, image: tuple[str, int] | None = None,
-    tuning: dict[str, dict[str, list]] | None = None,
+    tuning: dict[str, dict[str, list]] | None = None, tasks: int | None = None, strict: bool = False,
 ) -> FittedPlan:
     """Fit a plan on a labelled catalog.
 
     ``members`` replaces the plan's models, ``tuning`` maps members to grids.
+    ``tasks`` deals the rows over so many tasks first: about as many as cores
+    for trees, whose histograms grow with the tasks, and for a table in one
+    small file. A member that fails is reported, or raised if ``strict``.
     """
     plan = PLANS[plan] if isinstance(plan, str) else plan
     check_not_empty(training=df)
-    df = spread(df, KEY)  # one small CSV file would be one task
+    if tasks:
+        df = df.repartition(tasks, KEY)
     fitted, table = fit_features(df, plan, image)
     if folds or tuning:
         table = materialize(contiguous_folds(table, folds or 3, KEY), "training")
-    models, status = fit_members(table, members or plan.members, folds)
+    models, status = fit_members(table, members or plan.members, folds, strict)
+    if not models:
+        raise NoModelError(f"no member could be fitted: {[(s[0], s[4]) for s in status]}")
     best = {}
     for name, grid in (tuning or {}).items():
         if name in models:

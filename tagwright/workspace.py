@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder from ``spark.checkpoint.dir``, made the checkpoint folder too.
 
-    Only a local-mode session may go without the setting; it gets a folder of
-    its own. On a cluster a machine-local folder would be lost with its machine.
+    Without the setting it lies under the warehouse, which all executors share;
+    a cluster whose warehouse is a local folder must name one.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = sc.getCheckpointDir()
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tagwright-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        local = sc.master == "local" or sc.master.startswith("local[")
+        if not local and (warehouse.startswith(("file:", "/")) and not sc.getConf().contains("spark.sql.warehouse.dir")):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = f"{warehouse.rstrip('/')}/tagwright-scratch"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder
@@ -42,19 +41,3 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-#: rows up to which :func:`spread` moves a table
-SPREAD_ROWS = 2_000_000
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a small file over all cores before heavy work per row.
-
-    A file with one row group is read by one task. Tables in many files or
-    with many rows come back as they are, without a shuffle.
-    """
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= tasks or df.count() > SPREAD_ROWS:
-        return df
-    return df.repartition(tasks, key)

@@ -1,5 +1,7 @@
 """Terms, scaling, models and whole plans."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -35,7 +37,7 @@ def test_ridge_is_the_closed_form(xy):
     for alpha in (0.1, 1.0, 50.0):
         want = np.linalg.solve(xc.T @ xc + alpha * np.eye(3), xc.T @ yc)
         model = mo.ridge(alpha).fit(df)
-        assert model.coefficients.toArray() == pytest.approx(want, abs=1e-9)
+        assert model.coefficients.toArray() == pytest.approx(want, abs=1e-6)
         assert model.intercept == pytest.approx(y.mean() - x.mean(0) @ want, abs=1e-9)
 
 
@@ -89,13 +91,12 @@ def test_zero_spread_columns(spark):
     assert sc.fit_standard(spark.createDataFrame([(1.0,), (2.0,)], "a double"), ["a"])["a"] == sc.Scale(1.5, 0.5)
 
 
-@pytest.mark.parametrize("direct", [0, 10**6])
-def test_sparse_scaling_equals_dense_scaling(spark, direct):
+def test_sparse_scaling_equals_dense_scaling(spark):
     rng = np.random.default_rng(1)
     x = rng.random((101, 6)) * (rng.random((101, 6)) < [0.05, 0.2, 0.3, 0.6, 0.95, 1.0])
     rows = [(i, Vectors.sparse(6, [(j, float(v)) for j, v in enumerate(r) if v])) for i, r in enumerate(x)]
     df = spark.createDataFrame(rows, ["sample_id", "tfidf"])
-    scale = sc.fit_robust_vector(df, "tfidf", 6, direct)
+    scale = sc.fit_robust_vector(df, "tfidf", 6)
     q1, q2, q3 = np.quantile(x, [0.25, 0.5, 0.75], axis=0)
     want = (x - q2) / np.where(q3 == q1, 1, q3 - q1)
     ready, blocks = sc.scale_vector(df, "tfidf", scale)
@@ -165,7 +166,7 @@ def test_report_has_every_member(spark, fitted):
 
 def test_prediction_is_one_projection(fitted, catalog):
     plan = plan_of(fitted.predict(catalog))
-    assert plan.count("Exchange") <= 1  # the spread of the small input only
+    assert "Exchange" not in plan and "EvalPython" not in plan
     assert fitted.predict(catalog).where("price < 0.1").count() == 0
 
 
@@ -182,6 +183,26 @@ def test_saved_plan_predicts_the_same(spark, fitted, catalog):
     assert again.predict(catalog).exceptAll(fitted.predict(catalog)).count() == 0
 
 
+def test_changed_and_custom_plans_survive_saving(spark, fitted, catalog):
+    changed = replace(fitted.plan, name="mine", weights=[(1, {"ridge": 0.25, "rf": 0.75})], floor=5.0, ceiling=900.0, fixed_weights=True)
+    own = tr.FittedPlan(changed, fitted.features, fitted.models, fitted.status, fitted.best_params)
+    path = scratch_path(spark, "bundle")
+    bundle.save(spark, fitted, path)
+    bundle.save(spark, own, path)
+    again = bundle.load(spark, path)
+    assert again.plan.name == "mine" and again.plan.ceiling == 900.0
+    assert again.predict(catalog).exceptAll(own.predict(catalog)).count() == 0
+    assert own.predict(catalog).exceptAll(fitted.predict(catalog)).count() > 0
+
+
+def test_no_member_left_is_an_error(catalog):
+    bad = {"bad": lambda: mo.random_forest(3, 3, subset="none")}
+    with pytest.raises(ValueError, match="no member"):
+        tr.train(catalog, "fast", members=bad, folds=None)
+    with pytest.raises(Exception, match="none|subset"):
+        tr.train(catalog, "fast", members=bad, folds=None, strict=True)
+
+
 def test_stream_equals_batch(spark, fitted, catalog):
     inbox, out, mark = (scratch_path(spark, n) for n in ("inbox", "out", "mark"))
     catalog.select("sample_id", "catalog_content", "image_link").write.parquet(inbox)

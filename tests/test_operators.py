@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagwright import workspace
-from tagwright.operators import ensemble, images, joins, metrics, profile, row_index, rows, splits
+from tagwright.operators import ensemble, images, joins, metrics, profile, quantiles, row_index, rows, splits
 from tagwright.operators.quantiles import exact_quantiles, group_quantiles
 from tagwright.sources import catalog_csv as cs
 from tests.conftest import plan_of
@@ -31,29 +31,71 @@ SERIES = {
 
 
 @pytest.mark.parametrize("name", SERIES)
-@pytest.mark.parametrize("direct,inside", [(10**6, 10**6), (0, 10**6), (0, 3)])
-def test_quantiles(spark, name, direct, inside):
+@pytest.mark.parametrize("sketch", [10_000, 20])
+def test_quantiles(spark, name, sketch, monkeypatch):
+    """Also with a sketch so coarse that many values lie inside its brackets."""
+    monkeypatch.setattr(quantiles, "_SKETCH", sketch)
+    monkeypatch.setattr(quantiles, "_SLACK", 2.0 / sketch)
     values = SERIES[name]
-    got = exact_quantiles(numbers(spark, values), ["x"], PROBS, direct, inside)["x"]
+    got = exact_quantiles(numbers(spark, values), ["x"], PROBS)["x"]
     known = [v for v in values if v is not None]
     assert got == pytest.approx(list(np.quantile(known, PROBS)), rel=1e-12)
 
 
+def test_quantiles_when_the_sketch_misses(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "_sketch", lambda v, probs: F.array(*[F.max(v)] * (2 * len(probs))))
+    values = SERIES["uniform"]
+    assert exact_quantiles(numbers(spark, values), ["x"], PROBS)["x"] == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
+    got = group_quantiles(numbers(spark, values).withColumn("g", F.lit("a")), "x", PROBS, "g").first()["quantiles"]
+    assert got == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
+
+
 def test_quantiles_of_nothing(spark):
     empty = numbers(spark, [None, None])
-    assert exact_quantiles(empty, ["x"], [0.5], 0)["x"] == [None]
     assert exact_quantiles(empty, ["x"], [0.5])["x"] == [None]
+    assert [r["quantiles"] for r in group_quantiles(empty.withColumn("g", F.lit(1)), "x", [0.5], "g").collect()] == [None]
 
 
-def test_group_quantiles_mix_paths(spark):
+def test_group_quantiles(spark):
     rng = random.Random(3)
     data = [("hot", rng.gauss(0, 1)) for _ in range(2000)] + [("cold", rng.random()) for _ in range(50)]
-    data += [(None, rng.random()) for _ in range(500)]
+    data += [(None, rng.random()) for _ in range(500)] + [("none", None)]
     df = spark.createDataFrame(data, "g string, x double")
-    got = {r["g"]: r["quantiles"] for r in group_quantiles(df, "x", [0.25, 0.5], "g", 100, 50).collect()}
+    got = {r["g"]: r["quantiles"] for r in group_quantiles(df, "x", [0.25, 0.5], "g").collect()}
     for g in ("hot", "cold", None):
         want = np.quantile([x for k, x in data if k == g], [0.25, 0.5])
         assert got[g] == pytest.approx(list(want), rel=1e-12)
+    assert got["none"] is None
+
+
+def _jobs(spark, group, work):
+    """Jobs started under ``group`` while ``work`` runs."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_do_not_grow_with_groups_or_columns(spark):
+    df = spark.range(20_000).select((F.col("id") % 1000).alias("many"), (F.col("id") % 10).alias("few"), F.rand(1).alias("x"))
+    few, many = (_jobs(spark, g, lambda g=g: group_quantiles(df, "x", [0.5], g).collect()) for g in ("few", "many"))
+    assert abs(few - many) <= 2  # adaptive execution may read a shuffle once more
+    wide = df.select("x", *[(F.col("x") + i).alias(f"x{i}") for i in range(29)])
+    assert _jobs(spark, "wide", lambda: exact_quantiles(wide, wide.columns, [0.5])) <= _jobs(
+        spark, "narrow", lambda: exact_quantiles(wide, ["x"], [0.5])) + 2
+
+
+def test_folds_are_projections(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    n = docs.count()
+    for make in (splits.contiguous_folds, splits.shuffled_folds):
+        df = make(docs, 3, "doc_id")
+        assert "Exchange" not in plan_of(df)
+        assert sorted(r["count"] for r in df.groupBy("fold").count().collect()) == sorted(n // 3 + (i < n % 3) for i in range(3))
+    for df in (splits.positional_split(docs, 0.7, "doc_id"), splits.random_split(docs, 0.2, "doc_id")):
+        assert "Exchange" not in plan_of(df)
 
 
 def test_row_index_any_partitioning_with_one_hot_order_value(spark):
@@ -104,21 +146,21 @@ def test_sample_is_repeatable(spark, catalog):
     assert one == two and len(one) == 50 and one != other
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**6])
-def test_left_join_unique_keeps_every_row(spark, hot_rows):
+@pytest.mark.parametrize("parts", [1, 8, 100])
+def test_left_join_unique_keeps_every_row(spark, parts):
     left = spark.createDataFrame(
         [(i, None if i % 5 == 0 else "hot" if i % 3 else f"k{i % 40}") for i in range(600)], "id long, k string"
     )
     right = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(0, 40, 2)]], "k string, v long")
-    got = joins.left_join_unique(left, right, "k", hot_rows, hot_keys=1)
+    got = joins.left_join_unique(left, right, "k", parts)
     want = left.join(right, "k", "left").select("id", "k", "v")
     assert got.count() == 600
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_vocabulary_join_is_broadcast(spark):
-    terms = spark.createDataFrame([("a",), ("b",)], "term string")
-    assert "BroadcastHashJoin" in plan_of(joins.known_terms(terms, terms.limit(1)))
+def test_vocabulary_join_keeps_known_terms(spark):
+    terms = spark.createDataFrame([("a",), ("b",), ("a",)], "term string")
+    assert [r[0] for r in joins.known_terms(terms, terms.where("term = 'a'").distinct()).collect()] == ["a", "a"]
 
 
 def test_iqr_filter_reaches_the_scan(spark, sf_dir):
@@ -186,10 +228,9 @@ def test_shared_folder_follows_the_session(spark):
     assert spark.sparkContext.getCheckpointDir()
 
 
-def test_only_small_tables_are_spread(spark, sf_dir):
-    small = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    assert "Exchange" in plan_of(workspace.spread(small, "doc_id"))
-    assert "Exchange" not in plan_of(small)
+def test_shared_folder_without_the_setting_is_under_the_warehouse(spark):
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        assert workspace.shared_folder(spark).startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/"))
 
 
 # ------------------------------------------------------------------- images
@@ -197,36 +238,54 @@ def png(width, height):
     return b"\x89PNG\r\n\x1a\n\x00\x00\x00\rIHDR" + width.to_bytes(4, "big") + height.to_bytes(4, "big")
 
 
-def jpeg(width, height):
-    app = b"\xff\xe0\x00\x04ab"
-    return b"\xff\xd8" + app + b"\xff\xc0\x00\x11\x08" + height.to_bytes(2, "big") + width.to_bytes(2, "big") + b"\x03"
-
-
-def test_image_sizes():
-    assert images.image_size(png(40, 50)) == (40, 50)
-    assert images.image_size(jpeg(640, 480)) == (640, 480)
-    assert images.image_size(b"GIF89a" + (33).to_bytes(2, "little") + (44).to_bytes(2, "little")) == (33, 44)
-    assert images.image_size(b"nothing") is None
+def size_of(content):
+    if content[:4] != b"\x89PNG":
+        raise ValueError("not a PNG")
+    return int.from_bytes(content[16:20], "big"), int.from_bytes(content[20:24], "big")
 
 
 def test_images_from_files(spark, tmp_path):
-    for name, content in {"a.png": png(64, 64), "b.jpg": jpeg(10, 10), "c.jpeg": b"x", "d.txt": b"y"}.items():
+    for name, content in {"a.png": png(64, 64), "b.jpg": png(10, 10), "c.jpeg": b"x", "d.txt": b"y", "e.png": png(99, 99)}.items():
         (tmp_path / name).write_bytes(content)
     files = images.list_images(spark, str(tmp_path))
     counts = {r["extension"]: r["files"] for r in images.count_by_extension(files).collect()}
-    assert counts == {"png": 1, "jpg": 1, "jpeg": 1}
-    done = images.embed_images(files, lambda cs_: [[1.0, 2.0] for _ in cs_], width=2).collect()
-    assert {r["file_name"]: r["status"] for r in done} == {
-        "a.png": "ok", "b.jpg": "small", "c.jpeg": "unreadable", "d.txt": "unreadable",
-    }
-    assert {r["file_name"]: r["embedding"] for r in done}["a.png"] == [1.0, 2.0]
-
-    def broken(contents):
-        raise RuntimeError("no model")
-
-    failed = images.embed_images(files, broken, width=2).collect()
-    assert all(r["embedding"] == [0.0, 0.0] for r in failed)
-    assert {r["status"] for r in failed} == {"failed", "small", "unreadable"}
+    assert counts == {"png": 2, "jpg": 1, "jpeg": 1}
+
+    def run(embed, **more):
+        return {r["file_name"]: (r["status"], r["embedding"]) for r in images.embed_images(files, embed, width=2, **more).collect()}
+
+    ones, none = [1.0, 2.0], [0.0, 0.0]
+    got = run(lambda cs_: [ones for _ in cs_], size_of=size_of)
+    assert got == {"a.png": ("ok", ones), "b.jpg": ("small", none), "c.jpeg": ("unreadable", none),
+                   "d.txt": ("unreadable", none), "e.png": ("ok", ones)}
+    # without a guard the decoder decides what it can read
+    assert run(lambda cs_: [ones for _ in cs_])["c.jpeg"] == ("ok", ones)
+
+    def picky(contents):
+        if any(c == png(99, 99) for c in contents):
+            raise RuntimeError("cannot decode")
+        return [ones for _ in contents]
+
+    # one bad file does not take its batch along
+    assert {n: s for n, (s, _) in run(picky).items()} == {
+        "a.png": "ok", "b.jpg": "ok", "c.jpeg": "ok", "d.txt": "ok", "e.png": "failed"}
+    assert run(lambda cs_: [[1.0] for _ in cs_])["a.png"] == ("failed", none)
+    assert run(lambda cs_: [ones])["a.png"] == ("ok", ones)
+    large = run(lambda cs_: [ones for _ in cs_], max_bytes=1)
+    assert large["a.png"] == ("large", none) and large["c.jpeg"] == ("ok", ones)
+
+
+def test_length_filter_reaches_the_scan(spark, tmp_path):
+    (tmp_path / "a.png").write_bytes(png(64, 64))
+    plan = plan_of(images.embed_images(images.list_images(spark, str(tmp_path)), lambda c: c, width=2))
+    assert "LessThanOrEqual(length" in plan
+
+
+def test_images_from_links_to_rows(spark, tmp_path):
+    (tmp_path / "1.png").write_bytes(png(64, 64))
+    df = spark.createDataFrame([(1, "http://x/1.png"), (2, "http://y/1.png"), (3, "http://x/2.png"), (4, None)], "sample_id long, image_link string")
+    out = images.attach_images(df, images.list_images(spark, str(tmp_path)), lambda cs_: [[3.0, 4.0] for _ in cs_], 2)
+    assert {r["sample_id"]: r["embedding"] for r in out.collect()} == {1: [3.0, 4.0], 2: [3.0, 4.0], 3: [0.0, 0.0], 4: [0.0, 0.0]}
 
 
 def test_fetch_plan_counts_colliding_names(spark):
