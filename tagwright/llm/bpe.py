@@ -41,8 +41,8 @@ _PRETOKEN = regex.compile(
 #: white space and what follows it up to the next white space: no pre-token crosses their ends
 _STRETCH = regex.compile(rf"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 _IS_SPACE = regex.compile(rf"[{_SPACES}]")
-#: encodings of stretches remembered by a task; when full it starts anew
-_REMEMBERED = 300_000
+#: encodings remembered by a worker, of pre-tokens and of pieces; when full it starts anew
+_REMEMBERED = 700_000
 #: ids decoded at once
 _DECODE_IDS = 1 << 16
 
@@ -81,8 +81,8 @@ class Transducer:
         self.walk.update((t, self.id_of[t]) for t in usable)
         self.lookahead = max(map(len, usable))
         self._split = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
-        self._may_meet: dict[tuple[int, int], bool] = {}
-        self._first: dict[str, bytes | None] = {}
+        self._meets: dict[tuple[int, int], bool] = {}
+        self._pretokens: dict[str, bytes] = {}
         self._after_space: dict[str, bytes | None] = {}
 
     # ------------------------------------------------------------ one pre-token
@@ -102,61 +102,86 @@ class Transducer:
         A merge of rank r reaches across while both its parts wait to be taken
         up. Of merges of the same rank the left one comes first.
         """
-        known = self._may_meet.get((a, b))
-        if known is None:
-            lefts, rights = self._edge(a, 1), self._edge(b, 0)
-            known = self._may_meet[a, b] = not any(
-                r is not None and r < taken and r <= taken_right
-                for x, taken in lefts for y, taken_right in rights if (r := self.rank.get((x, y))) is not None
-            )
-            if len(self._may_meet) > 2_000_000:
-                self._may_meet.clear()
-        return known
+        if a < 0:
+            return True
+        return not any(
+            r < taken and r <= taken_right
+            for x, taken in self._edge(a, 1) for y, taken_right in self._edge(b, 0)
+            if (r := self.rank.get((x, y))) is not None
+        )
 
     def emit(self, data: bytes) -> Iterator[int]:
         """The ids of one pre-token, each as soon as it is stable."""
-        walk, may_meet, ahead, size = self.walk, self.may_meet, self.lookahead, len(data)
-        #: by boundary: the token that ends there in the prefix's encoding, and where it starts
-        last: dict[int, tuple[int, int]] = {0: (-1, 0)}
-        done, check = 0, 8 * ahead
-        for i in range(size):
-            before = last[i][0]
-            for j in range(i + 1, min(size, i + ahead) + 1):
-                token = walk.get(data[i:j])
-                if token is None:
+        get, known, ahead, size = self.walk.get, self._meets, self.lookahead, len(data)
+        check = 8 * ahead
+        #: by boundary, counted from the last stable one: the token that ends there, and where it starts
+        token, start = [-1] * (min(size, check + ahead) + 1), [0] * (min(size, check + ahead) + 1)
+        done = i = 0
+        while done + i < size:
+            before = token[i]
+            for j in range(i + 1, min(size - done, i + ahead) + 1):
+                t = get(data[done + i : done + j])
+                if t is None:
                     break
-                if token >= 0 and j not in last and (i == 0 or may_meet(before, token)):
-                    last[j] = token, i
-            if i + 1 == check:
-                stable = self._common(last, done, i + 1)
-                yield from self._chain(last, done, stable)
-                # boundaries no later chain can pass through are forgotten
-                for at in [at for at in last if at < stable]:
-                    del last[at]
-                done, check = stable, i + 1 + 8 * ahead
-        yield from self._chain(last, done, size)
-
-    def _common(self, last, done: int, now: int) -> int:
+                if t >= 0 and token[j] < 0:
+                    meets = known.get((before, t))
+                    if meets is None:
+                        meets = known[before, t] = self.may_meet(before, t)
+                    if meets:
+                        token[j], start[j] = t, i
+            i += 1
+            if i == check:
+                # boundaries before the stable one are in no later encoding and forgotten
+                stable = self._common(start, i)
+                yield from self._chain(token, start, stable)
+                token, start = token[stable:] + [-1] * stable, [x - stable for x in start[stable:]] + [0] * stable
+                done, i = done + stable, i - stable
+                if not stable:
+                    check += check
+                    token, start = token + [-1] * check, start + [0] * check
+        yield from self._chain(token, start, size - done)
+        if len(known) > 2_000_000:
+            known.clear()
+
+    def _common(self, start: list[int], now: int) -> int:
         """The last boundary that the encodings of all recent prefixes share."""
-        at = {now - back for back in range(self.lookahead) if now - back >= done}
+        at = set(range(max(0, now - self.lookahead + 1), now + 1))
         while len(at) > 1:
             high = max(at)
             at.remove(high)
-            at.add(max(done, last[high][1]))
+            at.add(max(0, start[high]))
         return at.pop()
 
     @staticmethod
-    def _chain(last, start: int, end: int) -> list[int]:
+    def _chain(token: list[int], start: list[int], end: int) -> list[int]:
         out = []
-        while end > start:
-            token, end = last[end]
-            out.append(token)
+        while end > 0:
+            out.append(token[end])
+            end = start[end]
         return out[::-1]
 
     # ------------------------------------------------------------ whole texts
+    def _pretoken(self, text: str) -> bytes:
+        ids = self._pretokens.get(text)
+        if ids is None:
+            if len(self._pretokens) > _REMEMBERED:
+                self._pretokens.clear()
+            ids = self._pretokens[text] = np.array([*self.emit(text.encode())], "<u4").tobytes()
+        return ids
+
     def _stretch(self, text: str) -> bytes:
-        ids = [i for piece in _PRETOKEN.findall(text) for i in self.emit(piece.encode())]
-        return np.array(ids, "<u4").tobytes()
+        return b"".join(map(self._pretoken, _PRETOKEN.findall(text)))
+
+    def _piece(self, piece: str, lead: str) -> bytes | None:
+        """Ids of what stands between two spaces, with the space before; None where
+        it must not be looked at alone."""
+        if not piece or _IS_SPACE.match(piece[-1]):
+            return None
+        stem = piece.rstrip(".,")
+        if stem.isalpha():
+            # letters, then full stops and commas: two pre-tokens
+            return self._pretoken(lead + stem) + (self._pretoken(piece[len(stem):]) if len(stem) < len(piece) else b"")
+        return self._stretch(lead + piece)
 
     def _plain(self, text: str) -> bytes:
         """Ids of a text without added tokens, 4 bytes each.
@@ -165,16 +190,14 @@ class Transducer:
         lies between is looked up. Where spaces meet other white space it is
         cut into stretches instead.
         """
-        pieces = text.split(" ")
-        if len(self._after_space) > _REMEMBERED:
-            self._after_space.clear()
-            self._first.clear()
-        for known, lead, new in ((self._first, "", pieces[:1]), (self._after_space, " ", set(pieces[1:]))):
-            for piece in new:
-                if piece not in known:
-                    cut = not piece or _IS_SPACE.match(piece[-1]) is not None
-                    known[piece] = None if cut else self._stretch(lead + piece)
-        found = [self._first[pieces[0]], *map(self._after_space.__getitem__, pieces[1:])]
+        first, *pieces = text.split(" ")
+        known = self._after_space
+        if len(known) > _REMEMBERED:
+            known.clear()
+        for piece in set(pieces):
+            if piece not in known:
+                known[piece] = self._piece(piece, " ")
+        found = [self._piece(first, ""), *map(known.__getitem__, pieces)]
         if None in found:
             return b"".join(map(self._stretch, _STRETCH.findall(text)))
         return b"".join(found)
