@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import expected as wl
 from checks.registry import (
     catalog, catalog_null, image_files, image_vectors, predictions, priced, query, r6, rounded, s6,
     table, with_tables,
 )
-from tagwright.functions import wordlists as wl
 from tagwright.operators import ensemble as en
 from tagwright.operators import images as im
 from tagwright.operators import joins as jo

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import expected as wl
+from checks.expected import DIGIT, SPACE, UPPER, WORD, word_pattern
 from checks.registry import (
     catalog, catalog_null, query, r6, rounded, s6, table, texts, with_tables,
 )
 from tagwright.functions import text as tx
-from tagwright.functions import wordlists as wl
-from tagwright.functions.charsets import SPACE, UPPER, WORD, digit_class
 from tagwright.functions.cleaning import clean
 from tagwright.operators import text_features as tf
 from tagwright.operators import tfidf as tv
@@ -35,7 +35,7 @@ def _any(terms: list[str]) -> str:
 
 
 def _word(terms: list[str]) -> str:
-    return f"CAST(regexp_matches(low, '{tx.word_pattern(terms)}') AS BIGINT)"
+    return f"CAST(regexp_matches(low, '{word_pattern(terms)}') AS BIGINT)"
 
 
 def _score(terms: list[str]) -> str:
@@ -47,7 +47,7 @@ SCALARS = {
     "text_length": "CAST(length(low) AS BIGINT)",
     "word_count": "CAST(len(w) AS BIGINT)",
     "char_count": _chars("low", r"\p{L}"),
-    "digit_count": _chars("low", digit_class()),
+    "digit_count": _chars("low", DIGIT),
     "upper_count": _chars("raw", UPPER),
     "max_number": s6("coalesce(list_max(n), 0)"),
     "min_number": s6("coalesce(list_min(n), 0)"),

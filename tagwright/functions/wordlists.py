@@ -1,6 +1,6 @@
 """The word lists behind the keyword features.
 
-They decide which flag a text gets, so they are stated as they are.
+They decide which flag a text gets, so each list is stated in full.
 """
 
 # --- units, one flag each -------------------------------------------------
@@ -10,11 +10,11 @@ UNITS_BASE = ["oz", "ounce", "lb", "pound", "kg", "gram", "ml", "liter", "count"
 # --- unit groups ----------------------------------------------------------
 WEIGHT = ["oz", "ounce", "lb", "pound", "kg", "gram", "g"]
 VOLUME = ["ml", "liter", "l", "fl oz", "gallon"]
-VOLUME_OPT = VOLUME + ["quart"]
+VOLUME_OPT = ["ml", "liter", "l", "fl oz", "gallon", "quart"]
 COUNT = ["count", "pack", "piece", "ct", "pcs"]
-COUNT_BOX = COUNT + ["box"]
+COUNT_BOX = ["count", "pack", "piece", "ct", "pcs", "box"]
 SIZE = ["inch", "cm", "mm", "ft"]
-SIZE_OPT = SIZE + ["meter"]
+SIZE_OPT = ["inch", "cm", "mm", "ft", "meter"]
 
 # --- quality --------------------------------------------------------------
 PREMIUM = ["premium", "gourmet", "luxury", "deluxe", "professional"]
@@ -28,20 +28,20 @@ BRAND_WORDS = ["premium", "luxury", "professional", "authentic", "original", "ge
 
 # --- categories -----------------------------------------------------------
 FOOD_COMPACT = ["food", "snack", "candy", "chocolate", "sauce"]
-FOOD_FAST = FOOD_COMPACT + ["spice"]
-FOOD_BASE = FOOD_FAST + ["oil"]
-FOOD = FOOD_BASE + ["drink"]
-FOOD_OPT = FOOD + ["beverage"]
+FOOD_FAST = ["food", "snack", "candy", "chocolate", "sauce", "spice"]
+FOOD_BASE = ["food", "snack", "candy", "chocolate", "sauce", "spice", "oil"]
+FOOD = ["food", "snack", "candy", "chocolate", "sauce", "spice", "oil", "drink"]
+FOOD_OPT = ["food", "snack", "candy", "chocolate", "sauce", "spice", "oil", "drink", "beverage"]
 BEAUTY_BASE = ["cosmetic", "beauty", "lip", "skin", "hair"]
-BEAUTY = BEAUTY_BASE + ["makeup", "lotion"]
-BEAUTY_OPT = BEAUTY + ["cream"]
+BEAUTY = ["cosmetic", "beauty", "lip", "skin", "hair", "makeup", "lotion"]
+BEAUTY_OPT = ["cosmetic", "beauty", "lip", "skin", "hair", "makeup", "lotion", "cream"]
 BEAUTY_FAST = ["cosmetic", "beauty", "lip", "lotion", "cream"]
 CLEANING = ["cleaning", "detergent", "soap", "wash", "cleaner"]
 HEALTH_COMPACT = ["vitamin", "supplement", "medicine"]
-HEALTH = HEALTH_COMPACT + ["health"]
-HEALTH_OPT = HEALTH + ["wellness"]
+HEALTH = ["vitamin", "supplement", "medicine", "health"]
+HEALTH_OPT = ["vitamin", "supplement", "medicine", "health", "wellness"]
 ELECTRONICS = ["electronic", "digital", "battery", "charger"]
-ELECTRONICS_OPT = ELECTRONICS + ["device"]
+ELECTRONICS_OPT = ["electronic", "digital", "battery", "charger", "device"]
 
 # --- exclusive category label, first match wins ---------------------------
 LABEL_FOOD = ["food", "snack", "candy", "sauce", "spice"]
@@ -50,7 +50,7 @@ LABEL_CLEANING = ["cleaning", "dish", "soap"]
 
 # --- price words ----------------------------------------------------------
 PRICE_WORDS = ["cheap", "expensive", "affordable", "budget", "value", "deal", "sale"]
-PRICE_WORDS_OPT = PRICE_WORDS + ["discount"]
+PRICE_WORDS_OPT = ["cheap", "expensive", "affordable", "budget", "value", "deal", "sale", "discount"]
 
 # --- patterns -------------------------------------------------------------
 PRICE_PATTERNS = {

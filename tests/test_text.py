@@ -13,7 +13,7 @@ from tagwright.functions import text as tx
 from tagwright.operators.text_features import (
     PRESETS, feature_names, measures_table, text_features,
 )
-from tagwright.functions import wordlists as wl
+from checks import expected as wl
 from tests.conftest import plan_of
 
 TEXTS = [
