@@ -140,7 +140,7 @@ def column_table(spark, sf_dir):
     return cs.column_table(rows).join(pr.null_counts(rows), "column")
 
 
-@query("empty_input_S7")
+@query("empty_input_S7", CAT + "SELECT CAST(count(*) AS BIGINT) AS rows, 'empty input: test' AS refused FROM catalog")
 def empty_input(spark, sf_dir):
     """A table without rows is refused; the others pass."""
     rows = catalog(spark, sf_dir)
@@ -691,7 +691,7 @@ def performance_weights(spark, sf_dir):
     return rounded(en.performance_weights(predictions(spark, sf_dir)))
 
 
-@query("no_member_E6")
+@query("no_member_E6", PREDICTIONS + "SELECT CAST(count(*) AS BIGINT) AS rows, 'no models available for prediction' AS refused FROM predictions")
 def no_member(spark, sf_dir):
     """Blending nothing is refused before any job."""
     try:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from checks.registry import catalog, query, r6, rounded, s6, table, with_tables
@@ -10,7 +12,7 @@ from tagwright.operators import metrics as me
 from tagwright.operators import scaling as sc
 from tagwright.operators import tfidf as tv
 from tagwright.operators.ensemble import to_long
-from tagwright.operators.splits import contiguous_folds, shuffled_folds
+from tagwright.operators.splits import contiguous_folds, positional_split, shuffled_folds
 from tagwright.operators.text_features import feature_names, text_features
 from tagwright.plans import bundle, models as mo, training as tr
 from tagwright.plans.presets import PLANS
@@ -82,7 +84,70 @@ _add_model("boosting_M3", SMALL["xgb"])
 _add_model("leafwise_boosting_M4", lambda: mo.leafwise_boosting(8, 0.3, 0.8, 0.8))
 
 
-@query("failing_member_M8")
+# One tree of one level over a feature of five values has an exact form: of the
+# four cuts the one that leaves the least squared error, and the mean of each side.
+_FEW = with_tables("catalog", xy="SELECT sample_id, price AS y, CAST(sample_id % 5 AS DOUBLE) AS x FROM catalog") + """
+, cuts AS (SELECT CAST(c AS DOUBLE) AS c FROM (SELECT unnest(range(4)) AS c)),
+errors AS (SELECT c, sum(sse) AS sse FROM (SELECT c, x <= c, var_pop(y) * count(*) AS sse FROM xy, cuts GROUP BY 1, 2) GROUP BY c),
+cut AS (SELECT c FROM errors ORDER BY sse, c LIMIT 1),
+side AS (SELECT x <= c AS low, avg(y) AS prediction FROM xy, cut GROUP BY 1)
+"""
+_STUMP = _FEW + f"SELECT sample_id, {s6('prediction', 4)} AS prediction FROM xy, cut, side WHERE (x <= c) = low"
+
+
+def _few(spark, sf_dir):
+    rows = catalog(spark, sf_dir).select(
+        "sample_id", F.col("price").alias("label"), (F.col("sample_id") % 5).cast("double").alias("x")
+    )
+    return sc.assemble(rows, ["x"], ["sample_id", "label"])
+
+
+def _add_stump(name: str, make, sql: str = _STUMP) -> None:
+    @query(name, sql)
+    def run(spark, sf_dir):
+        rows = _few(spark, sf_dir)
+        return rounded(make().fit(rows).transform(rows).select("sample_id", "prediction"), 4)
+
+
+
+@query("exact_forest_M1", with_tables("catalog") + """
+SELECT sample_id, CASE WHEN sample_id % 5 <= 1 THEN 10.0::DOUBLE WHEN sample_id % 5 = 2 THEN 30.0::DOUBLE ELSE 20.0::DOUBLE END AS prediction FROM catalog""")
+def exact_forest(spark, sf_dir):
+    """A price that depends on the feature alone is found exactly, whatever rows a tree drew."""
+    step = F.col("sample_id") % 5
+    rows = _few(spark, sf_dir).withColumn("label", F.when(step <= 1, 10.0).when(step == 2, 30.0).otherwise(20.0))
+    return rounded(mo.random_forest(20, 3).fit(rows).transform(rows).select("sample_id", "prediction"))
+
+
+_add_stump("stump_extra_trees_M2", lambda: mo.extra_trees(1, 1))
+_add_stump("stump_boosting_M3", lambda: mo.boosting(1, 1, 0.1))
+# five levels tell five values apart: the mean of each
+_add_stump("few_values_leafwise_M4", lambda: mo.leafwise_boosting(1, 0.1), _FEW + f"""
+SELECT sample_id, {s6('avg(y) OVER (PARTITION BY x)', 4)} AS prediction FROM xy""")
+
+
+@query("stump_importance_L2", "SELECT 'x' AS feature, CAST(1 AS DOUBLE) AS importance")
+def stump_importance(spark, sf_dir):
+    rows = _few(spark, sf_dir)
+    return sc.importance_table(rows, mo.random_forest(1, 1).fit(rows), ["x"])
+
+
+@query("select_by_correlation_L1", _XY + """
+, c AS (SELECT 0 AS position, abs(corr(x1, y)) AS r FROM xy UNION ALL SELECT 1, abs(corr(x2, y)) FROM xy
+  UNION ALL SELECT 2, abs(corr(CAST(sample_id % 50 AS DOUBLE), y)) FROM xy UNION ALL SELECT 3, abs(corr(CAST(sample_id AS DOUBLE), y)) FROM xy)
+SELECT CAST(position AS BIGINT) AS position FROM c ORDER BY r DESC LIMIT 2""")
+def select_by_correlation(spark, sf_dir):
+    """The regression score rises with the squared correlation."""
+    rows = catalog(spark, sf_dir).select(
+        "sample_id", F.col("price").alias("label"), F.length("catalog_content").cast("double").alias("x1"),
+        (F.col("sample_id") % 13).cast("double").alias("x2"), (F.col("sample_id") % 50).cast("double").alias("x3"),
+        F.col("sample_id").cast("double").alias("x4"),
+    )
+    chosen = sc.fit_selector(sc.assemble(rows, ["x1", "x2", "x3", "x4"], ["sample_id", "label"]), 2)
+    return spark.createDataFrame([(i,) for i in chosen.selectedFeatures], "position long")
+
+
+@query("failing_member_M8", "SELECT 'ridge' AS model, CAST(1 AS BIGINT) AS fitted UNION ALL SELECT 'broken', CAST(0 AS BIGINT)")
 def failing_member(spark, sf_dir):
     """One member cannot be fitted: it is reported, the others stay."""
     members = {"ridge": SMALL["ridge"], "broken": lambda: mo.random_forest(5, 5, subset="none")}
@@ -116,6 +181,22 @@ def ridge_cross_validation(spark, sf_dir):
     return rounded(spark.createDataFrame(status, tr.STATUS_SCHEMA).select("mae", "mae_spread"), 4)
 
 
+_GRID = (0.5, 1.0, 1000.0)
+
+
+@query("ridge_grid_C4", _CV.split("tr AS (")[0].rstrip().rstrip(",") + f"""
+, al AS (SELECT unnest([{', '.join(map(str, _GRID))}]::DOUBLE[]) AS alpha),
+tr AS (SELECT k, alpha, t.* FROM (SELECT unnest(range(3)) AS k), al, fo t WHERE t.fold <> k),
+w AS (SELECT k, alpha, covar_pop(x1, y) * count(*) / (var_pop(x1) * count(*) + alpha) AS w1, avg(x1) AS m1, avg(y) AS my FROM tr GROUP BY k, alpha),
+sc AS (SELECT k, alpha, avg(abs(my + w1 * (x1 - m1) - y)) AS mae FROM fo JOIN w ON fo.fold = w.k GROUP BY k, alpha)
+SELECT alpha, {s6('avg(mae)', 4)} AS mae FROM sc GROUP BY alpha""")
+def ridge_grid(spark, sf_dir):
+    """The error of every grid point; ridge on one feature has a closed form."""
+    folded = contiguous_folds(_xy(spark, sf_dir, ["x1"]), 3)
+    _, _, scores = tr.tune(mo.ridge(), folded, {"alpha": list(_GRID)})
+    return rounded(spark.createDataFrame([(s["alpha"], s["mae"]) for s in scores], "alpha double, mae double"), 4)
+
+
 @query("grid_search_C4")
 def grid_search(spark, sf_dir):
     """MAE of every grid point; ``best`` marks the one that is kept."""
@@ -125,6 +206,26 @@ def grid_search(spark, sf_dir):
     return rounded(spark.createDataFrame(rows, "trees long, depth long, mae double, best long"))
 
 
+@query("ridge_stacking_E5", _XY + f"""
+, ix AS (SELECT *, row_number() OVER (ORDER BY md5(concat(CAST(sample_id AS VARCHAR), '|42')), sample_id) - 1 AS i, count(*) OVER () AS n FROM xy),
+fo AS (SELECT *, CASE WHEN i < (n % 5) * (n // 5 + 1) THEN i // (n // 5 + 1) ELSE (i - (n % 5) * (n // 5 + 1)) // (n // 5) + n % 5 END AS fold FROM ix),
+tr AS (SELECT k, t.* FROM (SELECT unnest(range(5)) AS k) JOIN fo t ON t.fold <> k),
+w AS (SELECT k, covar_pop(x1, y) * count(*) / (var_pop(x1) * count(*) + 1) AS w1, avg(x1) AS m1, avg(y) AS my FROM tr GROUP BY k),
+oof AS (SELECT sample_id, y, x1, CAST(fold AS BIGINT) AS fold, my + w1 * (x1 - m1) AS p FROM fo JOIN w ON fo.fold = w.k),
+b AS (SELECT covar_pop(p, y) * count(*) / (var_pop(p) * count(*) + 0.1) AS wb, avg(p) AS mp, avg(y) AS mb FROM oof),
+a AS (SELECT covar_pop(x1, y) * count(*) / (var_pop(x1) * count(*) + 1) AS w1, avg(x1) AS m1, avg(y) AS my FROM xy)
+SELECT sample_id, fold, {s6('p', 3)} AS out_of_fold, {s6('mb + wb * (a.my + a.w1 * (x1 - a.m1) - mp)', 3)} AS blended FROM oof, b, a""")
+def ridge_stacking(spark, sf_dir):
+    """Out-of-fold predictions and the blend, with one member that has a closed form."""
+    rows = _xy(spark, sf_dir, ["x1"])
+    stack = tr.fit_stack(rows, {"ridge": SMALL["ridge"]}, k=5)
+    blended = stack.predict(rows).withColumnRenamed("price", "blended")
+    both = stack.out_of_fold.join(blended, "sample_id")
+    return rounded(both.select(
+        "sample_id", F.col("fold").cast("long").alias("fold"), F.col("prediction_ridge").alias("out_of_fold"), "blended"
+    ), 3)
+
+
 @query("stacking_E5")
 def stacking(spark, sf_dir):
     """Out-of-fold predictions of each member and the blend over them."""
@@ -230,16 +331,21 @@ def honest_cross_validation(spark, sf_dir):
     return rounded(tr.honest_scores(catalog(spark, sf_dir), "fast", members=members))
 
 
-@query("saved_bundle_S9_S10")
+@query("saved_bundle_S9_S10", with_tables("catalog") + """
+SELECT sample_id, TRUE AS same, price < 0 OR TRUE AS bounded FROM catalog""")
 def saved_bundle(spark, sf_dir):
-    """Predictions of a plan and of the same plan saved and loaded again."""
+    """A plan with settings of its own predicts the same after saving and loading."""
     rows = catalog(spark, sf_dir)
-    fitted = tr.train(rows, PLANS["fast"], members={k: SMALL[k] for k in ("rf", "ridge")}, folds=None)
+    plan = replace(PLANS["fast"], name="mine", weights=[(2, {"rf": 0.2, "ridge": 0.8})], floor=900.0, ceiling=1100.0)
+    fitted = tr.train(rows, plan, members={k: SMALL[k] for k in ("rf", "ridge")}, folds=None)
     path = scratch_path(spark, "bundle")
     bundle.save(spark, fitted, path)
     again = bundle.load(spark, path)
     before = fitted.predict(rows).withColumnRenamed("price", "fitted")
-    return rounded(before.join(again.predict(rows).withColumnRenamed("price", "loaded"), "sample_id"))
+    both = before.join(again.predict(rows).withColumnRenamed("price", "loaded"), "sample_id")
+    return both.select(
+        "sample_id", (F.col("fitted") == F.col("loaded")).alias("same"), F.col("loaded").between(900, 1100).alias("bounded")
+    )
 
 
 @query("image_plan_J4")
@@ -255,12 +361,29 @@ def image_plan(spark, sf_dir):
     return rounded(fitted.predict(rows))
 
 
-@query("streamed_scores")
+@query("streamed_scores", with_tables("catalog") + "SELECT sample_id, TRUE AS same FROM catalog")
 def streamed_scores(spark, sf_dir):
-    """Catalog files scored as a stream, read back from the sink."""
+    """Catalog files scored as a stream, read back from the sink, against the same rows scored at once."""
     rows = catalog(spark, sf_dir)
     fitted = tr.train(rows, "fast", members={"ridge": SMALL["ridge"]}, folds=None)
     inbox, out, mark = (scratch_path(spark, n) for n in ("inbox", "scores", "mark"))
     rows.select("sample_id", "catalog_content", "image_link").write.parquet(inbox)
     st.score_stream(fitted, st.catalog_stream(spark, inbox), out, mark, once=True).awaitTermination()
-    return rounded(spark.read.parquet(out))
+    at_once = fitted.predict(rows).withColumnRenamed("price", "at_once")
+    return spark.read.parquet(out).join(at_once, "sample_id", "full").select(
+        "sample_id", F.col("price").eqNullSafe(F.col("at_once")).alias("same")
+    )
+
+
+@query("exploratory_run")
+def exploratory_run(spark, sf_dir):
+    """Four features, the first 70 % for training, standard scaling, 50 deep trees; the errors on the rest."""
+    names = ["text_length", "word_count", "number_count", "max_number"]
+    rows = text_features(positional_split(catalog(spark, sf_dir), 0.7), "base", keep=("sample_id", "price", "split"))
+    rows = rows.withColumn("label", F.col("price"))
+    seen = rows.where("split = 'train'")
+    scales = sc.fit_standard(seen, names)
+    ready = lambda df: sc.assemble(sc.apply_scales(df, scales), names, ["sample_id", "label"])
+    model = mo.random_forest(50, 30).fit(ready(seen))
+    scored = model.transform(ready(rows.where("split = 'test'")))
+    return rounded(me.score(scored.select("sample_id", F.lit("rf").alias("model"), "prediction", F.col("label").alias("price"))))

@@ -493,7 +493,7 @@ _add_vectors("tfidf_vectors_sublinear_V9", ENHANCED)
 _add_vectors("tfidf_vectors_plain_V9", FAST)
 
 
-@query("unfitted_vocabulary_V10")
+@query("unfitted_vocabulary_V10", with_tables("catalog", "catalog_null") + "SELECT CAST(count(*) AS BIGINT) AS rows, 1 AS refused FROM catalog_null")
 def unfitted_vocabulary(spark, sf_dir):
     """Weighting before fitting is refused; one row tells so."""
     rows = catalog_null(spark, sf_dir)
