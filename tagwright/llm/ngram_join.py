@@ -12,12 +12,13 @@ link if their Jaccard similarity is at least ``percent`` per cent.
    often come last in that order, so shared boilerplate rarely shows. Prefixes
    travel packed by value range, not as one row per element.
 3. In a value's list classes lie in bands of comparable size. First every class
-   meets its band's leader (a few pairs per class, however large the band). What
+   meets two leaders of its band (a few pairs per class, however large the band). What
    that links forms components; then classes of one list that are still in
-   different components meet: no pair within a component is looked at again,
-   and no pair that shares a prefix element and may link is left out.
+   different components meet, bitmap against bitmap within the list: no pair
+   within a component is looked at again, no pair that shares a prefix element
+   and may link is left out, and only pairs whose bitmaps let them link come out.
 4. A pair of bitmaps differs in at most as many bits as the sets differ in
-   elements. That bounds the overlap from above; pairs that may still link are
+   elements, which bounds the overlap from above. Pairs that may still link are
    put into tiles of a leader and a bounded number of partners, where the sorted
    sets are intersected.
 
@@ -163,6 +164,7 @@ def _lists(percent: int):
         starts = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
         lengths = np.diff(np.append(starts, len(v)))
         rank = mix(c.view(np.uint64))
+        other_rank = mix(rank)
         two = starts[lengths == 2]
         close = percent * n[two + 1] <= 100 * n[two]
         pairs = [np.stack([c[two[close]], c[two[close] + 1]], axis=1)]
@@ -173,9 +175,10 @@ def _lists(percent: int):
             while at < end:
                 # a band reaches from its smallest size to the largest that may link with it
                 to = a + int(np.searchsorted(n[a:end], n[at] * 100 // percent, side="right"))
-                lead = at + int(np.argmin(rank[at:to]))
-                others = np.delete(c[at:to], lead - at)
-                pairs.append(np.stack([np.full(len(others), c[lead]), others], axis=1))
+                for order in (rank, other_rank):
+                    lead = at + int(np.argmin(order[at:to]))
+                    others = np.delete(c[at:to], lead - at)
+                    pairs.append(np.stack([np.full(len(others), c[lead]), others], axis=1))
                 at = to
         found = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
         k = len(lists)
@@ -193,18 +196,40 @@ _LONGS = pa.list_(pa.int64())
 
 
 def _meetings(percent: int):
-    """Pairs of one list, comparable in size and not in one component."""
+    """Pairs of one list that are not in one component and that size and bitmaps let link."""
+    def meet(c, n, root, bits):
+        # by size, so bitmaps of one length stand together; the next length is twice as long or more
+        lengths = np.array([len(b) for b in bits])
+        blocks = {}
+        for size in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == size)
+            own = np.frombuffer(b"".join(bits[i] for i in at), np.uint64).reshape(len(at), -1)
+            blocks[size] = int(at[0]), own
+        reach = np.searchsorted(n, n * 100 // percent, side="right")
+        for i in range(len(c) - 1):
+            size = int(lengths[i])
+            first, own = blocks[size]
+            mine = own[i - first]
+            differ = [np.bitwise_count(own[i + 1 - first : reach[i] - first] ^ mine).sum(1, dtype=np.int64)]
+            if reach[i] > first + len(own):
+                # comparable sets have at most twice the bits: fold those
+                after, longer = blocks[2 * size]
+                folded = longer[: reach[i] - after, : size // 8] ^ longer[: reach[i] - after, size // 8 :]
+                differ.append(np.bitwise_count(folded ^ mine).sum(1, dtype=np.int64))
+            total = n[i] + n[i + 1 : reach[i]]
+            overlap = (total - np.concatenate(differ)) // 2
+            may = (root[i + 1 : reach[i]] != root[i]) & (100 * overlap >= percent * (total - overlap))
+            others = c[i + 1 : reach[i]][may]
+            if len(others):
+                yield np.stack([np.minimum(c[i], others), np.maximum(c[i], others)], axis=1)
+
     def run(batches):
         for batch in batches:
             pairs = []
             for members in batch.column(0).to_pylist():
-                members.sort(key=lambda m: m["n"])
+                members.sort(key=lambda m: (m["n"], m["class"]))
                 c, n, root = (np.array([m[k] for m in members], np.int64) for k in ("class", "n", "root"))
-                reach = np.searchsorted(n, n * 100 // percent, side="right")
-                for i in range(len(c) - 1):
-                    others = c[i + 1 : reach[i]][root[i + 1 : reach[i]] != root[i]]
-                    if len(others):
-                        pairs.append(np.stack([np.minimum(c[i], others), np.maximum(c[i], others)], axis=1))
+                pairs += meet(c, n, root, [m["bits"] for m in members])
             if pairs:
                 found = np.unique(np.concatenate(pairs), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
@@ -324,9 +349,11 @@ def similar_components(
     members = lists.select("list", F.explode(F.arrays_zip("classes", "sizes")).alias("m")).select(
         "list", F.col("m.classes").alias("class"), F.col("m.sizes").alias("n")
     ).join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    apart = members.groupBy("list").agg(
-        F.collect_list(F.struct("class", "n", "root")).alias("members"), F.min("root").alias("x"), F.max("root").alias("y")
-    ).where("x != y").select("members")
+    members = materialize(members, "members")
+    split = members.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("list")
+    apart = members.join(split, "list").join(classes.select("class", "bits"), "class").groupBy("list").agg(
+        F.collect_list(F.struct("class", "n", "root", "bits")).alias("members")
+    ).select("members")
     rest = apart.mapInArrow(_meetings(percent), "a long, b long").distinct().join(led, ["a", "b"], "left_anti")
     links = links.union(materialize(_verify(known, classes, rest, size, percent), "links"))
 
