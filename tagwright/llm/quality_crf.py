@@ -74,7 +74,8 @@ def labelled_sample(labels: DataFrame, label: str, key: str, held_out, per_label
     )
     order = F.xxhash64("key")
     parts = [agreed.where(F.col("label") == v).orderBy(order, "key").limit(per_label) for v in (0, 1)]
-    return parts[0].unionByName(parts[1])
+    # at most 2 * per_label rows of two values: gathered once, used several times
+    return labels.sparkSession.createDataFrame([r for p in parts for r in p.collect()], agreed.schema)
 
 
 def train_quality(

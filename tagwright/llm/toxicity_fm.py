@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagwright.llm.blocks import by_range
 from tagwright.llm.frames import crc_part, map_texts
 from tagwright.llm.quality_crf import labelled_sample
 from tagwright.llm.words import Words, chunks, find, lower, mix
@@ -108,6 +109,25 @@ def fit(row, term, y, weight, n_terms, settings: ToxicitySettings):
     return params[0], params[1 : n_terms + 1], params[n_terms + 1 :].reshape(n_terms, k)
 
 
+#: value ranges of terms, each counted by one task
+_RANGES = 64
+
+
+def _best_terms(sizes: dict[int, int], settings: ToxicitySettings):
+    """Of one range's terms those that occur most unevenly over the labels."""
+    def run(table: pa.Table) -> pa.Table:
+        join = lambda name, t: np.concatenate([np.frombuffer(b.as_py(), t) for b in table[name]])
+        each, at = np.unique(join("terms", np.uint64), return_inverse=True)
+        bad, good = (np.bincount(at, join(c, np.int64), len(each)) for c in ("bad", "good"))
+        often = bad + good >= settings.min_docs
+        each, b, g = each[often].view(np.int64), bad[often] / sizes[1], good[often] / sizes[0]
+        score = (b - g) ** 2 / (b + g)
+        best = np.lexsort((each, -score))[: settings.n_terms]
+        return pa.table({"term": each[best], "score": score[best]})
+
+    return run
+
+
 def train_toxicity(
     docs: DataFrame, labels: DataFrame, settings: ToxicitySettings = ToxicitySettings(), key: str = "doc_id",
     text: str = "text", label: str = "toxic",
@@ -130,22 +150,23 @@ def train_toxicity(
             hashes, toxic = hashes[new], label[text_of[new]]
             each, at = np.unique(hashes, return_inverse=True)
             bad = np.bincount(at, toxic, len(each)).astype(np.int64)
+            good = np.bincount(at, minlength=len(each)) - bad
+            order, bounds = by_range(each, _RANGES)
+            some = np.flatnonzero(np.diff(bounds))
+            cut = lambda x: pa.array([x[order][bounds[r] : bounds[r + 1]].tobytes() for r in some], pa.binary())  # noqa: E731,B023
             yield pa.RecordBatch.from_arrays(
-                [pa.array(each.view(np.int64)), pa.array(bad), pa.array(np.bincount(at, minlength=len(each)) - bad)],
-                names=["term", "bad", "good"],
+                [pa.array(some.astype(np.int32)), cut(each), cut(bad), cut(good)], names=["range", "terms", "bad", "good"]
             )
 
-    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    sizes = {int(r["label"]): r["count"] for r in sample.groupBy("label").count().collect()}
     empty = ToxicityModel(np.zeros(0, np.uint64), -40.0, np.zeros(0), np.zeros((0, settings.factors)))
     if len(sizes) < 2:
         p = min(max(share or 0.0, 1e-9), 1 - 1e-9)
         return ToxicityModel(empty.chosen, float(np.log(p / (1 - p))), empty.weights, empty.factors)
-    b, g = F.col("bad") / sizes[1], F.col("good") / sizes[0]
     chosen = (
-        rows.mapInArrow(counts, "term long, bad long, good long").groupBy("term")
-        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-        .where(F.col("bad") + F.col("good") >= settings.min_docs)
-        .orderBy(F.desc((b - g) * (b - g) / (b + g)), "term").limit(settings.n_terms).select("term").collect()
+        rows.mapInArrow(counts, "range int, terms binary, bad binary, good binary").groupBy("range")
+        .applyInArrow(_best_terms(sizes, settings), "term long, score double")
+        .orderBy(F.desc("score"), "term").limit(settings.n_terms).select("term").collect()
     )
     hashes = np.sort(np.array([r["term"] for r in chosen], np.int64).view(np.uint64))
     chooser = ToxicityModel(hashes, 0.0, np.zeros(len(hashes)), np.zeros((len(hashes), 1)))
