@@ -103,6 +103,13 @@ def answers_csv(spark, sf_dir):
 
 @query("write_predictions_S4", CAT + f"SELECT sample_id, {s6('price')} AS price FROM catalog")
 def write_predictions(spark, sf_dir):
+    path = scratch_path(spark, "predictions")
+    cs.write_predictions(catalog(spark, sf_dir), path)
+    return rounded(cs.read_answers(spark, path))
+
+
+@query("write_predictions_parquet_S4", CAT + f"SELECT sample_id, {s6('price')} AS price FROM catalog")
+def write_predictions_parquet(spark, sf_dir):
     path = scratch_path(spark, "predictions")
     cs.write_predictions(catalog(spark, sf_dir), path, "parquet")
     return rounded(spark.read.schema(cs.ANSWERS).parquet(path))
