@@ -850,6 +850,30 @@ def image_embedding(spark, sf_dir):
     )
 
 
+@query("image_path_J4", with_tables("catalog") + f"""
+, files AS (SELECT DISTINCT p_partkey % 400 AS n FROM part),
+linked AS (SELECT sample_id, CAST(regexp_extract(image_link, '([0-9]+).jpg', 1) AS BIGINT) AS n FROM catalog)
+SELECT sample_id, CASE WHEN f.n IS NULL OR f.n % 50 = 7 THEN 0.0::DOUBLE ELSE CAST(f.n AS DOUBLE) + 1 END AS first
+FROM linked LEFT JOIN files f USING (n)""")
+def image_path(spark, sf_dir):
+    """From links and files to a vector per row; images that cannot be decoded give zeros alone."""
+    number = F.col("p_partkey") % 400
+    files = table(spark, sf_dir, "part").select(number.alias("n")).distinct().select(
+        F.concat(F.col("n").cast("string"), F.lit(".jpg")).alias("file_name"),
+        F.length(F.col("n").cast("string")).cast("long").alias("length"),
+        F.encode(F.col("n").cast("string"), "utf-8").alias("content"),
+    )
+
+    def embed(contents):
+        numbers = [int(c) for c in contents]
+        if any(n % 50 == 7 for n in numbers):
+            raise ValueError("cannot decode")
+        return [[n + 1.0, 0.5] for n in numbers]
+
+    out = im.attach_images(catalog(spark, sf_dir), files, embed, 2)
+    return out.select("sample_id", F.element_at("embedding", 1).cast("double").alias("first"))
+
+
 @query("image_extensions_I5", """
 WITH f AS (SELECT lower(['jpg', 'PNG', 'jpeg', 'txt'][p_size % 4 + 1]) AS extension FROM part)
 SELECT extension, CAST(count(*) AS BIGINT) AS files FROM f WHERE extension IN ('jpg', 'jpeg', 'png') GROUP BY extension""")

@@ -310,6 +310,7 @@ _WITHOUT_ET = {**{k: SMALL[k] for k in ("rf", "xgb", "ridge")}, "gb": lambda: mo
 _add_plan("fit_predict_base", "base", _WITHOUT_ET)
 _add_plan("fit_predict_fast", "fast", SMALL)
 _add_plan("fit_predict_enhanced", "enhanced", SMALL)
+_add_plan("fit_predict_enhanced_gpu", "enhanced_gpu", {**SMALL, "lgb": lambda: mo.leafwise_boosting(6, 0.3)})
 _add_plan("fit_predict_enhanced_opt", "enhanced_opt", {**SMALL, "en": lambda: mo.elastic_net()})
 
 
