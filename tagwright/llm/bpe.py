@@ -27,8 +27,10 @@ import json
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tagwright.llm.frames import map_texts
 
@@ -239,6 +241,19 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     return map_texts(docs, make, "ids array<int>", key, text)
 
 
+def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """``key`` and ``text`` of every row of ids; null ids give an empty text."""
+    schema = T.StructType([encoded.schema[key], T.StructField("text", T.StringType())])
+
+    def run(batches):
+        machine = _load(path)
+        for batch in batches:
+            texts = ["".join(machine.decode(np.array(i or [], "<u4").tobytes())) for i in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
+
+    return encoded.select(key, ids).mapInArrow(run, schema)
+
+
 def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Number and digest of each text's ids, and the digest of what they decode to.
 

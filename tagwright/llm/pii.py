@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: fixed values: the formats looked for
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 ACCESS_KEY = r"\bAKIA[0-9A-Z]{16}\b"
 ASSIGNED = r"(?i:\b(?:password|passwd|pwd|token|secret|api_key|apikey)[=:][^\s\"']++)"
 HEX = r"\b(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)\b"
