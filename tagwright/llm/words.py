@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: fixed values: the bytes that separate words, ``[\x20\x09-\x0D]``
 SPACE = b" \t\n\v\f\r"
@@ -173,14 +174,11 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Itera
     Each piece holds whole rows of about ``limit`` bytes of text.
     """
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-        first = size = 0
-        for i, text in enumerate(texts):
-            if text is None:
-                texts[i] = text = b""
-            if size and size + len(text) > limit:
-                yield batch.slice(first, i - first), texts[first:i]
-                first, size = i, 0
-            size += len(text) + 1
-        if first < len(texts):
-            yield batch.slice(first), texts[first:]
+        column = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
+        ends = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        first = 0
+        while first < len(ends):
+            before = ends[first - 1] if first else 0
+            to = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(first, to - first), [t or b"" for t in column.slice(first, to - first).to_pylist()]
+            first = to
