@@ -264,9 +264,13 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, key: str = "
     shares[A.OTHER], shares[A.END] = everything - shares.sum(), n_ends
     params = A.flat(A.initial(shares))
     trainers = max(1, -(-n_ends // _TRAINER))
-    dealt = windows.withColumn("trainer", F.pmod(F.xxhash64("window"), F.lit(trainers)))
+    # dealt by place in the written table, so that copies of one text do not meet in one trainer
+    dealt = windows.withColumn("place", F.monotonically_increasing_id()).select(
+        "window", F.pmod(F.xxhash64("place"), F.lit(trainers)).alias("trainer"),
+        F.pmod(F.xxhash64("place", F.lit(1)), F.lit(_ROUNDS)).alias("turn"),
+    )
     for turn in range(_ROUNDS):
-        part = dealt.where(F.pmod(F.xxhash64("window", F.lit(1)), F.lit(_ROUNDS)) == turn)
+        part = dealt.where(F.col("turn") == turn)
         mean = part.groupBy("trainer").applyInArrow(
             _train(chosen, params, 0.01 / (turn + 1)), "place long, value double"
         ).groupBy("place").agg(F.avg("value").alias("value")).collect()
