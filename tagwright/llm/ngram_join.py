@@ -6,16 +6,17 @@ link if their Jaccard similarity is at least ``percent`` per cent.
 
 1. Documents with equal sets form a class; all further work is on classes, so
    copies cost nothing. Each class has its size and a bitmap: bit i is the parity
-   of its elements that hash to i, with about one bit per element.
+   of its elements that hash to i, with two bits or more per element.
 2. Of its elements in a global order a set shows only a prefix, short enough
    that two similar sets must share an element of their prefixes. Values seen
    often come last in that order, so shared boilerplate rarely shows. Prefixes
    travel packed by value range, not as one row per element.
 3. In a value's list classes lie in bands of comparable size. First every class
-   meets two leaders of its band (a few pairs per class, however large the band). What
-   that links forms components; then classes of one list that are still in
-   different components meet, bitmap against bitmap within the list: no pair
-   within a component is looked at again, no pair that shares a prefix element
+   meets three leaders of its band (a few pairs per class, however large the band). What
+   that links forms components. Then each class outside the main component of its
+   lists meets its most promising partner, and last all classes of one list that are
+   still in different components meet, bitmap against bitmap within the list: no
+   pair within a component is looked at again, no pair that shares a prefix element
    and may link is left out, and only pairs whose bitmaps let them link come out.
 4. A pair of bitmaps differs in at most as many bits as the sets differ in
    elements, which bounds the overlap from above. Pairs that may still link are
@@ -45,8 +46,8 @@ from tagwright.workspace import materialize
 _FREQUENT, _OFTEN = 1 << 17, 16
 #: bits of the broadcast bitmap of wanted documents
 _WANTED_BITS = 1 << 23
-#: pairs of a leader in one tile, and rows of a group of tiles
-_TILE, _GROUP = 256, 256
+#: pairs of a leader in one tile, rows of a group of tiles, members of a list in one tile
+_TILE, _GROUP, _LIST_TILE = 256, 256, 4096
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -72,8 +73,8 @@ def class_of(values: np.ndarray) -> int:
 
 
 def bitmap(values: np.ndarray) -> bytes:
-    """Parities of the set's elements by hash; a power of two of bits, at least 64 and the set's size."""
-    bits = max(64, 1 << max(0, len(values) - 1).bit_length())
+    """Parities of the set's elements by hash, in a power of two of bits: two to four for an element, 64 at least."""
+    bits = max(64, 2 << max(0, len(values) - 1).bit_length())
     counts = np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -164,7 +165,7 @@ def _lists(percent: int):
         starts = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
         lengths = np.diff(np.append(starts, len(v)))
         rank = mix(c.view(np.uint64))
-        other_rank = mix(rank)
+        ranks = rank, mix(rank), mix(mix(rank))
         two = starts[lengths == 2]
         close = percent * n[two + 1] <= 100 * n[two]
         pairs = [np.stack([c[two[close]], c[two[close] + 1]], axis=1)]
@@ -175,7 +176,7 @@ def _lists(percent: int):
             while at < end:
                 # a band reaches from its smallest size to the largest that may link with it
                 to = a + int(np.searchsorted(n[a:end], n[at] * 100 // percent, side="right"))
-                for order in (rank, other_rank):
+                for order in ranks:
                     lead = at + int(np.argmin(order[at:to]))
                     others = np.delete(c[at:to], lead - at)
                     pairs.append(np.stack([np.full(len(others), c[lead]), others], axis=1))
@@ -195,9 +196,10 @@ def _lists(percent: int):
 _LONGS = pa.list_(pa.int64())
 
 
-def _meetings(percent: int):
-    """Pairs of one list that are not in one component and that size and bitmaps let link."""
-    def meet(c, n, root, bits):
+def _meetings(percent: int, best: bool):
+    """Pairs of one list that are not in one component and that size and bitmaps
+    let link; with ``best`` only each member's most promising one."""
+    def meet(n, root, bits):
         # by size, so bitmaps of one length stand together; the next length is twice as long or more
         lengths = np.array([len(b) for b in bits])
         blocks = {}
@@ -206,7 +208,7 @@ def _meetings(percent: int):
             own = np.frombuffer(b"".join(bits[i] for i in at), np.uint64).reshape(len(at), -1)
             blocks[size] = int(at[0]), own
         reach = np.searchsorted(n, n * 100 // percent, side="right")
-        for i in range(len(c) - 1):
+        for i in range(len(n) - 1):
             size = int(lengths[i])
             first, own = blocks[size]
             mine = own[i - first]
@@ -219,9 +221,9 @@ def _meetings(percent: int):
             total = n[i] + n[i + 1 : reach[i]]
             overlap = (total - np.concatenate(differ)) // 2
             may = (root[i + 1 : reach[i]] != root[i]) & (100 * overlap >= percent * (total - overlap))
-            others = c[i + 1 : reach[i]][may]
-            if len(others):
-                yield np.stack([np.minimum(c[i], others), np.maximum(c[i], others)], axis=1)
+            j = np.flatnonzero(may)
+            if len(j):
+                yield np.full(len(j), i), j + i + 1, overlap[j] / (total[j] - overlap[j])
 
     def run(batches):
         for batch in batches:
@@ -229,7 +231,16 @@ def _meetings(percent: int):
             for members in batch.column(0).to_pylist():
                 members.sort(key=lambda m: (m["n"], m["class"]))
                 c, n, root = (np.array([m[k] for m in members], np.int64) for k in ("class", "n", "root"))
-                pairs += meet(c, n, root, [m["bits"] for m in members])
+                met = list(meet(n, root, [m["bits"] for m in members]))
+                if not met:
+                    continue
+                x, y, bound = map(np.concatenate, zip(*met))
+                if best:
+                    both, at = np.concatenate([x, y]), np.tile(np.arange(len(x)), 2)
+                    order = np.lexsort((at, -bound[at], both))
+                    keep = np.unique(at[order][np.unique(both[order], return_index=True)[1]])
+                    x, y = x[keep], y[keep]
+                pairs.append(np.sort(np.stack([c[x], c[y]], axis=1), axis=1))
             if pairs:
                 found = np.unique(np.concatenate(pairs), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
@@ -237,6 +248,35 @@ def _meetings(percent: int):
     return run
 
 
+def _apart(members: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of classes of one list that ``_meetings`` finds.
+
+    A list's main component is that of most of its members. Members in it lie in
+    one tile of the list each, the others in all of its tiles: every pair of two
+    components meets, and a tile holds a bounded share of the main component.
+    With ``best`` two lists are enough for each class outside the main component.
+    """
+    rooted = materialize(
+        members.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")),
+        "members",
+    )
+    lists = rooted.groupBy("list", "root").agg(F.count("*").alias("k")).groupBy("list").agg(
+        F.sum("k").alias("size"), F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots")
+    ).where("roots > 1").select("list", "main", F.ceil(F.col("size") / _LIST_TILE).alias("tiles"))
+    split = rooted.join(lists, "list")
+    if best:
+        # by a hash of the list, so that members of one group choose the same lists
+        least = lambda i: F.min_by("list", F.xxhash64("list", F.lit(i)))
+        chosen = split.where("root <> main").groupBy("class").agg(F.array(least(0), least(1)).alias("list"))
+        split = split.join(chosen.select(F.explode("list").alias("list")).distinct(), "list")
+    own = F.array(F.pmod(F.xxhash64("class"), F.col("tiles")))
+    every = F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)
+    tiled = split.withColumn("tile", F.explode(F.when(F.col("root") == F.col("main"), own).otherwise(every)))
+    return tiled.join(classes.select("class", "bits"), "class").groupBy("list", "tile").agg(
+        F.collect_list(F.struct("class", "n", "root", "bits")).alias("members")
+    ).select("members").mapInArrow(_meetings(percent, best), "a long, b long").distinct()
+
+
 # ------------------------------------------------------------ 4. bounds and exact sets
 def _may_link(percent: int):
     def run(batches):
@@ -341,21 +381,17 @@ def similar_components(
             _prefixes(size, percent, frequent, n_ranges), "range int, values binary, classes binary, sizes binary"
         ).groupBy("range").applyInArrow(_lists(percent), "a long, b long, classes array<long>, sizes array<long>"), "lists",
     )
-    led = shared.where("a is not null").select("a", "b").distinct()
-    links = materialize(_verify(known, classes, led, size, percent), "links")
-    roots = components(links)
-
-    lists = shared.where("a is null").select(F.xxhash64("classes").alias("list"), "classes", "sizes").dropDuplicates(["list"])
-    members = lists.select("list", F.explode(F.arrays_zip("classes", "sizes")).alias("m")).select(
-        "list", F.col("m.classes").alias("class"), F.col("m.sizes").alias("n")
-    ).join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    members = materialize(members, "members")
-    split = members.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("list")
-    apart = members.join(split, "list").join(classes.select("class", "bits"), "class").groupBy("list").agg(
-        F.collect_list(F.struct("class", "n", "root", "bits")).alias("members")
-    ).select("members")
-    rest = apart.mapInArrow(_meetings(percent), "a long, b long").distinct().join(led, ["a", "b"], "left_anti")
-    links = links.union(materialize(_verify(known, classes, rest, size, percent), "links"))
+    members = shared.where("a is null").select(F.xxhash64("classes").alias("list"), "classes", "sizes").dropDuplicates(
+        ["list"]).select("list", F.explode(F.arrays_zip("classes", "sizes")).alias("m")).select(
+        "list", F.col("m.classes").alias("class"), F.col("m.sizes").alias("n"))
+    tested = shared.where("a is not null").select("a", "b").distinct()
+    links = materialize(_verify(known, classes, tested, size, percent), "links")
+    # leaders first, then the most promising partners, then all that are still apart
+    for best in (True, False):
+        pairs = _apart(members, classes, components(links), percent, best)
+        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "apart")
+        tested = tested.union(pairs)
+        links = links.union(materialize(_verify(known, classes, pairs, size, percent), "links"))
 
     roots = components(links)
     joined = classes.select("class", F.col("doc_id").alias("first")).join(
