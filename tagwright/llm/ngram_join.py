@@ -6,7 +6,7 @@ link if their Jaccard similarity is at least ``percent`` per cent.
 
 1. Documents with equal sets form a class; all further work is on classes, so
    copies cost nothing. Each class has its size and a bitmap: bit i is the parity
-   of its elements that hash to i, with two bits or more per element.
+   of its elements that hash to i, with at least one bit per element.
 2. Of its elements in a global order a set shows only a prefix, short enough
    that two similar sets must share an element of their prefixes. Values seen
    often come last in that order, so shared boilerplate rarely shows. Prefixes
@@ -43,7 +43,9 @@ from tagwright.llm.words import Words, chunks, find, lower, mix, windows
 from tagwright.workspace import materialize
 
 #: frequent values that come last in the order: at most so many, seen so often
-_FREQUENT, _OFTEN = 1 << 17, 16
+_FREQUENT, _OFTEN = 1 << 17, 4
+#: marks a size where the value is early enough for the set to be the smaller of a pair
+_EARLY = 1 << 30
 #: bits of the broadcast bitmap of wanted documents
 _WANTED_BITS = 1 << 23
 #: pairs of a leader in one tile, rows of a group of tiles, members of a list in one tile
@@ -73,8 +75,8 @@ def class_of(values: np.ndarray) -> int:
 
 
 def bitmap(values: np.ndarray) -> bytes:
-    """Parities of the set's elements by hash, in a power of two of bits: two to four for an element, 64 at least."""
-    bits = max(64, 2 << max(0, len(values) - 1).bit_length())
+    """Parities of the set's elements by hash, in a power of two of bits: one or two for an element, 64 at least."""
+    bits = max(64, 1 << max(0, len(values) - 1).bit_length())
     counts = np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -131,10 +133,13 @@ def _prefixes(size: int, percent: int, frequent: np.ndarray, n_ranges: int):
                     often = np.zeros(n, bool)
                     often[find(frequent, s)[0]] = True
                     s = np.concatenate([s[~often], s[often]])
+                # two similar sets share a value among the first of each; the smaller one has
+                # it earlier, as the overlap must be 2p / (1 + p) of its size or more
                 s = s[: n - -(-percent * n // 100) + 1]
+                early = n - -(-2 * percent * n // (100 + percent)) + 1
                 values.append(s)
                 classes.append(np.full(len(s), c, np.int64))
-                sizes.append(np.full(len(s), n, np.int32))
+                sizes.append(np.where(np.arange(len(s)) < early, n | _EARLY, n).astype(np.int32))
             if not values:
                 continue
             v, c, n = map(np.concatenate, (values, classes, sizes))
@@ -157,30 +162,41 @@ def _lists(percent: int):
     def run(table: pa.Table) -> pa.Table:
         join = lambda name, t: np.concatenate([np.frombuffer(b.as_py(), t) for b in table[name]])
         v, c, n = join("values", np.uint64), join("classes", np.int64), join("sizes", np.int32).astype(np.int64)
+        early, n = n >= _EARLY, n % _EARLY
         order = np.lexsort((c, n, v))
-        v, c, n = v[order], c[order], n[order]
+        v, c, n, early = v[order], c[order], n[order], early[order]
         new = np.ones(len(v), bool)
         new[1:] = (v[1:] != v[:-1]) | (c[1:] != c[:-1])
-        v, c, n = v[new], c[new], n[new]
+        v, c, n, early = v[new], c[new], n[new], early[new]
         starts = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
         lengths = np.diff(np.append(starts, len(v)))
         rank = mix(c.view(np.uint64))
         ranks = rank, mix(rank), mix(mix(rank))
         two = starts[lengths == 2]
-        close = percent * n[two + 1] <= 100 * n[two]
-        pairs = [np.stack([c[two[close]], c[two[close] + 1]], axis=1)]
-        lists = []
+        two = two[early[two] & (percent * n[two + 1] <= 100 * n[two])]
+        pairs, lists = [np.stack([c[two], c[two + 1]], axis=1)], []
         for a, size in zip(starts[lengths > 2].tolist(), lengths[lengths > 2].tolist()):
-            at, end = a, a + size
-            lists.append((c[a:end], n[a:end]))
-            while at < end:
+            # a member stays if it may be the smaller one of a pair or has such a partner
+            f, m = early[a : a + size], n[a : a + size]
+            smaller = np.concatenate([[0], np.maximum.accumulate(np.where(f, m, 0))[:-1]])
+            larger = np.append(percent * m[1:] <= 100 * m[:-1], False)
+            at = a + np.flatnonzero((percent * m <= 100 * smaller) | f & larger)
+            if len(at) < 2:
+                continue
+            if len(at) == 2:
+                pairs.append(c[None, at])
+                continue
+            lists.append((c[at], n[at] + _EARLY * early[at]))
+            sizes, first = n[at], 0
+            while first < len(at):
                 # a band reaches from its smallest size to the largest that may link with it
-                to = a + int(np.searchsorted(n[a:end], n[at] * 100 // percent, side="right"))
+                to = int(np.searchsorted(sizes, sizes[first] * 100 // percent, side="right"))
+                band = at[first:to]
                 for order in ranks:
-                    lead = at + int(np.argmin(order[at:to]))
-                    others = np.delete(c[at:to], lead - at)
-                    pairs.append(np.stack([np.full(len(others), c[lead]), others], axis=1))
-                at = to
+                    lead = int(np.argmin(order[band]))
+                    others = np.delete(c[band], lead)
+                    pairs.append(np.stack([np.full(len(others), c[band[lead]]), others], axis=1))
+                first = to
         found = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
         k = len(lists)
         return pa.table({
@@ -199,7 +215,7 @@ _LONGS = pa.list_(pa.int64())
 def _meetings(percent: int, best: bool):
     """Pairs of one list that are not in one component and that size and bitmaps
     let link; with ``best`` only each member's most promising one."""
-    def meet(n, root, bits):
+    def meet(n, early, root, bits):
         # by size, so bitmaps of one length stand together; the next length is twice as long or more
         lengths = np.array([len(b) for b in bits])
         blocks = {}
@@ -208,7 +224,7 @@ def _meetings(percent: int, best: bool):
             own = np.frombuffer(b"".join(bits[i] for i in at), np.uint64).reshape(len(at), -1)
             blocks[size] = int(at[0]), own
         reach = np.searchsorted(n, n * 100 // percent, side="right")
-        for i in range(len(n) - 1):
+        for i in np.flatnonzero(early[:-1]).tolist():
             size = int(lengths[i])
             first, own = blocks[size]
             mine = own[i - first]
@@ -229,9 +245,9 @@ def _meetings(percent: int, best: bool):
         for batch in batches:
             pairs = []
             for members in batch.column(0).to_pylist():
-                members.sort(key=lambda m: (m["n"], m["class"]))
+                members.sort(key=lambda m: (m["n"] % _EARLY, m["class"]))
                 c, n, root = (np.array([m[k] for m in members], np.int64) for k in ("class", "n", "root"))
-                met = list(meet(n, root, [m["bits"] for m in members]))
+                met = list(meet(n % _EARLY, n >= _EARLY, root, [m["bits"] for m in members]))
                 if not met:
                     continue
                 x, y, bound = map(np.concatenate, zip(*met))
