@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tagwright.llm.frames import map_texts
+from tagwright.llm.frames import forget_late, held, map_texts
 
 #: fixed values: the characters with the property White_Space
 _SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -43,7 +43,7 @@ _PRETOKEN = regex.compile(
 #: white space and what follows it up to the next white space: no pre-token crosses their ends
 _STRETCH = regex.compile(rf"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 _IS_SPACE = regex.compile(rf"[{_SPACES}]")
-#: encodings remembered by a worker, of pre-tokens and of pieces; when full it starts anew
+#: encodings remembered by a worker, of pre-tokens and of pieces
 _REMEMBERED = 700_000
 #: ids decoded at once
 _DECODE_IDS = 1 << 16
@@ -166,8 +166,7 @@ class Transducer:
     def _pretoken(self, text: str) -> bytes:
         ids = self._pretokens.get(text)
         if ids is None:
-            if len(self._pretokens) > _REMEMBERED:
-                self._pretokens.clear()
+            forget_late(self._pretokens, _REMEMBERED)
             ids = self._pretokens[text] = np.array([*self.emit(text.encode())], "<u4").tobytes()
         return ids
 
@@ -194,8 +193,7 @@ class Transducer:
         """
         first, *pieces = text.split(" ")
         known = self._after_space
-        if len(known) > _REMEMBERED:
-            known.clear()
+        forget_late(known, _REMEMBERED)
         for piece in set(pieces):
             if piece not in known:
                 known[piece] = self._piece(piece, " ")
@@ -222,14 +220,8 @@ class Transducer:
         yield machine.decode(b"", True)
 
 
-_LOADED: dict[str, Transducer] = {}
-
-
 def _load(path: str) -> Transducer:
-    """One transducer per Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Transducer(path)
-    return _LOADED[path]
+    return held(path, lambda: Transducer(path))
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,7 +230,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         machine = _load(path)
         return lambda texts: {"ids": [np.frombuffer(machine.encode(t.decode()), "<i4") for t in texts]}
 
-    return map_texts(docs, make, "ids array<int>", key, text)
+    return map_texts(docs, make, "ids array<int>", key, text, holds=True)
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -275,4 +267,4 @@ def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: st
 
         return run
 
-    return map_texts(docs, make, "n_tokens long, ids_sha256 string, decoded_sha256 string", key, text)
+    return map_texts(docs, make, "n_tokens long, ids_sha256 string, decoded_sha256 string", key, text, holds=True)

@@ -19,18 +19,40 @@ def crc_part(key: str | Column, parts: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % parts
 
 
+_HELD: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], object]):
+    """One large helper per Python worker, kept from task to task while the same
+    is asked for; work that holds none lets it go."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def forget_late(known: dict, most: int) -> None:
+    """Cut a full memory to half. What was learned first stays: frequent words come early."""
+    if len(known) > most:
+        for _ in range(len(known) - most // 2):
+            known.popitem()
+
+
 def map_texts(
     docs: DataFrame, make: Callable[[], Callable[[list[bytes]], dict[str, object]]], out: str, key: str = "doc_id",
-    text: str = "text",
+    text: str = "text", holds: bool = False,
 ) -> DataFrame:
     """``key`` and the columns ``out`` (DDL), found from each row's text.
 
     ``make`` runs once per task; what it returns takes a list of texts as
     UTF-8 (null: empty) and returns a list or array for each column.
+    ``holds``: it uses :func:`held`.
     """
     schema = T.StructType([docs.schema[key], *T.StructType.fromDDL(out)])
 
     def run(batches):
+        if not holds:
+            _HELD.clear()
         arrow, fn = to_arrow_schema(schema), make()
         for batch, texts in chunks(batches):
             made = fn(texts)
@@ -47,6 +69,7 @@ def filter_texts(
 ) -> DataFrame:
     """The rows, all columns as they are, whose text the function marks true."""
     def run(batches):
+        _HELD.clear()
         keep = make()
         for batch, texts in chunks(pa.RecordBatch.from_arrays(
             [*b.columns, b.column(at)], names=[*[f"c{i}" for i in range(b.num_columns)], "text"],

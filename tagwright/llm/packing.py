@@ -25,16 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagwright.llm.frames import map_texts
+from tagwright.llm.frames import forget_late, held, map_texts
 
-#: encodings of words, and of stems, remembered by a worker; when full it starts anew
+#: encodings remembered by a worker, 200 bytes each
 _REMEMBERED = 800_000
 #: stems encoded in one call
 _CALL = 5_000
 
 
-def _simple(c: str) -> bool:
-    """A small Latin letter: no normalisation joins it with what follows."""
+def _ends_plainly(stem: bytes) -> bool:
+    """Whether the last character is a small Latin letter: no normalisation joins it with a mark."""
+    c = stem[-4:].decode(errors="ignore")[-1:]
     return c.isalpha() and c < "\u0250" and c.lower() == c
 
 
@@ -55,63 +56,57 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.end = np.array([end_id], "<u4").tobytes()
-        self.known: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-
-    def _encode_stems(self, stems: list[str]) -> None:
-        # letters alone are one piece each: many go in one call, cut by the numbers of the pieces
-        plain = [s for s in stems if s.isalpha()]
-        for at in range(0, len(plain), _CALL):
-            some = plain[at : at + _CALL]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+        self.known: dict[bytes, bytes] = {b"": b""}
+
+    def _encode_stems(self, stems: list[bytes]) -> None:
+        """Many in one call, cut by the numbers of their pieces where each is one piece."""
+        for at in range(0, len(stems), _CALL):
+            some = stems[at : at + _CALL]
+            found = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
             ids, piece = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
             bounds = np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(ids)).tolist()
             if len(bounds) != len(some) + 1:
                 self._encode_each(some)
                 continue
-            self.stems.update((s, ids[a:b].tobytes()) for s, a, b in zip(some, bounds, bounds[1:]))
-        self._encode_each([s for s in stems if not s.isalpha()])
+            data = ids.tobytes()
+            self.known.update((s, data[4 * a : 4 * b]) for s, a, b in zip(some, bounds, bounds[1:]))
 
-    def _encode_each(self, stems: list[str]) -> None:
-        for at in range(0, len(stems), _CALL):
-            some = stems[at : at + _CALL]
-            found = self.tokenizer.encode_batch(some, add_special_tokens=False)
-            self.stems.update((s, np.array(e.ids, "<u4").tobytes()) for s, e in zip(some, found))
+    def _encode_each(self, stems: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch([s.decode() for s in stems], add_special_tokens=False)
+        self.known.update((s, np.array(e.ids, "<u4").tobytes()) for s, e in zip(stems, found))
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.stems) > _REMEMBERED:
-            self.stems.clear()
-        cut = []
+        known, cut, plain, other = self.known, [], set(), set()
         for word in words:
-            text = word.lower().decode()
-            stem = text.rstrip(".,")
-            if stem and not _simple(stem[-1]):
-                stem = text
-            cut.append((word, stem, text[len(stem):]))
-        needed = {s for _, stem, tail in cut for s in (stem, tail) if s}
-        stems = self.stems
-        stems[""] = b""
-        self._encode_stems([s for s in needed if s not in stems])
-        self.known.update((word, stems[stem] + stems[tail]) for word, stem, tail in cut)
+            low = word.lower()
+            stem = low.rstrip(b".,")
+            if len(stem) < len(low) and not (stem and (97 <= stem[-1] <= 122 or _ends_plainly(stem))):
+                stem = low
+            if stem not in known:
+                # letters alone are one piece each
+                (plain if stem.isalpha() or stem.decode().isalpha() else other).add(stem)
+            if stem is not word and stem != word:
+                tail = low[len(stem):]
+                if tail not in known:
+                    other.add(tail)
+                cut.append((word, stem, tail))
+        self._encode_stems(list(plain))
+        rest = list(other)
+        for at in range(0, len(rest), _CALL):
+            self._encode_each(rest[at : at + _CALL])
+        known.update([(word, known[stem] + known[tail]) for word, stem, tail in cut])
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Each text's ids with the end id, as little-endian unsigned 32-bit integers."""
         known, split = self.known, [t.split() for t in texts]
-        if len(known) > _REMEMBERED:
-            known.clear()
+        forget_late(known, _REMEMBERED)
         self._learn([w for w in set().union(*split) if w not in known])
         for words in split:
             yield b"".join(map(known.__getitem__, words)) + self.end
 
 
-_LOADED: dict[tuple[str, int], WordEncoder] = {}
-
-
 def _load(path: str, end_id: int) -> WordEncoder:
-    """One encoder per Python worker."""
-    if (path, end_id) not in _LOADED:
-        _LOADED[path, end_id] = WordEncoder(path, end_id)
-    return _LOADED[path, end_id]
+    return held((path, end_id), lambda: WordEncoder(path, end_id))
 
 
 class Room:
@@ -166,7 +161,7 @@ def pack(
         return run
 
     groups = max(1, -(-docs.count() // group_docs))
-    cut = map_texts(docs, make, "doc_tokens long, sums array<long>", key, text)
+    cut = map_texts(docs, make, "doc_tokens long, sums array<long>", key, text, holds=True)
     cut = cut.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), F.col(key), "doc_tokens", "sums"), F.lit(groups)))
 
     out = T.StructType([docs.schema[key], *T.StructType.fromDDL(
@@ -191,3 +186,29 @@ def pack(
         })
 
     return cut.groupBy("part").applyInPandas(place, out)
+
+
+def sequences(
+    docs: DataFrame, path: str, length: int = 4096, end_id: int = 2, pad_id: int = 0, group_docs: int = 8192,
+    seed: int = 1, key: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """``sequence_id, n_tokens, ids``: the packed ids themselves, padded to ``length``
+    unless their number is a power of two. ``key`` must be unique and not null.
+    A row holds one sequence; ids travel once, as pieces."""
+    def make():
+        encoder = _load(path, end_id)
+        return lambda texts: {"ids": [np.frombuffer(ids, "<i4") for ids in encoder.encode(texts)]}
+
+    pieces = pack(docs, path, length, end_id, group_docs, seed, key, text)
+    ids = map_texts(docs, make, "ids array<int>", key, text, holds=True)
+    cut = pieces.join(ids, key).select(
+        "sequence_id", F.struct("offset", F.slice("ids", F.col("start").cast("int") + 1, F.col("length").cast("int")).alias("ids")).alias("p")
+    )
+    joined = cut.groupBy("sequence_id").agg(F.sort_array(F.collect_list("p")).alias("p")).select(
+        "sequence_id", F.flatten(F.transform("p", lambda p: p["ids"])).alias("ids")
+    )
+    n = F.size("ids")
+    padding = F.when((n == length) | (n.bitwiseAND(n - 1) == 0), 0).otherwise(length - n)
+    return joined.select(
+        "sequence_id", n.alias("n_tokens"), F.concat("ids", F.array_repeat(F.lit(pad_id), padding)).alias("ids")
+    )

@@ -167,11 +167,13 @@ def test_bpe_matches_the_library(spark, odd_rows):
     rows = [*odd_rows, *enumerate(_odd_strings() + long, 1000)]
     got = by_id(bpe.round_trip_digests(frame(spark, rows), BYTE_BPE))
     ids = by_id(bpe.encode(frame(spark, rows), BYTE_BPE))
+    texts = by_id(bpe.decode(bpe.encode(frame(spark, rows), BYTE_BPE), BYTE_BPE))
     for i, t in rows:
         want = tokenizer.encode(t or "", add_special_tokens=False).ids
         assert list(ids[i].ids) == want
         back = tokenizer.decode(want, skip_special_tokens=False)
         assert (got[i].n_tokens, got[i].decoded_sha256) == (len(want), plain.sha(back))
+        assert texts[i].text == back
     assert bpe.encode(frame(spark, []), BYTE_BPE).count() == 0
 
 
@@ -306,6 +308,19 @@ def test_packing(spark, odd_rows):
     assert packing.pack(frame(spark, [(None, "a"), (None, "a"), (1, "a"), (1, "a")]), WORD_BPE).count() == 4
 
 
+def test_packed_sequences(spark, odd_rows):
+    docs, length = frame(spark, odd_rows), 256
+    pieces = packing.pack(docs, WORD_BPE, length=length).collect()
+    ids = {i: Tokenizer.from_file(WORD_BPE).encode(t or "", add_special_tokens=False).ids + [2] for i, t in odd_rows}
+    got = {r.sequence_id: r for r in packing.sequences(docs, WORD_BPE, length=length).collect()}
+    assert set(got) == {p.sequence_id for p in pieces}
+    for p in pieces:
+        assert list(got[p.sequence_id].ids[p.offset : p.offset + p.length]) == ids[p.doc_id][p.start : p.start + p.length]
+    for r in got.values():
+        whole = r.n_tokens if r.n_tokens & (r.n_tokens - 1) == 0 else length
+        assert len(r.ids) == whole and not any(r.ids[r.n_tokens :])
+
+
 def test_first_fit_decreasing():
     rng = random.Random(12)
     for _ in range(30):
@@ -378,8 +393,10 @@ def test_ngram_components(spark, odd_rows):
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == plain.link_components(odd_rows)
 
 
-def test_ngram_chains_and_crowds(spark, monkeypatch):
+@pytest.mark.parametrize("tile", [4096, 7])
+def test_ngram_chains_and_crowds(spark, monkeypatch, tile):
     """A long chain of neighbours, many near copies, a passage shared by dissimilar texts."""
+    monkeypatch.setattr(ngram_join, "_LIST_TILE", tile)
     rng = random.Random(13)
     some = lambda n: [f"v{rng.randrange(3000)}" for _ in range(n)]
     chain, rows = some(100), []
