@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -19,6 +19,15 @@ def crc_part(key: str | Column, parts: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % parts
 
 
+#: rows of an Arrow batch: texts are long, Spark's 10,000 of them fill tens of megabytes on both sides
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to a size fit for texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 _HELD: dict[object, object] = {}
 
 

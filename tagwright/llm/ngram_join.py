@@ -39,11 +39,13 @@ from pyspark.sql import functions as F
 
 from tagwright.llm.blocks import layout
 from tagwright.llm.components import components
-from tagwright.llm.words import Words, chunks, find, lower, mix, windows
+from tagwright.llm.words import Words, chunks, find, give_back, lower, mix, windows
 from tagwright.workspace import materialize
 
 #: frequent values that come last in the order: at most so many, seen so often
 _FREQUENT, _OFTEN = 1 << 17, 4
+#: bytes of text whose prefixes are held at once
+_PREFIX_BYTES = 1_000_000
 #: marks a size where the value is early enough for the set to be the smaller of a pair
 _EARLY = 1 << 30
 #: bits of the broadcast bitmap of wanted documents
@@ -121,7 +123,7 @@ _DESCRIBED = ["doc_id", "n", "class", "bits", "value", "seen"]
 # ------------------------------------------------------------ 2. prefixes
 def _prefixes(size: int, percent: int, frequent: np.ndarray, n_ranges: int):
     def run(batches):
-        for _, texts in chunks(batches):
+        for _, texts in chunks(batches, _PREFIX_BYTES):
             values, classes, sizes, seen = [], [], [], set()
             for s in shingle_sets(texts, size):
                 n = len(s)
@@ -198,6 +200,8 @@ def _lists(percent: int):
                     pairs.append(np.stack([np.full(len(others), c[band[lead]]), others], axis=1))
                 first = to
         found = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
+        del v, c, n, early, order, new, rank, ranks
+        give_back()
         k = len(lists)
         return pa.table({
             "a": pa.concat_arrays([pa.array(found[:, 0]), pa.nulls(k, pa.int64())]),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tagwright.llm import (
     bpe, line_rules, lm_scoring, ngram_join, packing, pii, quality_crf, substring, top_k, toxicity_fm,
 )
+from tagwright.llm.frames import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

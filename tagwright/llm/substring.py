@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tagwright.llm.automaton import SuffixAutomaton
 from tagwright.llm.blocks import by_range, deal, layout
-from tagwright.llm.words import Words, chunks, covered, find, per_text, run_hashes, window_starts, windows
+from tagwright.llm.words import Words, chunks, covered, find, give_back, per_text, run_hashes, window_starts, windows
 
 #: words in the runs that anchors are chosen from
 _RUN = 5
@@ -45,7 +45,7 @@ _RUN = 5
 _STRETCH = 12
 #: distinct stretches of an anchor above which its windows are routed one by one
 _CROWDED = 20_000
-_SHARD_BYTES, _MIN_SHARDS = 2_000_000, 256
+_SHARD_BYTES, _MIN_SHARDS = 750_000, 256
 
 _FLAG = np.uint16(1 << 15)
 
@@ -190,6 +190,7 @@ def _send(size: int, n_ranges: int, n_shards: int):
                 a = int(p.at[j])
                 put(int(single[a]), p.run(a, a + size), int(single[a]), int(ids[p.text[j]]), True)
         rows = [(route, sorted(found.items())) for route, found in out.items()]
+        give_back()
         return pa.table({
             "block": pa.array([key[0].as_py()] * len(rows), pa.int32()),
             "shard": pa.array([r[0] for r, _ in rows], pa.int32()),
@@ -216,6 +217,8 @@ def _match(size: int):
             machine.add(text.split(b" "), owner)
         machine.finish()
         first = {text: machine.owners(text.split(b" "), size) for text in least}
+        del machine
+        give_back()
         same = {text: f[0] if min(f) == max(f) else None for text, f in first.items()}
         return pa.table({
             "block": table["block"],

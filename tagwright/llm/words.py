@@ -8,6 +8,7 @@ between executors. Two different sequences agree by chance in 2**-64 of cases.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ SPACE = b" \t\n\v\f\r"
 #: bytes of text worked on at once; a longer document is worked on alone
 CHUNK_BYTES = 2_000_000
 #: bytes hashed at once
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 19
 
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _TO_LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
@@ -60,6 +61,16 @@ def lower(text: bytes) -> bytes:
     return text.translate(_TO_LOWER)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the machine: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 class Words:
     """The words of a batch of texts: ``starts`` and ``ends`` in ``data``;
     text ``i`` has the words ``ptr[i]`` to ``ptr[i + 1]``."""
@@ -182,3 +193,5 @@ def chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Itera
             to = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(first, to - first), [t or b"" for t in column.slice(first, to - first).to_pylist()]
             first = to
+        del batch, column, ends
+        give_back()
