@@ -401,9 +401,11 @@ def similar_components(
             _prefixes(size, percent, frequent, n_ranges), "range int, values binary, classes binary, sizes binary"
         ).groupBy("range").applyInArrow(_lists(percent), "a long, b long, classes array<long>, sizes array<long>"), "lists",
     )
-    members = shared.where("a is null").select(F.xxhash64("classes").alias("list"), "classes", "sizes").dropDuplicates(
-        ["list"]).select("list", F.explode(F.arrays_zip("classes", "sizes")).alias("m")).select(
-        "list", F.col("m.classes").alias("class"), F.col("m.sizes").alias("n"))
+    # values with the same classes are one list; a class is early in it if it is for one of them
+    members = shared.where("a is null").select(
+        F.xxhash64("classes").alias("list"), F.xxhash64("sizes").alias("flags"), "classes", "sizes"
+    ).dropDuplicates(["list", "flags"]).select("list", F.explode(F.arrays_zip("classes", "sizes")).alias("m")).groupBy(
+        "list", F.col("m.classes").alias("class")).agg(F.max("m.sizes").alias("n"))
     tested = shared.where("a is not null").select("a", "b").distinct()
     links = materialize(_verify(known, classes, tested, size, percent), "links")
     # leaders first, then the most promising partners, then all that are still apart

@@ -419,6 +419,25 @@ def test_ngram_chains_and_crowds(spark, monkeypatch, tile):
     assert kept.columns == SCHEMA.names and kept.where("doc_id is null").count() == 1
 
 
+def test_ngram_lists_of_equal_classes(spark, monkeypatch):
+    """Crowds that share two values; linked pairs have the second one too late to meet by it."""
+    monkeypatch.setattr(ngram_join, "_FREQUENT", 0)
+    pool = sorted((f"v{k}" for k in range(4000)), key=lambda w: int(ngram_join.shingle_sets([w.encode()], 1)[0][0]))
+    low, shared, high = iter(pool[:100]), pool[100:116], iter(pool[116:])
+    some = lambda n: [next(high) for _ in range(n)]
+    texts, want = [], []
+    for a, b in zip(shared[::2], shared[1::2]):
+        for _ in range(5):
+            common = [a, b, *some(7)]
+            want += [len(texts), len(texts)]
+            texts += [[next(low), *common], [next(low), *common]]
+        for _ in range(30):
+            want.append(len(texts))
+            texts.append([a, b, *some(8)])
+    got = by_id(ngram_join.similar_components(frame(spark, [(i, " ".join(t)) for i, t in enumerate(texts)]), size=1))
+    assert [got[i].component_id for i in range(len(texts))] == want
+
+
 def test_ngram_nulls_and_repeats(spark):
     t = "a b c d e f g"
     got = ngram_join.similar_components(frame(spark, [(None, t), (5, t), (3, t), (3, t), (3, "x y z"), (9, "x y z"), (1, None)]))
