@@ -15,8 +15,9 @@ What is replaced, tried in this order at each place:
   digests of the same length;
 * IPv4 addresses with all parts up to 255: the 32 bits are permuted;
 * ISO dates ``yyyy-mm-dd`` and ``dd/mm/yyyy`` that exist;
-* IBANs with valid check digits: the digits of the account are permuted and the
-  check digits renewed;
+* IBANs with valid check digits, of their country's length or to the last group
+  that follows: the digits of the account are permuted and the check digits
+  renewed. What fails the check hides nothing in it or behind it;
 * US social security numbers in valid ranges, permuted among those;
 * telephone numbers with their signs and spaces: all digits but the first;
 * card numbers of 13 to 19 digits, also in groups, that pass the Luhn check: the
@@ -41,14 +42,26 @@ IPV4 = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 SLASH_DATE = r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
+#: countries by the length of their IBANs
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+FULL_IBAN = r"\b(?:" + "|".join(
+    f"(?:{codes.replace(' ', '|')})\\d{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, codes in IBAN_LENGTHS.items()
+) + r")\b"
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?!\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (
     r"(?<![\d+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,4}(?!\d)"
     r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
 )
-_FORMATS = (EMAIL, ACCESS_KEY, ASSIGNED, HEX, IPV4, ISO_DATE, SLASH_DATE, IBAN, SSN, PHONE, CARD)
-_ANY = "|".join(f"(?:{p})" for p in _FORMATS)
+#: the formats tried before valid IBANs, and after them
+_BEFORE = "|".join(f"(?:{p})" for p in (EMAIL, ACCESS_KEY, ASSIGNED, HEX, IPV4, ISO_DATE, SLASH_DATE))
+_AFTER = "|".join(f"(?:{p})" for p in (SSN, PHONE, CARD))
 #: a text without these characters holds nothing to replace
 _HINT = r"[0-9@=:]"
 
@@ -135,7 +148,8 @@ def mod97(text: Column) -> Column:
         v = F.instr(F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), c) - 1
         return (acc * F.when(v < 10, 10).otherwise(100) + v) % 97
 
-    return F.aggregate(F.split(text, "(?!^)"), F.lit(0), lambda a, c: step(a, c).cast("int"))
+    # not at the end either: an empty last piece would count as a digit 0
+    return F.aggregate(F.split(text, r"(?!^|\z)"), F.lit(0), lambda a, c: step(a, c).cast("int"))
 
 
 def _digest(value: Column, n: Column, key: str, kind: str) -> Column:
@@ -185,10 +199,24 @@ def _slash_date(m: Column, key: str) -> Column:
     return F.when(day.isNotNull() & year.between("0200", "9799"), shown).otherwise(m)
 
 
+def _valid_iban(m: Column) -> Column:
+    plain = F.replace(m, F.lit(" "), F.lit(""))
+    return mod97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1
+
+
+def _formats(c: Column) -> Column:
+    """The pattern of all formats, with the valid IBANs of the text itself in it."""
+    # looked ahead for, so candidates overlap and a failed one takes nothing from the others
+    found = F.concat(*(F.regexp_extract_all(c, F.lit(rf"\b(?=[A-Z]{{2}}\d)(?=({p}))"), F.lit(1)) for p in (FULL_IBAN, IBAN)))
+    valid = F.filter(F.array_distinct(found), _valid_iban)
+    ibans = F.concat(F.lit(r"|\b(?:"), F.array_join(valid, "|"), F.lit(r")\b|"))
+    return F.concat(F.lit(_BEFORE), F.when(F.size(valid) > 0, ibans).otherwise("|"), F.lit(_AFTER))
+
+
 def _iban(m: Column, key: str) -> Column:
     plain = F.replace(m, F.lit(" "), F.lit(""))
     country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
-    valid = mod97(F.concat(account, F.substring(plain, 1, 4))) == 1
+    valid = _valid_iban(m)
     digits = _digits(account)
     tail = F.least(F.length(digits), F.lit(18))
     kept = F.substring(digits, F.lit(1), F.length(digits) - tail)
@@ -255,8 +283,9 @@ def pseudonym(m: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """All columns as they are, personal data in ``text`` replaced. ``key`` is the secret."""
     c = F.col(text)
-    between = F.split(c, _ANY, -1)
-    found = F.transform(F.regexp_extract_all(c, F.lit(_ANY), F.lit(0)), lambda m: pseudonym(m, key))
+    formats = _formats(c)
+    between = F.split(c, formats, -1)
+    found = F.transform(F.regexp_extract_all(c, formats, F.lit(0)), lambda m: pseudonym(m, key))
     # one more piece of text than matches: the last is joined with nothing
     joined = F.array_join(F.zip_with(between, found, lambda b, f: F.concat(b, F.coalesce(f, F.lit("")))), "")
     return docs.withColumn(text, F.when(c.rlike(_HINT), joined).otherwise(c))

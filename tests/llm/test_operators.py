@@ -380,6 +380,25 @@ def test_pii(spark):
     assert other[9] != got[9]
 
 
+def test_pii_ibans_and_their_neighbours(spark):
+    iban, card = "ES9121000418450200051332", "4111 1111 1111 1111"
+    rows = [
+        (1, f"{iban} BIC CAIXESBB"), (2, "AT611904300234573201 12 EUR"), (3, f"code ID12 {card} end"), (4, f"AT12 {card}"),
+        (5, "ES91 2100 0418 4502 0005 1332 1984-02-29"), (6, f"ES12 ABCD {iban}"), (7, f"password={iban}"), (8, "ES9121000418450200051333 12"),
+    ]
+    got = {r.doc_id: r.text for r in pii.pseudonymise(frame(spark, rows), "secret").collect()}
+    valid = lambda x: int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+    new, rest = got[1].split(" ", 1)
+    assert rest == "BIC CAIXESBB" and valid(new) and new != iban
+    new_at, rest = got[2].split(" ", 1)
+    assert rest == "12 EUR" and valid(new_at) and new_at != "AT611904300234573201"
+    for i, head in ((3, "code ID12 "), (4, "AT12 ")):
+        assert got[i].startswith(head) and card not in got[i] and luhn(got[i].removeprefix(head).removesuffix(" end").replace(" ", ""))
+    spaced, day = got[5].rsplit(" ", 1)
+    assert spaced.replace(" ", "") == new and day != "1984-02-29"
+    assert got[6] == f"ES12 ABCD {new}" and iban not in got[7] and got[8] == rows[7][1]
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(189 * 773)
     got = df.select(pii.permute(F.col("id"), F.lit(189), F.lit(773), "k", "x").alias("v"))
