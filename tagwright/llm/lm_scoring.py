@@ -13,7 +13,7 @@ first places of a window that an earlier one has scored are context only.
 Windows run in batches through masked attention.
 
 What comes from the corpus: counts of leading pieces, and counts of all words,
-over all training documents, and one training window per training document.
+over all training documents, and training windows over the whole of their texts.
 Windows are dealt to trainers of bounded size, whose parameters are averaged,
 twice; so training grows with the corpus and no task holds all of it. Word
 counts are packed lookups from block to block, never a broadcast.
@@ -36,7 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tagwright.llm import attention as A
 from tagwright.llm.blocks import by_range, deal, layout
 from tagwright.llm.frames import crc_part
-from tagwright.llm.words import Words, chunks, find, lower, mix
+from tagwright.llm.words import Words, chunks, find, lower
 from tagwright.workspace import materialize
 
 _PIECE = 3
@@ -44,6 +44,8 @@ _PIECE = 3
 _MOVE, _BATCH = 24, 512
 #: training windows of one trainer, and rounds of averaging
 _TRAINER, _ROUNDS = 25_000, 2
+#: training windows written at once
+_ROWS = 10_000
 
 
 def _pieces(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -62,41 +64,42 @@ def _classes(leads: np.ndarray, chosen: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------ statistics and windows
 def _gather(batches):
-    """Counts of leading pieces, and one window of each text, placed by the text's own hash."""
-    for batch, texts in chunks(batches):
-        words = Words([lower(t) for t in texts])
-        leads, tails = _pieces(words)
-        values, counts = np.unique(leads, return_counts=True)
-        size = np.diff(words.ptr)
-        place = np.array([hash_of(t) for t in texts], np.uint64) % np.maximum(size - A.CONTEXT + 2, 1).astype(np.uint64)
-        rows = []
-        for a, n, at in zip(words.ptr[:-1].tolist(), size.tolist(), place.tolist()):
-            to = min(n, at + A.CONTEXT)
-            # the word before the window, all words in it, and whether the text ends there
-            head = max(0, at - 1)
-            part = np.stack([leads[a + head : a + to].view(np.int64), tails[a + head : a + to]])
-            rows.append(np.array([at > 0, n < at + A.CONTEXT, to - head], np.int64).tobytes() + part.tobytes())
-        yield pa.RecordBatch.from_arrays([
-            pa.concat_arrays([pa.array(values.view(np.int64)), pa.nulls(len(rows), pa.int64())]),
-            pa.concat_arrays([pa.array(counts.astype(np.int64)), pa.nulls(len(rows), pa.int64())]),
-            pa.concat_arrays([pa.nulls(len(values), pa.binary()), pa.array(rows, pa.binary())]),
-        ], names=["lead", "number", "window"])
-
-
-def hash_of(text: bytes) -> int:
-    """A hash of the text's length and ends, to place its window."""
-    return int(mix(np.array([len(text) * 65_599 + sum(text[:8]) * 257 + sum(text[-8:])], np.uint64))[0])
-
-
-def _unpack(windows: list[bytes], chosen: np.ndarray):
+    """Counts of leading pieces."""
+    for _, texts in chunks(batches):
+        values, counts = np.unique(_pieces(Words([lower(t) for t in texts]))[0], return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], names=["lead", "number"]
+        )
+
+
+def _windows(chosen: np.ndarray):
+    """Consecutive windows over the whole of each text: every word and the end is a target once."""
+    def run(batches):
+        for _, texts in chunks(batches):
+            words = Words([lower(t) for t in texts])
+            leads, tails = _pieces(words)
+            classes, tails = _classes(leads, chosen).astype(np.uint8), tails.astype(np.uint16)
+            rows = []
+            for a, n in zip(words.ptr[:-1].tolist(), np.diff(words.ptr).tolist()):
+                for at in range(0, n + 1, A.CONTEXT):
+                    # the word before the window, all words in it, and whether the text ends there
+                    some = slice(a + max(0, at - 1), a + min(n, at + A.CONTEXT))
+                    rows.append(bytes([at > 0, n < at + A.CONTEXT]) + classes[some].tobytes() + tails[some].tobytes())
+            for i in range(0, len(rows), _ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(rows[i : i + _ROWS], pa.binary())], names=["window"])
+
+    return run
+
+
+def _unpack(windows: list[bytes]):
     """Inputs, targets and weights of training windows."""
     n = len(windows)
     lead, tail = np.full((n, A.CONTEXT), A.START), np.zeros((n, A.CONTEXT), np.int64)
     target, weight = np.zeros((n, A.CONTEXT), np.int64), np.zeros((n, A.CONTEXT), np.float32)
     for i, data in enumerate(windows):
-        inside, ends, size = np.frombuffer(data, np.int64, 3).tolist()
-        leads, tails = np.frombuffer(data, np.int64, offset=24).reshape(2, size)
-        classes = _classes(leads.view(np.uint64), chosen)
+        inside, ends, size = data[0], data[1], (len(data) - 2) // 3
+        classes = np.frombuffer(data, np.uint8, size, 2).astype(np.int64)
+        tails = np.frombuffer(data, np.uint16, size, 2 + size).astype(np.int64)
         after = np.append(classes[inside:], A.END)[: A.CONTEXT] if ends else classes[inside:]
         before = classes if inside else np.append(A.START, classes)
         before_tail = tails if inside else np.append(0, tails)
@@ -105,11 +108,11 @@ def _unpack(windows: list[bytes], chosen: np.ndarray):
     return lead, tail, target, weight
 
 
-def _train(chosen: np.ndarray, start: np.ndarray, rate: float):
+def _train(start: np.ndarray, rate: float):
     def run(table: pa.Table) -> pa.Table:
         # in the order of the bytes, so that a trainer run again gives the same
         windows = sorted(table["window"].to_pylist())
-        trained = A.flat(A.train(A.shaped(start), *_unpack(windows, chosen), rate=rate))
+        trained = A.flat(A.train(A.shaped(start), *_unpack(windows), rate=rate))
         return pa.table({"place": np.arange(len(trained)), "value": trained.astype(np.float64)})
 
     return run
@@ -250,20 +253,20 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, key: str = "
     plan = layout(docs)
     learn = docs.where(~F.col("held_out"))
 
-    gathered = materialize(learn.select("text").mapInArrow(_gather, "lead long, number long, window binary"), "windows")
-    top = gathered.where("lead is not null").groupBy("lead").agg(F.sum("number").alias("number"))
-    top = top.orderBy(F.desc("number"), "lead").limit(A.CLASSES - 2)
+    gathered = materialize(learn.select("text").mapInArrow(_gather, "lead long, number long").groupBy("lead").agg(
+        F.sum("number").alias("number")), "leads")
+    top = gathered.orderBy(F.desc("number"), "lead").limit(A.CLASSES - 2)
     best = {r["lead"]: r["number"] for r in top.collect()}
     chosen = np.sort(np.array(list(best), np.int64).view(np.uint64))
-    windows = gathered.where("window is not null")
-    n_ends = windows.count()
+    windows = materialize(learn.select("text").mapInArrow(_windows(chosen), "window binary"), "windows")
+    n_ends = learn.count()
 
     shares = np.zeros(A.CLASSES)
     shares[: len(chosen)] = [best[int(c)] for c in chosen.view(np.int64)]
-    everything = gathered.where("lead is not null").agg(F.sum("number")).first()[0] or 0
+    everything = gathered.agg(F.sum("number")).first()[0] or 0
     shares[A.OTHER], shares[A.END] = everything - shares.sum(), n_ends
     params = A.flat(A.initial(shares))
-    trainers = max(1, -(-n_ends // _TRAINER))
+    trainers = max(1, -(-windows.count() // _TRAINER))
     # dealt by place in the written table, so that copies of one text do not meet in one trainer
     dealt = windows.withColumn("place", F.monotonically_increasing_id()).select(
         "window", F.pmod(F.xxhash64("place"), F.lit(trainers)).alias("trainer"),
@@ -272,7 +275,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, key: str = "
     for turn in range(_ROUNDS):
         part = dealt.where(F.col("turn") == turn)
         mean = part.groupBy("trainer").applyInArrow(
-            _train(chosen, params, 0.01 / (turn + 1)), "place long, value double"
+            _train(params, 0.01 / (turn + 1)), "place long, value double"
         ).groupBy("place").agg(F.avg("value").alias("value")).collect()
         for row in mean:
             params[row["place"]] = row["value"]

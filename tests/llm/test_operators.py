@@ -67,6 +67,28 @@ def test_lm_windows_score_each_token_once_and_look_back_only():
             assert math.isclose(found[ptr[t] + t + at], one / math.log(10), rel_tol=1e-3, abs_tol=1e-4)
 
 
+def test_lm_trains_on_all_words():
+    import pyarrow as pa
+    from tagwright.llm import attention as A
+    from tagwright.llm.words import Words
+
+    texts = [" ".join(f"w{k % 7}x{k}" for k in range(n)) for n in (0, 1, 31, 32, 33, 64, 1000)]
+    leads, tails = lm_scoring._pieces(Words([t.encode() for t in texts]))
+    chosen = np.unique(leads)[:5]
+    classes = lm_scoring._classes(leads, chosen)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    windows = [w for b in lm_scoring._windows(chosen)([batch]) for w in b.column(0).to_pylist()]
+    lead, tail, target, weight = lm_scoring._unpack(windows)
+    seen, want, before, at = weight > 0, [], [], 0
+    for t in texts:
+        n = len(t.split())
+        want += [*classes[at : at + n], A.END]
+        before += [(A.START, 0), *zip(classes[at : at + n], tails[at : at + n])]
+        at += n
+    assert target[seen].tolist() == want
+    assert list(zip(lead[seen].tolist(), tail[seen].tolist())) == before
+
+
 def test_lm_gradient():
     from tagwright.llm import attention as A
 
