@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwright.llm import (
-    bpe, line_rules, lm_scoring, ngram_join, packing, pii, quality_crf, substring, top_k, toxicity_fm,
+    bpe, line_rules, lm_scoring, ngram_join, packing, pii, quality_crf, substring, token_files, top_k, toxicity_fm,
 )
 from tagwright.llm.frames import small_batches
+from tagwright.workspace import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +128,10 @@ FROM reach r JOIN sizes z ON z.doc_id = r.doc_id GROUP BY r.doc_id"""
 @query("op10_ngram_jaccard", _JACCARD_SQL)
 def op10(spark, sf_dir):
     return ngram_join.similar_components(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_files")
+def op13(spark, sf_dir):
+    docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token_files")
+    written = token_files.write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return token_files.read_checksums(written, folder, docs.schema["doc_id"].dataType)
