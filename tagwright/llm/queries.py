@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwright.llm import (
-    bpe, line_rules, lm_scoring, ngram_join, packing, pii, quality_crf, substring, token_files, top_k, toxicity_fm,
+    bpe, line_rules, lm_scoring, ngram_join, packing, pii, quality_crf, substring, token_files, top_k, toxicity_fm, whitening,
 )
 from tagwright.llm.frames import small_batches
 from tagwright.workspace import scratch_path
@@ -135,3 +135,9 @@ def op13(spark, sf_dir):
     docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token_files")
     written = token_files.write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), folder)
     return token_files.read_checksums(written, folder, docs.schema["doc_id"].dataType)
+
+
+@query("op12_embedding_whitening")
+def op12(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", whitening.whole_vectors(F.col("embedding")).alias("vector"))
+    return whitening.whiten(vectors, whitening.fit_whitening(vectors))
