@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagwright.llm import (
-    bpe, line_rules, lm_scoring, ngram_join, packing, pii, quality_crf, substring, token_files, top_k, toxicity_fm, whitening,
+    bpe, conversation_trie, line_rules, lm_scoring, ngram_join, packing, pii, quality_crf, substring, token_files, top_k, toxicity_fm, whitening,
 )
 from tagwright.llm.frames import small_batches
 from tagwright.workspace import scratch_path
@@ -137,6 +137,12 @@ def op13(spark, sf_dir):
     return token_files.read_checksums(written, folder, docs.schema["doc_id"].dataType)
 
 
+@query("op11_conversation_trie")
+def op11(spark, sf_dir):
+    numbered = conversation_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(*conversation_trie.rebuilt_turns(numbered))
+
+
 @query("op12_embedding_whitening")
 def op12(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", whitening.whole_vectors(F.col("embedding")).alias("vector"))
