@@ -58,7 +58,7 @@ PERCENTILES = (50, 75, 85, 90, 95, 98, 100)
 #: bytes of an exception: its place and its distance
 _PATCH = 6
 #: bytes of text encoded at once, and ids after which a task starts its next file
-_TEXT_BYTES, FILE_IDS = 4_000_000, 1 << 26
+_TEXT_BYTES, FILE_IDS = 6_000_000, 1 << 26
 
 
 # ------------------------------------------------------------ blocks
