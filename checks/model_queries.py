@@ -12,7 +12,8 @@ from tagwright.operators import metrics as me
 from tagwright.operators import scaling as sc
 from tagwright.operators import tfidf as tv
 from tagwright.operators.ensemble import to_long
-from tagwright.operators.splits import contiguous_folds, positional_split, shuffled_folds
+from tagwright.operators.gram import vector_correlations
+from tagwright.operators.splits import contiguous_folds, positional_split, shuffled_folds, time_blocks
 from tagwright.operators.text_features import feature_names, text_features
 from tagwright.plans import bundle, models as mo, training as tr
 from tagwright.plans.presets import PLANS
@@ -235,6 +236,42 @@ def stacking(spark, sf_dir):
     return rounded(stack.out_of_fold.join(blended, "sample_id"))
 
 
+@query("expanding_scores_C3", """
+WITH ix AS (SELECT event_id, CAST(value AS DOUBLE) AS y, CAST(user_id % 17 AS DOUBLE) AS x,
+    row_number() OVER (ORDER BY ts, event_id) - 1 AS i, count(*) OVER () AS n FROM events),
+b AS (SELECT *, CASE WHEN i < n - 5 * (n // 6) THEN -1 ELSE (i - (n - 5 * (n // 6))) // (n // 6) END AS block FROM ix),
+tr AS (SELECT s.split, b.* FROM (SELECT unnest(range(5)) AS split) s JOIN b ON b.block < s.split),
+w AS (SELECT split, covar_pop(x, y) * count(*) / (var_pop(x) * count(*) + 1) AS w1, avg(x) AS mx, avg(y) AS my FROM tr GROUP BY split)
+""" + f"""SELECT CAST(w.split AS BIGINT) AS split, {s6('avg(abs(my + w1 * (x - mx) - y))')} AS mae
+FROM b JOIN w ON b.block = w.split GROUP BY w.split""")
+def expanding_scores(spark, sf_dir):
+    """Ridge over five expanding windows in time: one pass for sums per block, every window's model from those."""
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", F.col("value").cast("double").alias("label"), (F.col("user_id") % 17).cast("double").alias("x"))
+    vectors = sc.assemble(rows, ["x"], ["event_id", "label"])
+    blocks = time_blocks(table(spark, sf_dir, "events"), "ts", "event_id")
+    scores = tr.expanding_scores(vectors, blocks, {"ridge": lambda: mo.ridge(1.0)}, key="event_id")
+    return rounded(scores.select(F.col("split").cast("long").alias("split"), "mae"))
+
+
+_VECTOR_STATS = ["price", "length", "digits", "size"]
+_VECTOR_CTE = """SELECT price, CAST(length(catalog_content) AS DOUBLE) AS length,
+  CAST(sample_id % 13 AS DOUBLE) AS digits, CASE WHEN sample_id % 10 = 0 THEN sample_id % 7 ELSE 0 END::DOUBLE AS size FROM catalog"""
+
+
+@query("vector_correlation_A5", with_tables("catalog", v=_VECTOR_CTE) + " UNION ALL ".join(
+    f"SELECT {i}::BIGINT AS \"left\", {j}::BIGINT AS \"right\", {s6(f'corr({a}, {b})')} AS correlation FROM v"
+    for i, a in enumerate(_VECTOR_STATS) for j, b in enumerate(_VECTOR_STATS)))
+def vector_correlation(spark, sf_dir):
+    """Correlations between the places of a vector column, from one Gram matrix of sparse vectors."""
+    rows = catalog(spark, sf_dir).select(
+        "sample_id", "price", F.length("catalog_content").cast("double").alias("length"),
+        (F.col("sample_id") % 13).cast("double").alias("digits"),
+        F.when(F.col("sample_id") % 10 == 0, F.col("sample_id") % 7).otherwise(0).cast("double").alias("size"))
+    found = vector_correlations(sc.assemble(rows, _VECTOR_STATS, ["sample_id"]))
+    return rounded(found.select(F.col("left").cast("long").alias("left"), F.col("right").cast("long").alias("right"), "correlation"))
+
+
 # ------------------------------------------------ selection and importance
 @query("select_features_L1")
 def select_features(spark, sf_dir):

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegressionModel, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import functions as F
+
+from tagwright.operators.gram import Moments, gram, moments, solve_elastic_net, solve_ridge
 
 SEED = 42
 #: histogram memory per pass: fewer passes over the data for wide, deep forests
@@ -59,12 +62,12 @@ class PenalizedRegression(
     Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
     DefaultParamsReadable, DefaultParamsWritable,
 ):
-    """Linear regression with a penalty as commonly stated.
+    """Linear regression with a penalty as commonly stated, solved exactly.
 
-    Spark divides the loss by the rows and works on a label scaled to
-    deviation 1. Ridge minimises ``|y - Xw|^2 + alpha |w|^2``; with ``l1Ratio``
-    it is the elastic net ``|y - Xw|^2 / 2n + alpha (r |w|_1 + (1 - r)/2 |w|^2)``.
-    Both are restated here for the rows and label at hand when fitted.
+    Ridge minimises ``|y - Xw|^2 + alpha |w|^2``; with ``l1Ratio`` it is the
+    elastic net ``|y - Xw|^2 / 2n + alpha (r |w|_1 + (1 - r)/2 |w|^2)``. The
+    intercept is free. The rows are read once, for their Gram matrix
+    (``operators/gram.py``); what is fitted is Spark's own linear model.
     """
 
     alpha = Param(Params._dummy(), "alpha", "penalty", TypeConverters.toFloat)
@@ -80,24 +83,17 @@ class PenalizedRegression(
         self._setDefault(alpha=1.0, l1Ratio=-1.0)
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset):
-        label = F.col(self.getOrDefault(self.labelCol))
-        stats = dataset.agg(
-            F.count(label).alias("n"), F.stddev_samp(label).alias("samp"),
-        ).first()
-        spread = stats["samp"] or 1.0
+    def fit_moments(self, m: Moments) -> LinearRegressionModel:
+        """The model of moments taken before; one Gram matrix serves every penalty."""
         alpha, ratio = self.getOrDefault(self.alpha), self.getOrDefault(self.l1Ratio)
-        if ratio < 0:
-            reg, mix = alpha * spread / max(stats["n"], 1), 0.0
-        else:
-            reg = alpha * ratio + alpha * (1.0 - ratio) * spread
-            mix = alpha * ratio / reg if reg else 0.0
-        return LinearRegression(
-            featuresCol=self.getOrDefault(self.featuresCol),
-            labelCol=self.getOrDefault(self.labelCol),
-            predictionCol=self.getOrDefault(self.predictionCol),
-            solver="l-bfgs", standardization=False, regParam=reg, elasticNetParam=mix, maxIter=1000, tol=1e-9,
-        ).fit(dataset)
+        w = solve_ridge(m, alpha) if ratio < 0 else solve_elastic_net(m, alpha, ratio)
+        sc = m.gram.table.sparkSession.sparkContext
+        made = LinearRegressionModel(sc._jvm.org.apache.spark.ml.regression.LinearRegressionModel(
+            self.uid, _py2java(sc, Vectors.dense(w)), float(m.label_mean - m.mean @ w)))
+        return made.setFeaturesCol(self.getFeaturesCol()).setPredictionCol(self.getPredictionCol())
+
+    def _fit(self, dataset):
+        return self.fit_moments(moments(gram(dataset, self.getFeaturesCol(), self.getLabelCol())))
 
 
 def ridge(alpha: float = 1.0) -> PenalizedRegression:

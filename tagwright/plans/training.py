@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from tagwright.operators import scaling as sc
 from tagwright.operators.ensemble import NoModelError, pick_weights, to_long
+from tagwright.operators.gram import gram, moments
 from tagwright.operators.metrics import score
 from tagwright.operators.profile import drop_outliers
 from tagwright.operators.rows import clip
 from tagwright.operators.splits import contiguous_folds, shuffled_folds
 from tagwright.operators.text_features import feature_names, text_features
 from tagwright.operators.tfidf import Vocabulary, fit_vocabulary, tfidf_vectors
-from tagwright.plans.models import mae_evaluator, ridge
+from tagwright.plans.models import PenalizedRegression, mae_evaluator, ridge
 from tagwright.plans.presets import PLANS, MemberFactory, PricePlan
 from tagwright.sources.catalog_csv import check_not_empty
 from tagwright.workspace import materialize
@@ -175,6 +176,32 @@ def honest_scores(
     return out
 
 
+def expanding_scores(
+    table: DataFrame, blocks: DataFrame, members: dict[str, MemberFactory], splits: int = 5, key: str = KEY,
+) -> DataFrame:
+    """``split, model`` and all metrics over expanding windows: trained on all earlier blocks, scored on the next.
+
+    ``table`` has ``key, label, features``; ``blocks`` has ``key, block`` as
+    :func:`tagwright.operators.splits.time_blocks` makes them. Linear members read the rows once, for a Gram
+    matrix per block: a window's is the sum of the blocks before it. Other members are fitted on each window's rows.
+    """
+    made = {name: make() for name, make in members.items()}
+    rows = materialize(table.join(blocks.select(key, "block"), key), "windows")
+    linear = any(isinstance(e, PenalizedRegression) for e in made.values())
+    sums = gram(rows, by="block") if linear else None
+    out = None
+    for split in range(splits):
+        seen, held = rows.where(F.col("block") < split), rows.where(F.col("block") == split)
+        window = moments(sums.of(*range(-1, split))) if linear else None
+        models = {
+            name: e.fit_moments(window) if isinstance(e, PenalizedRegression) else e.fit(seen) for name, e in made.items()
+        }
+        wide = predict_members(models, held, [key, "label"])
+        scores = score(to_long(wide, list(models), [key, "label"]), actual="label").withColumn("split", F.lit(split))
+        out = scores if out is None else out.unionByName(scores)
+    return out
+
+
 STATUS_SCHEMA = "model string, fitted long, mae double, mae_spread double, error string"
 
 
