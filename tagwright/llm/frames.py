@@ -19,13 +19,16 @@ def crc_part(key: str | Column, parts: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % parts
 
 
-#: rows of an Arrow batch: texts are long, Spark's 10,000 of them fill tens of megabytes on both sides
-BATCH_ROWS = 500
+#: rows of an Arrow batch and of a Parquet reader's batch: texts are long, Spark's 10,000 and 4,096 of them fill
+#: tens of megabytes; and bytes that a Parquet writer gathers in each task
+BATCH_ROWS, READ_ROWS, WRITE_BYTES = 500, 256, 16 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Set the session's Arrow batches to a size fit for texts."""
+    """Set the session's batches, of rows sent to Python, read and written, to sizes fit for texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS)
+    spark.conf.set("parquet.block.size", WRITE_BYTES)
 
 
 _HELD: dict[object, object] = {}

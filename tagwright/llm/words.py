@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 
 #: fixed values: the bytes that separate words, ``[\x20\x09-\x0D]``
 SPACE = b" \t\n\v\f\r"
-#: bytes of text worked on at once; a longer document is worked on alone
-CHUNK_BYTES = 2_000_000
+#: bytes of text worked on at once, dozens of bytes of memory each; a longer document is worked on alone
+CHUNK_BYTES = 600_000
 #: bytes hashed at once
 _SEGMENT = 1 << 19
 
