@@ -43,17 +43,21 @@ def shaped(values: np.ndarray) -> Params:
 
 
 def _forward(p: Params, lead: np.ndarray, tail: np.ndarray):
-    """All layers up to the last hidden one for windows of input ids."""
-    x = p["lead"][lead] + p["tail"][tail] + p["place"][: lead.shape[1]]
-    n = lead.shape[1]
-    q, k, v = x @ p["q"], x @ p["k"], x @ p["v"]
+    """All layers up to the last hidden one for windows of input ids; places of all windows are rows.
+
+    Products with weights take all rows at once, only attention goes window by window.
+    """
+    windows, n = lead.shape
+    x = (p["lead"][lead] + p["tail"][tail] + p["place"][:n]).reshape(-1, WIDTH)
+    qkv = (x @ np.concatenate([p["q"], p["k"], p["v"]], axis=1)).reshape(windows, n, 3 * WIDTH)
+    q, k, v = (np.ascontiguousarray(qkv[:, :, i * WIDTH : (i + 1) * WIDTH]) for i in range(3))
     a = q @ k.transpose(0, 2, 1)
     a *= np.float32(WIDTH**-0.5)
     a += _MASK[:n, :n]
     np.minimum(a, 60, out=a)
     np.exp(a, out=a)
     a /= a.sum(-1, keepdims=True)
-    c = a @ v
+    c = (a @ v).reshape(-1, WIDTH)
     h = x + c @ p["o"]
     g = np.maximum(h @ p["w1"], 0)
     return x, q, k, v, a, c, h, g, h + g @ p["w2"]
@@ -64,7 +68,7 @@ def log_probabilities(p: Params, lead: np.ndarray, tail: np.ndarray, target: np.
     of each window are context alone and left out, in the order of the rest."""
     last = _forward(p, lead, tail)[-1]
     scored = np.arange(lead.shape[1]) >= skip[:, None]
-    logits = last[scored] @ p["u"]
+    logits = last[scored.reshape(-1)] @ p["u"]
     logits += p["b"]
     hit = logits[np.arange(len(logits)), target[scored]]
     top = logits.max(1)
@@ -76,35 +80,40 @@ def log_probabilities(p: Params, lead: np.ndarray, tail: np.ndarray, target: np.
 def gradient(p: Params, lead: np.ndarray, tail: np.ndarray, target: np.ndarray, weight: np.ndarray) -> Params:
     """Of the weighted mean cross-entropy; ``weight`` is 0 at places without a target."""
     x, q, k, v, a, c, h, g, last = _forward(p, lead, tail)
-    logits = last @ p["u"] + p["b"]
+    # places without a target have no share in the output layer
+    some = np.flatnonzero(weight)
+    logits = last[some] @ p["u"]
+    logits += p["b"]
     logits -= logits.max(-1, keepdims=True)
     np.exp(logits, out=logits)
-    d = logits / logits.sum(-1, keepdims=True)
-    rows, places = np.indices(target.shape)
-    d[rows, places, target] -= 1
-    d *= (weight / max(1.0, weight.sum()))[..., None]
-    over = lambda s, t: np.tensordot(s, t, ((0, 1), (0, 1)))
-    out = {"u": over(last, d), "b": d.sum((0, 1))}
-    d_last = d @ p["u"].T
-    out["w2"] = over(g, d_last)
+    logits /= logits.sum(-1, keepdims=True)
+    logits[np.arange(len(some)), target.reshape(-1)[some]] -= 1
+    logits *= (weight.reshape(-1)[some] / max(1.0, weight.sum()))[:, None]
+    out = {"u": last[some].T @ logits, "b": logits.sum(0)}
+    d_last = np.zeros_like(last)
+    d_last[some] = logits @ p["u"].T
+    out["w2"] = g.T @ d_last
     d_g = (d_last @ p["w2"].T) * (g > 0)
-    out["w1"] = over(h, d_g)
+    out["w1"] = h.T @ d_g
     d_h = d_last + d_g @ p["w1"].T
-    out["o"] = over(c, d_h)
-    d_c = d_h @ p["o"].T
+    out["o"] = c.T @ d_h
+    d_c = (d_h @ p["o"].T).reshape(v.shape)
     d_a = d_c @ v.transpose(0, 2, 1)
     d_v = a.transpose(0, 2, 1) @ d_c
-    d_s = a * (d_a - (d_a * a).sum(-1, keepdims=True)) * np.float32(WIDTH**-0.5)
-    d_q, d_k = d_s @ k, d_s.transpose(0, 2, 1) @ q
-    out |= {"q": over(x, d_q), "k": over(x, d_k), "v": over(x, d_v)}
-    d_x = d_h + d_q @ p["q"].T + d_k @ p["k"].T + d_v @ p["v"].T
+    d_a -= (d_a * a).sum(-1, keepdims=True)
+    d_a *= a
+    d_a *= np.float32(WIDTH**-0.5)
+    d_qkv = np.concatenate([d_a @ k, d_a.transpose(0, 2, 1) @ q, d_v], axis=2).reshape(-1, 3 * WIDTH)
+    mixed = x.T @ d_qkv
+    out |= {name: mixed[:, i * WIDTH : (i + 1) * WIDTH] for i, name in enumerate("qkv")}
+    d_x = d_h + d_qkv @ np.concatenate([p["q"], p["k"], p["v"]], axis=1).T
     for name, ids in (("lead", lead), ("tail", tail)):
         order = np.argsort(ids, axis=None, kind="stable")
         each, first = np.unique(ids.ravel()[order], return_index=True)
         out[name] = np.zeros(_SHAPES[name], np.float32)
-        out[name][each] = np.add.reduceat(d_x.reshape(-1, WIDTH)[order], first)
+        out[name][each] = np.add.reduceat(d_x[order], first)
     out["place"] = np.zeros(_SHAPES["place"], np.float32)
-    out["place"][: lead.shape[1]] = d_x.sum(0)
+    out["place"][: lead.shape[1]] = d_x.reshape(*lead.shape, WIDTH).sum(0)
     return out
 
 

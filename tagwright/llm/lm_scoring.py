@@ -125,6 +125,7 @@ def _ask(chosen: np.ndarray, n_ranges: int):
         words, learn = _words(table)
         leads, _ = _pieces(words)
         values, first, at = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        # a block's text, and so a word's number in it, is far below 2**32
         counts = np.bincount(at, learn[words.text_of()], len(values)).astype(np.uint32)
         classes = _classes(leads[first], chosen).astype(np.uint8)
         order, bounds = by_range(values, n_ranges)
@@ -143,6 +144,11 @@ def _words(table: pa.Table) -> tuple[Words, np.ndarray]:
     return Words(texts), table["learn"].to_numpy().astype(bool)
 
 
+def _numbers(counts: np.ndarray) -> bytes:
+    """Counts in four bytes each, or in eight where one needs them; their number tells which."""
+    return counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.uint64).tobytes()
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """Total counts for every block that asked; and, without a block, tokens and words of each class."""
     parts = [np.frombuffer(b.as_py(), np.uint64) for b in table["values"]]
@@ -163,7 +169,7 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table({
         "block": pa.array([*table["block"].to_pylist(), None], pa.int32()),
         "range": pa.array([*table["range"].to_pylist(), None], pa.int32()),
-        "counts": pa.array([*[p.astype(np.uint32).tobytes() for p in np.split(back, cuts)], None], pa.binary()),
+        "counts": pa.array([*[_numbers(p) for p in np.split(back, cuts)], None], pa.binary()),
         "tokens": pa.array([*[None] * len(parts), tokens], pa.list_(pa.int64())),
         "distinct": pa.array([*[None] * len(parts), distinct], pa.list_(pa.int64())),
     })
@@ -222,7 +228,8 @@ def _score(params, chosen, tokens, distinct, n_ends: int, n_ranges: int, schema:
         order, bounds = by_range(values, n_ranges)
         counts = np.zeros(len(values), np.int64)
         for r, data in zip(answers["range"].to_pylist(), answers["counts"].to_pylist()):
-            counts[order[bounds[r] : bounds[r + 1]]] = np.frombuffer(data, np.uint32)
+            n = bounds[r + 1] - bounds[r]
+            counts[order[bounds[r] : bounds[r + 1]]] = np.frombuffer(data, np.uint32 if len(data) == 4 * n else np.uint64)
         own = np.log10(counts + 1.0)[at]
         ptr, n = words.ptr, np.diff(words.ptr) + 1
         total = lambda x, p: (c := np.concatenate([[0.0], np.cumsum(x)]))[p[1:]] - c[p[:-1]]

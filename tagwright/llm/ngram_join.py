@@ -46,6 +46,8 @@ from tagwright.workspace import materialize
 _FREQUENT, _OFTEN = 1 << 17, 4
 #: bytes of text whose prefixes are held at once
 _PREFIX_BYTES = 1_000_000
+#: bytes of text in which values are counted together: what is seen once in so much is not frequent
+_SEEN_BYTES = 2_000_000
 #: marks a size where the value is early enough for the set to be the smaller of a pair
 _EARLY = 1 << 30
 #: bits of the broadcast bitmap of wanted documents
@@ -94,7 +96,7 @@ def differing_bits(a: bytes, b: bytes) -> int:
 # ------------------------------------------------------------ 1. classes
 def _describe(size: int):
     def run(batches):
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, _SEEN_BYTES):
             sets = shingle_sets(texts, size)
             sizes = np.array([len(s) for s in sets], np.int64)
             classes = [class_of(s) if len(s) else None for s in sets]

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tagwright.llm.frames import forget_late, held, map_texts
 
 #: encodings remembered by a worker, 200 bytes each
-_REMEMBERED = 800_000
+_REMEMBERED = 550_000
 #: stems encoded in one call
 _CALL = 5_000
 
@@ -162,7 +162,9 @@ def pack(
 
     groups = max(1, -(-docs.count() // group_docs))
     cut = map_texts(docs, make, "doc_tokens long, sums array<long>", key, text, holds=True)
-    cut = cut.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), F.col(key), "doc_tokens", "sums"), F.lit(groups)))
+    # the hash tells documents apart, the place those that are equal: a task gets its rows in the same order again
+    group = F.xxhash64(F.lit(seed), F.col(key), "doc_tokens", "sums", F.monotonically_increasing_id())
+    cut = cut.withColumn("__part", F.pmod(group, F.lit(groups)))
 
     out = T.StructType([docs.schema[key], *T.StructType.fromDDL(
         "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -182,10 +184,10 @@ def pack(
         return pd.DataFrame({
             key: rows[key].to_numpy()[doc], "start": start, "length": size,
             "ids_crc32": np.concatenate([np.asarray(s, np.int64) for s in rows["sums"]]),
-            "doc_tokens": tokens[doc], "sequence_id": where + (int(rows["part"].iloc[0]) << 32), "offset": offset,
+            "doc_tokens": tokens[doc], "sequence_id": where + (int(rows["__part"].iloc[0]) << 32), "offset": offset,
         })
 
-    return cut.groupBy("part").applyInPandas(place, out)
+    return cut.groupBy("__part").applyInPandas(place, out)
 
 
 def sequences(

@@ -19,6 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,8 +75,8 @@ def labelled_sample(labels: DataFrame, label: str, key: str, held_out, per_label
     )
     order = F.xxhash64("key")
     parts = [agreed.where(F.col("label") == v).orderBy(order, "key").limit(per_label) for v in (0, 1)]
-    # at most 2 * per_label rows of two values: gathered once, used several times
-    return labels.sparkSession.createDataFrame([r for p in parts for r in p.collect()], agreed.schema)
+    # at most 2 * per_label rows of two values: gathered once, used several times; as Arrow, which starts no worker
+    return labels.sparkSession.createDataFrame(pa.concat_tables([p.toArrow() for p in parts]), agreed.schema)
 
 
 def train_quality(

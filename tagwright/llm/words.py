@@ -2,8 +2,10 @@
 
 A batch of texts is one byte array. Words are runs of bytes outside the space
 class, so nothing is decoded, and a hash of any length costs a few array
-operations per byte. Hashes depend on fixed constants alone, hence agree
-between executors. Two different sequences agree by chance in 2**-64 of cases.
+operations per eight bytes. Hashes depend on fixed constants alone, hence agree
+between executors. Words and runs of words are mixed block by block, so that no
+pattern of theirs makes two of them agree but by chance, in 2**-64 of cases;
+windows, of a few words each, are sums of mixed words weighted by place.
 """
 
 from __future__ import annotations
@@ -19,8 +21,10 @@ import pyarrow.compute as pc
 SPACE = b" \t\n\v\f\r"
 #: bytes of text worked on at once, dozens of bytes of memory each; a longer document is worked on alone
 CHUNK_BYTES = 600_000
-#: bytes hashed at once
-_SEGMENT = 1 << 19
+#: values whose powers are kept
+_SEGMENT = 1 << 17
+#: blocks of a word that are mixed one into the next; the rest of a longer word is mixed by place and summed
+_CHAIN = 8
 
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _TO_LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
@@ -39,7 +43,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BASE, _STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+#: what is left of eight bytes when only the first ones count
+_FIRST = np.array([0, *[(1 << 8 * n) - 1 for n in range(1, 9)]], np.uint64)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -89,24 +94,33 @@ class Words:
 
     def hashes(self, length: int | None = None, tail: bool = False) -> np.ndarray:
         """One value per word; with ``length``, of its first bytes only, or of its last (``tail``)."""
-        out = np.empty(len(self.starts), np.uint64)
         starts, ends = self.starts, self.ends
         if length is not None and tail:
             starts = np.maximum(starts, ends - length)
         elif length is not None:
             ends = np.minimum(ends, starts + length)
-        i = 0
-        while i < len(out):
-            first = int(self.starts[i])
-            j = max(i + 1, int(np.searchsorted(self.ends, first + _SEGMENT, side="right")))
-            part = self.data[first : int(self.ends[j - 1])]
-            up, down = _powers(len(part) + 1)
-            total = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(_BYTE_VALUE[part] * up[: len(part)], out=total[1:])
-            a, b = starts[i:j] - first, ends[i:j] - first
-            out[i:j] = (total[b] - total[a]) * down[a]
-            i = j
-        return mix(out)
+        size = ends - starts
+        # eight bytes from any place on
+        padded = self.bytes + bytes(8)
+        eight = np.ndarray(len(self.bytes) + 1, "<u8", padded, strides=(1,))
+        out = mix(size.astype(np.uint64) * np.uint64(_BASE) + np.uint64(1))
+        out = mix(out ^ (eight[starts] & _FIRST[np.minimum(size, 8)]))
+        some = np.flatnonzero(size > 8)
+        for k in range(1, _CHAIN):
+            if not len(some):
+                return out
+            at = starts[some] + 8 * k
+            out[some] = mix(out[some] ^ (eight[at] & _FIRST[np.minimum(ends[some] - at, 8)]))
+            some = some[size[some] > 8 * (k + 1)]
+        if len(some):
+            blocks = -(-size[some] // 8) - _CHAIN
+            first = np.cumsum(blocks) - blocks
+            k = np.arange(blocks.sum()) - np.repeat(first, blocks) + _CHAIN
+            at = np.repeat(starts[some], blocks) + 8 * k
+            value = eight[at] & _FIRST[np.minimum(np.repeat(ends[some], blocks) - at, 8)]
+            value = mix(value ^ mix(k.astype(np.uint64) * np.uint64(_STEP)))
+            out[some] = mix(out[some] ^ np.add.reduceat(value, first))
+        return out
 
     def text_of(self) -> np.ndarray:
         """The index of each word's text."""
@@ -117,11 +131,14 @@ class Words:
 
 
 def run_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The hash of each run of values ``starts[i]`` to ``ends[i]``: of its values alone, wherever it stands."""
-    up, down = _powers(len(hashes) + 1)
-    total = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * up[: len(hashes)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts])
+    """The hash of each run of values ``starts[i]`` to ``ends[i]`` (one at least): of its values alone, wherever it stands."""
+    size = ends - starts
+    if not len(size):
+        return np.zeros(0, np.uint64)
+    first = np.cumsum(size) - size
+    place = np.arange(size.sum()) - np.repeat(first, size)
+    value = mix(hashes[np.repeat(starts, size) + place] ^ mix(place.astype(np.uint64) * np.uint64(_STEP)))
+    return mix(np.add.reduceat(value, first) ^ mix(size.astype(np.uint64)))
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
