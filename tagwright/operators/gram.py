@@ -221,13 +221,17 @@ def _origin(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def gram(
     df: DataFrame, features: str = "features", label: str | None = "label", by: str | None = None,
-    stripe_bytes: int = STRIPE_BYTES, driver_bytes: int = DRIVER_BYTES,
+    stripe_bytes: int = STRIPE_BYTES, driver_bytes: int = DRIVER_BYTES, centred: bool = True,
 ) -> Gram:
-    """The Gram matrix of a vector column and a label (none: zeros), kept apart by the whole number ``by``."""
+    """The Gram matrix of a vector column and a label (none: zeros), kept apart by the whole number ``by``.
+
+    Without ``centred`` all origins are 0, so entries are plain sums of products.
+    """
     y = F.col(label).cast("double") if label else F.lit(0.0)
     part = F.col(by).cast("int") if by else F.lit(0)
     rows = df.select(y.alias("y"), F.col(features).alias("v"), part.alias("part")).where("y IS NOT NULL AND v IS NOT NULL")
     origin, filled = _origin(rows)
+    origin = origin if centred else np.zeros(len(origin))
     width = len(origin)
     height = max(1, min(width, stripe_bytes // (8 * width)))
     stripes = -(-width // height)

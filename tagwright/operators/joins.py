@@ -60,9 +60,11 @@ def left_join_unique(left: DataFrame, right: DataFrame, key: str, parts: int | N
 
     Null keys match nothing and never enter the shuffle. A key with more than
     one ``parts``-th of the rows (default: the session's shuffle partitions) is
-    dealt over as many salts as it holds such shares, by a hash of its rows,
-    and its right row is copied to each. There are fewer such keys than
-    ``parts``, so their table is small by arithmetic. One way at every size.
+    dealt over as many salts as it holds such shares, and its right row is
+    copied to each. There are fewer such keys than ``parts``, so their table is
+    small by arithmetic. Salts go by a row's place among its task's rows,
+    ordered by a hash of all columns: rows that are equal get different salts,
+    and a task that runs again gives the same ones.
     """
     parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     extra = [f for f in right.schema.fields if f.name != key]
@@ -79,9 +81,13 @@ def left_join_unique(left: DataFrame, right: DataFrame, key: str, parts: int | N
     )
     hashed = [f.name for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
     many = F.coalesce("_salts", F.lit(1))
-    keyed = left.where(F.col(key).isNotNull()).join(salts, key, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*hashed), many)
-    )
+    keyed = left.where(F.col(key).isNotNull())
+    if not shares:
+        return keyed.join(right, key, "left").select(*left.columns, *[f.name for f in extra]).unionByName(no_key)
+    keyed = keyed.join(salts, key, "left")
+    hot = keyed.where("_salts > 1").withColumn("_hash", F.xxhash64(*hashed)).sortWithinPartitions("_hash").drop("_hash")
+    keyed = keyed.where("_salts IS NULL OR _salts = 1").withColumn("_salt", F.lit(0).cast("long")).unionByName(
+        hot.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), many)))
     copied = right.join(salts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)))
     joined = keyed.drop("_salts").join(copied.drop("_salts"), [key, "_salt"], "left")
     return joined.select(*left.columns, *[f.name for f in extra]).unionByName(no_key)

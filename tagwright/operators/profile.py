@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.functions import text as tx
-from tagwright.operators.joins import left_join_unique
-from tagwright.operators.quantiles import exact_quantiles, group_quantiles
+from tagwright.operators.quantiles import GroupedValues, exact_quantiles
+from tagwright.workspace import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -214,25 +214,35 @@ def box_plot(
 ) -> DataFrame:
     """Quartiles, whiskers (last data inside the fences) and outlier count.
 
-    With ``by``, one row per group, however large some are.
+    With ``by``, one row per group, however large some are: ranges of a group's values that lie on one side of its
+    fences are counted as a whole, and only those that cross one are looked into.
     """
-    c = F.col(column).cast("double")
     if by is None:
-        q = F.array(*[F.lit(v) for v in exact_quantiles(df, [column], QUARTILES)[column]])
-        ready, keys = df.withColumn("quantiles", q), []
-    else:
-        group = F.to_json(F.struct(F.col(by).alias("g")))
-        per_group = group_quantiles(df, column, QUARTILES, by).select(group.alias("_group"), "quantiles")
-        ready = left_join_unique(df.select(by, column).withColumn("_group", group), per_group, "_group")
-        keys = [by]
+        c = F.col(column).cast("double")
+        q1, q2, q3 = (F.lit(v).cast("double") for v in exact_quantiles(df, [column], QUARTILES)[column])
+        inside = c.between(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+        return df.agg(
+            F.first(q1).alias("q1"), F.first(q2).alias("median"), F.first(q3).alias("q3"),
+            F.min(F.when(inside, c)).alias("whisker_low"), F.max(F.when(inside, c)).alias("whisker_high"),
+            F.count_if(~inside).alias("outliers"),
+        )
+    values = GroupedValues(df, column, by)
     q1, q2, q3 = (F.get("quantiles", F.lit(i)) for i in range(3))
-    inside = c.between(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
-    return ready.groupBy(*keys).agg(
-        F.first(q1).alias("q1"), F.first(q2).alias("median"), F.first(q3).alias("q3"),
-        F.min(F.when(inside, c)).alias("whisker_low"),
-        F.max(F.when(inside, c)).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
-    )
+    boxes = materialize(values.quantiles(QUARTILES).select(
+        "_g", "_by", q1.alias("q1"), q2.alias("median"), q3.alias("q3"),
+        (q1 - 1.5 * (q3 - q1)).alias("_from"), (q3 + 1.5 * (q3 - q1)).alias("_to")), "boxes")
+    # the ranges of a group's values with the fences of the group: a row per group and part
+    ranges = values.parts.select("_g", "_part", "_n", "_low", "_high").where("_n > 0").join(boxes.select("_g", "_from", "_to"), "_g")
+    crosses = F.expr("(_low < _from AND _high >= _from) OR (_low <= _to AND _high > _to)")
+    rows = values.values_in(ranges.where(crosses)).join(boxes.select("_g", "_from", "_to"), "_g").select(
+        "_g", "_n", "_from", "_to", F.col("_v").alias("_low"), F.col("_v").alias("_high"))
+    inside = F.expr("_low >= _from AND _high <= _to")
+    found = ranges.where(~crosses).drop("_part").unionByName(rows).groupBy("_g").agg(
+        F.min(F.when(inside, F.col("_low"))).alias("whisker_low"), F.max(F.when(inside, F.col("_high"))).alias("whisker_high"),
+        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"))
+    return boxes.join(found, "_g", "left").select(
+        F.col("_by").alias(by), "q1", "median", "q3", "whisker_low", "whisker_high",
+        F.coalesce("outliers", F.lit(0)).alias("outliers"))
 
 
 def prediction_summary(predictions: DataFrame, by: str | None = "model") -> DataFrame:

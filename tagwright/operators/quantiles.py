@@ -1,12 +1,13 @@
 """Exact, linearly interpolated quantiles, the same way for tables of any size.
 
-Every order statistic is bracketed by a sketch, the rows below and at the
-bracket's ends are counted exactly, and only the values strictly inside (a few
-ten-thousandths of the rows, ties at the ends excluded) are sorted, over all
-tasks. The counts decide: a bracket that missed its rank is opened to all
-values. One job sketches all columns or groups, one counts, one sorts, so the
-number of jobs depends on neither columns nor groups; nothing but the ungrouped
-results comes to the driver, and no task holds a column or a group.
+Of whole columns, every order statistic is bracketed by a sketch, the rows
+below and at the bracket's ends are counted exactly, and only the values
+strictly inside (a few ten-thousandths of the rows, ties at the ends excluded)
+are sorted, over all tasks. The counts decide: a bracket that missed its rank is
+opened to all values. By group, equal pairs of group and value are counted
+first, and the pairs are sorted over all tasks. The number of jobs depends on
+neither columns nor groups; nothing but the ungrouped results comes to the
+driver, and no task holds a column or a group.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagwright.operators.joins import left_join_unique
 from tagwright.workspace import materialize
 
 _SKETCH = 10_000
@@ -79,54 +79,60 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return out
 
 
-def group_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: str) -> DataFrame:
-    """``by, quantiles`` per group; a null in ``by`` is a group, without values quantiles are null."""
-    group = F.to_json(F.struct(F.col(by).alias("g")))
-    rows = df.select(group.alias("_g"), F.col(by).alias("_by"), F.col(column).cast("double").alias("_v"))
-    groups = materialize(
-        rows.groupBy("_g").agg(
-            F.first("_by").alias("_by"), F.count("_v").alias("_n"), _sketch(F.col("_v"), probs).alias("_b")
-        ), "sketches",
-    )
-    each = range(len(probs))
-    end = lambda j, side: F.get("_b", F.lit(2 * j + side))
-    bracketed = left_join_unique(
-        rows.where(F.col("_v").isNotNull()).select("_g", "_v"), groups.select("_g", "_b"), "_g"
-    )
-    counted = bracketed.groupBy("_g").agg(*[
-        F.struct(*_counts(F.col("_v"), end(j, 0), end(j, 1))).alias(f"_c{j}") for j in each
-    ])
-    # one row per group, prob and neighbour in rank: found at an end, or a place among the values inside
-    wanted = materialize(
-        groups.join(counted, "_g").select("_g", F.explode(F.array(*[
-            F.struct(F.lit(j).alias("j"), F.lit(k).alias("k"), rank.alias("rank"), (at - F.floor(at)).alias("part"),
-                     end(j, 0).alias("low"), end(j, 1).alias("high"), F.col(f"_c{j}").alias("c"))
-            for j in each for at in [F.lit(float(probs[j])) * (F.col("_n") - 1)]
+class GroupedValues:
+    """A column's values by group, equal ones counted, in order over all tasks.
+
+    Equal (group, value) pairs are combined before anything is dealt by value, so a hot group of equal values is one
+    row and a hot group of different values is spread by range. What follows works on the written ranges: a table of
+    them (a row per group and part) tells which hold a rank or cross a bound, and only those are looked into.
+    """
+
+    def __init__(self, df: DataFrame, column: str, by: str):
+        self.by = by
+        group = F.to_json(F.struct(F.col(by).alias("g")))
+        rows = df.select(group.alias("_g"), F.col(by).alias("_by"), F.col(column).cast("double").alias("_v"))
+        pairs = rows.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n"), F.first("_by").alias("_by"))
+        placed = materialize(
+            pairs.repartitionByRange("_g", "_v").sortWithinPartitions("_g", "_v")
+            .select("_g", "_v", "_n", "_by", F.monotonically_increasing_id().alias("_id")), "pairs",
+        )
+        self.placed = placed.withColumn("_part", F.shiftrightunsigned("_id", _POS_BITS))
+        some = F.col("_v").isNotNull()
+        parts = self.placed.groupBy("_g", "_part").agg(
+            F.coalesce(F.sum(F.when(some, F.col("_n"))), F.lit(0)).alias("_n"),
+            F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.first("_by").alias("_by"))
+        # a row per group and part
+        before = F.sum("_n").over(Window.partitionBy("_g").orderBy("_part")) - F.col("_n")
+        self.parts = materialize(parts.withColumn("_before", before), "parts")
+        self.groups = self.parts.groupBy("_g").agg(F.first("_by").alias("_by"), F.sum("_n").alias("_total"))
+
+    def values_in(self, parts: DataFrame) -> DataFrame:
+        """The pairs of some ``_g, _part``."""
+        return self.placed.where(F.col("_v").isNotNull()).join(parts.select("_g", "_part").distinct(), ["_g", "_part"])
+
+    def quantiles(self, probs: Sequence[float]) -> DataFrame:
+        """``_g, _by, quantiles``; null without values."""
+        wanted = self.groups.where("_total > 0").select("_g", F.explode(F.array(*[
+            F.struct(F.lit(j).alias("j"), F.lit(k).alias("k"), rank.alias("rank"), (at - F.floor(at)).alias("share"))
+            for j, p in enumerate(probs) for at in [F.lit(float(p)) * (F.col("_total") - 1)]
             for k, rank in enumerate((F.floor(at).cast("long"), F.ceil(at).cast("long")))
         ])).alias("w")).select("_g", "w.*")
-        .withColumn("r", F.col("rank") - F.col("c.below"))
-        .withColumn("whole", (F.col("r") < 0) | (F.col("r") >= F.col("c.at_low") + F.col("c.between") + F.col("c.at_high")))
-        .withColumn("value", F.when(F.col("whole"), None).when(F.col("r") < F.col("c.at_low"), F.col("low"))
-                    .when(F.col("r") >= F.col("c.at_low") + F.col("c.between"), F.col("high")))
-        .withColumn("place", F.when(F.col("whole"), F.col("rank")).otherwise(F.col("r") - F.col("c.at_low")))
-        .withColumn("series", F.concat_ws("|", "_g", "j", "whole")), "ranks",
-    )
-    inside = bracketed.select(F.explode(F.array_compact(F.array(*[
-        F.when((F.col("_v") > end(j, 0)) & (F.col("_v") < end(j, 1)), F.struct(
-            F.concat_ws("|", "_g", F.lit(j), F.lit(False)).alias("series"), F.col("_v").alias("value")))
-        for j in each
-    ]))).alias("s")).select("s.series", "s.value")
-    missed = wanted.where("whole").select("_g", "series").distinct()
-    inside = inside.unionByName(bracketed.join(missed, "_g").select("series", F.col("_v").alias("value")))
-    asked = wanted.where("value is null").select("series", "place").distinct()
-    picked = _at_places(inside, asked).withColumnRenamed("value", "picked")
-    both = wanted.join(picked, ["series", "place"], "left").withColumn("value", F.coalesce("value", "picked"))
-    low, high = F.max(F.when(F.col("k") == 0, F.col("value"))), F.max(F.when(F.col("k") == 1, F.col("value")))
-    quantiles = (
-        both.groupBy("_g", "j").agg((low + (high - low) * F.first("part")).alias("q"))
-        .groupBy("_g").agg(F.transform(F.sort_array(F.collect_list(F.struct("j", "q"))), lambda s: s["q"]).alias("quantiles"))
-    )
-    return groups.join(quantiles, "_g", "left").select(F.col("_by").alias(by), "quantiles")
+        at = wanted.join(self.parts.select("_g", "_part", "_n", "_before"), "_g").where(
+            (F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("_n"))
+        ).select("_g", "_part", "j", "k", "share", (F.col("rank") - F.col("_before")).alias("rank"))
+        upto = F.sum("_n").over(Window.partitionBy("_g", "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+        held = self.values_in(at).select("_g", "_part", "_v", "_n", upto.alias("_upto"))
+        found = at.join(held, ["_g", "_part"]).where(
+            (F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_n")))
+        low, high = (F.max(F.when(F.col("k") == k, F.col("_v"))) for k in (0, 1))
+        made = found.groupBy("_g", "j").agg((low + (high - low) * F.first("share")).alias("q")).groupBy("_g").agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("j", "q"))), lambda s: s["q"]).alias("quantiles"))
+        return self.groups.join(made, "_g", "left").select("_g", "_by", "quantiles")
+
+
+def group_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: str) -> DataFrame:
+    """``by, quantiles`` per group; a null in ``by`` is a group, without values quantiles are null."""
+    return GroupedValues(df, column, by).quantiles(probs).select(F.col("_by").alias(by), "quantiles")
 
 
 def _ranks(p: float, n: int) -> tuple[int, int]:

@@ -1,9 +1,11 @@
 """Terms, vocabulary and TF-IDF weights.
 
-Fitting costs one shuffle: a text's term counts are made inside its row (sort
-its terms, measure the runs), so only ``(term, count)`` pairs leave it, already
-combined per task. The capped vocabulary is small by construction and travels
-as a broadcast. Vectors for models are made row by row without any shuffle.
+Fitting a capped vocabulary reads the texts twice: summaries of frequent items,
+one per task, name candidates, then only these are counted. What is shuffled is
+bounded by the summaries' size, not by the distinct n-grams. Where counts of all
+terms are asked for, they are made inside the row (sort its terms, measure the
+runs) and combined per task. The capped vocabulary is small by construction and
+travels as a broadcast. Vectors for models are made row by row without any shuffle.
 """
 
 from __future__ import annotations
@@ -160,21 +162,90 @@ class Vocabulary:
         return spark.createDataFrame(rows, "term string, idx int, df long, idf double")
 
 
+#: terms a summary keeps in each task; a second, larger try (Spark's limit)
+TRACKED = (1 << 18, 1_000_000)
+#: a summary of m terms may be off by this share of all occurrences, divided by m
+_OFF = 3.5 * 0.75
+
+
+def heavy_terms(terms: DataFrame, tracked: int, name: str = "terms") -> tuple[list[tuple[str, int]], int, float]:
+    """Frequent terms with counts they do not exceed, all occurrences, and how far such a count may be too high.
+
+    Each task keeps a summary of frequent items, whose size does not grow with the distinct terms; summaries merge.
+    A term that is not listed occurs at most twice as often as a count may be off.
+    """
+    # explode would put a filter on the array below the projections that make it
+    found = terms.select(F.explode_outer(name).alias("t")).where("t IS NOT NULL").agg(
+        F.expr(f"approx_top_k(t, {tracked}, {tracked})").alias("top"), F.count("t").alias("n"))
+    rows = found.select(F.col("top.item").alias("item"), F.col("top.count").alias("count"), "n").toArrow()
+    off = _OFF * rows["n"][0].as_py() / tracked
+    return list(zip(rows["item"][0].as_py() or [], rows["count"][0].as_py() or [])), rows["n"][0].as_py(), off
+
+
+def recount(terms: DataFrame, candidates: Sequence[str], name: str = "terms") -> list[tuple[str, int, int]]:
+    """``term, df, total`` of the candidates that occur, counted exactly; only pairs of numbers leave a task."""
+    counted = CountVectorizerModel.from_vocabulary(list(candidates), name, "_counts").transform(terms.select(name))
+    parts = counted.select(F.unwrap_udt("_counts").alias("c")).select(F.explode_outer(F.arrays_zip("c.indices", "c.values")).alias("e"))
+    stats = parts.where("e IS NOT NULL").groupBy(F.col("e.indices").alias("idx")).agg(
+        F.count(F.lit(1)).alias("df"), F.sum("e.values").cast("long").alias("total")).toArrow()
+    return list(zip(
+        [candidates[i] for i in stats["idx"].to_pylist()], stats["df"].to_pylist(), stats["total"].to_pylist()))
+
+
+def _allowed(df: int, rows: int, settings: TfidfSettings) -> bool:
+    return df >= settings.min_df and (settings.max_df is None or df <= settings.max_df * rows)
+
+
+def frequent_terms(
+    terms: DataFrame, rows: int, settings: TfidfSettings, tracked: Sequence[int] = TRACKED, name: str = "terms"
+) -> list[tuple[str, int, int]] | None:
+    """``term, df, total`` of the vocabulary's terms, or None where no summary of these sizes can prove them.
+
+    Proven means: all occurrences are those of counted terms, or the last term that is taken occurs more often than
+    any term that was not counted can.
+    """
+    for size in tracked:
+        listed, occurrences, off = heavy_terms(terms, size, name)
+        if not listed:
+            return []
+        # first those that may be among twice as many as wanted, then all that are listed
+        enough = sorted((n for _, n in listed), reverse=True)[: 2 * settings.max_features][-1] - off
+        for least in (enough, 0):
+            candidates = [t for t, n in listed if n >= least]
+            stats = recount(terms, candidates, name)
+            kept = sorted((s for s in stats if _allowed(s[1], rows, settings)), key=lambda s: (-s[2], s[0]))
+            kept = kept[: settings.max_features]
+            others = max([2 * off, *[n for _, n in listed if n < least]])
+            if len(kept) == settings.max_features and kept[-1][2] > others or sum(s[2] for s in stats) == occurrences:
+                return kept
+            if len(candidates) == len(listed) or 2 * off >= (kept[-1][2] if kept else 0):
+                break
+    return None
+
+
 def fit_vocabulary(
-    df: DataFrame, settings: TfidfSettings, *, text: str = "catalog_content", key: str = "sample_id"
+    df: DataFrame, settings: TfidfSettings, *, text: str = "catalog_content", key: str = "sample_id",
+    tracked: Sequence[int] = TRACKED,
 ) -> Vocabulary:
-    """Vocabulary of all rows; what reaches the driver is capped by ``max_features``."""
+    """Vocabulary of all rows; what reaches the driver is bounded by ``tracked`` and ``max_features``.
+
+    Summaries name candidates, whose counts are then taken exactly, so what is shuffled does not grow with the
+    distinct n-grams. Where no summary can prove its candidates, every term is counted.
+    """
     rows = df.count()
-    counts = term_counts(with_terms(df, settings, text, [key]), key)
-    kept = limit_frequency(term_statistics(counts), rows, settings.min_df, settings.max_df)
-    top = top_terms(kept.withColumn("idf", idf(F.col("df"), rows)), settings.max_features).collect()
+    terms = with_terms(df, settings, text, [key])
+    if settings.max_df is not None and settings.max_df * rows < settings.min_df:
+        raise ValueError("max_df corresponds to fewer texts than min_df")
+    top = frequent_terms(terms, rows, settings, tracked)
+    if top is None:
+        kept = limit_frequency(term_statistics(term_counts(terms, key)), rows, settings.min_df, settings.max_df)
+        top = [(r["term"], r["df"], r["total"]) for r in top_terms(kept, settings.max_features).collect()]
     if not top:
         raise ValueError("no term is left; lower min_df or raise max_df")
-    top = sorted(top, key=lambda r: r["term"])
-    return Vocabulary(
-        settings, tuple(r["term"] for r in top), tuple(r["df"] for r in top),
-        tuple(r["idf"] for r in top), rows,
-    )
+    names, counts, _ = zip(*sorted(top))
+    weights = df.sparkSession.createDataFrame([(c,) for c in sorted(set(counts))], "df long").select("df", idf(F.col("df"), rows).alias("idf"))
+    idf_of = {r["df"]: r["idf"] for r in weights.collect()}
+    return Vocabulary(settings, names, counts, tuple(idf_of[c] for c in counts), rows)
 
 
 # ----------------------------------------------------------------- weights
