@@ -133,6 +133,24 @@ def stump_importance(spark, sf_dir):
     return sc.importance_table(rows, mo.random_forest(1, 1).fit(rows), ["x"])
 
 
+@query("bundled_categories_M1", with_tables("catalog", c="SELECT sample_id, sample_id % 7 AS k, sample_id % 5 AS j FROM catalog") + """
+, kn AS (SELECT k, row_number() OVER (ORDER BY count(*) DESC, k) AS number FROM c WHERE k < 4 GROUP BY k)
+SELECT sample_id, CAST(j AS DOUBLE) + 0.0 AS alone, coalesce(CAST(number AS DOUBLE), 0.0) AS bundle FROM c LEFT JOIN kn USING (k)""")
+def bundled_categories(spark, sf_dir):
+    """Four columns of which a row has one at most become one feature; a column that is mostly non-zero stays."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tagwright.operators.bundling import fit_bundles
+
+    k = F.col("sample_id") % 7
+    rows = catalog(spark, sf_dir).select(
+        "sample_id", (F.col("sample_id") % 5).cast("double").alias("j"),
+        *[F.when(k == i, 1.5 + i).otherwise(0.0).alias(f"k{i}") for i in range(4)])
+    vectors = sc.assemble(rows, ["j", *[f"k{i}" for i in range(4)]], ["sample_id"])
+    made = fit_bundles(vectors, levels=1).apply(vectors).withColumn("v", vector_to_array("bundled"))
+    return rounded(made.select("sample_id", F.get("v", F.lit(0)).alias("alone"), F.get("v", F.lit(1)).alias("bundle")))
+
+
 @query("select_by_correlation_L1", _XY + """
 , c AS (SELECT 0 AS position, abs(corr(x1, y)) AS r FROM xy UNION ALL SELECT 1, abs(corr(x2, y)) FROM xy
   UNION ALL SELECT 2, abs(corr(CAST(sample_id % 50 AS DOUBLE), y)) FROM xy UNION ALL SELECT 3, abs(corr(CAST(sample_id AS DOUBLE), y)) FROM xy)
@@ -227,6 +245,18 @@ def ridge_stacking(spark, sf_dir):
     ), 3)
 
 
+@query("saved_stack_S9", with_tables("catalog") + "SELECT sample_id, TRUE AS same FROM catalog")
+def saved_stack(spark, sf_dir):
+    """A stack predicts the same after saving and loading."""
+    rows = _xy(spark, sf_dir, ["x1", "x2"])
+    stack = tr.fit_stack(rows, {"ridge": SMALL["ridge"], "en": lambda: mo.elastic_net()}, k=3)
+    path = scratch_path(spark, "stack")
+    bundle.save_stack(spark, stack, path)
+    before = stack.predict(rows).withColumnRenamed("price", "fitted")
+    both = before.join(bundle.load_stack(spark, path).predict(rows), "sample_id")
+    return both.select("sample_id", (F.col("fitted") == F.col("price")).alias("same"))
+
+
 @query("stacking_E5")
 def stacking(spark, sf_dir):
     """Out-of-fold predictions of each member and the blend over them."""

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tagwright.functions.text import url_file_name
 
+#: salts for each share of a hot key
+_SALTS = 8
+
 
 def with_answers(df: DataFrame, answers: DataFrame, key: str = "sample_id") -> DataFrame:
     return df.join(answers, key, "inner")
@@ -60,9 +63,10 @@ def left_join_unique(left: DataFrame, right: DataFrame, key: str, parts: int | N
 
     Null keys match nothing and never enter the shuffle. A key with more than
     one ``parts``-th of the rows (default: the session's shuffle partitions) is
-    dealt over as many salts as it holds such shares, and its right row is
-    copied to each. There are fewer such keys than ``parts``, so their table is
-    small by arithmetic. Salts go by a row's place among its task's rows,
+    dealt over ``_SALTS`` salts for each share it holds (salts fall on partitions
+    by hash, so many small ones fill them evenly), and its right row is copied to
+    each. There are fewer such keys than ``parts``, so their table is small by
+    arithmetic. Salts go by a row's place among its task's rows,
     ordered by a hash of all columns: rows that are equal get different salts,
     and a task that runs again gives the same ones.
     """
@@ -71,7 +75,7 @@ def left_join_unique(left: DataFrame, right: DataFrame, key: str, parts: int | N
     counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
     total = counts.agg(F.sum("count")).first()[0] or 0
     shares = [
-        (r[key], -(-r["count"] * parts // total))
+        (r[key], -(-r["count"] * parts * _SALTS // total))
         for r in counts.where(F.col("count") * parts > total).collect()
     ]
     kind = left.schema[key].dataType.simpleString()

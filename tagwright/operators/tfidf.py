@@ -206,8 +206,10 @@ def frequent_terms(
     """
     for size in tracked:
         listed, occurrences, off = heavy_terms(terms, size, name)
-        if not listed:
+        if not occurrences:
             return []
+        if not listed:
+            continue
         # first those that may be among twice as many as wanted, then all that are listed
         enough = sorted((n for _, n in listed), reverse=True)[: 2 * settings.max_features][-1] - off
         for least in (enough, 0):

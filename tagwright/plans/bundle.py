@@ -1,8 +1,10 @@
-"""Save and load a fitted plan: models as Spark ML folders, the rest as tables.
+"""Save and load a fitted plan or stack: models as Spark ML folders, the rest as tables.
 
-Everything goes into a fresh folder, whose name is written last: a failure on
-the way leaves the former bundle as it was. All settings of the plan travel,
-so a changed or custom plan predicts the same after loading.
+Everything goes into a fresh folder. What is written last names that folder and
+lists its files with their lengths and digests: a failure on the way leaves the
+former bundle as it was, and a folder that is not what was written is refused.
+All settings of the plan travel, so a changed or custom plan predicts the same
+after loading.
 """
 
 from __future__ import annotations
@@ -13,17 +15,78 @@ from dataclasses import asdict, fields
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from tagwright.operators.bundling import Bundles
 from tagwright.operators.scaling import Scale, VectorScale
 from tagwright.operators.tfidf import TfidfSettings, Vocabulary
 from tagwright.plans.presets import PricePlan
-from tagwright.plans.training import FittedFeatures, FittedPlan
+from tagwright.plans.training import FittedFeatures, FittedPlan, Stack
 
 
 #: what of a plan is not a plain value
 _APART = ("tfidf", "members", "weights")
 
 
+class BundleError(ValueError):
+    """A saved folder is not what was written."""
+
+
+def _files(spark: SparkSession, path: str) -> list[list]:
+    """Name, length and digest of every file below a folder; tasks read them."""
+    name = path.rsplit("/", 1)[-1] + "/"
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
+        F.substring_index("path", name, -1).alias("name"), "length", F.sha2("content", 256).alias("digest"))
+    return sorted([r["name"], r["length"], r["digest"]] for r in found.collect())
+
+
+def _finish(spark: SparkSession, root: str, version: str) -> None:
+    about = json.dumps({"version": version, "files": _files(spark, f"{root}/{version}")})
+    spark.createDataFrame([(about,)], "about string").coalesce(1).write.mode("overwrite").text(f"{root}/current")
+
+
+def _opened(spark: SparkSession, root: str) -> str:
+    """The folder of the current version, after a look at all its files."""
+    root = root.rstrip("/")
+    current = json.loads(spark.read.text(f"{root}/current").first()["value"])
+    path = f"{root}/{current['version']}"
+    if _files(spark, path) != current["files"]:
+        raise BundleError(f"{path} is not what was saved: files are missing, added or changed")
+    return path
+
+
+def _save_models(models: dict, path: str) -> None:
+    for name, model in models.items():
+        PipelineModel([model]).write().overwrite().save(f"{path}/{name}")
+
+
+def _load_models(names: list[str], path: str) -> dict:
+    return {name: PipelineModel.load(f"{path}/{name}").stages[0] for name in names}
+
+
+def _write_about(spark: SparkSession, about: dict, path: str) -> None:
+    spark.createDataFrame([(json.dumps(about),)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+
+def save_stack(spark: SparkSession, stack: Stack, path: str) -> None:
+    """Members, the model that blends them, and the predictions it learned from."""
+    root, version = path.rstrip("/"), f"v-{uuid.uuid4().hex}"
+    path = f"{root}/{version}"
+    _save_models(stack.members, f"{path}/members")
+    _save_models({"blender": stack.blender}, path)
+    stack.out_of_fold.write.parquet(f"{path}/out_of_fold")
+    _write_about(spark, {"members": list(stack.members)}, path)
+    _finish(spark, root, version)
+
+
+def load_stack(spark: SparkSession, path: str) -> Stack:
+    path = _opened(spark, path)
+    about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+    return Stack(
+        _load_models(about["members"], f"{path}/members"), _load_models(["blender"], path)["blender"],
+        spark.read.parquet(f"{path}/out_of_fold"))
+
+
 def save(spark: SparkSession, fitted: FittedPlan, path: str) -> None:
     f, root = fitted.features, path.rstrip("/")
     version = f"v-{uuid.uuid4().hex}"
@@ -42,12 +105,13 @@ def save(spark: SparkSession, fitted: FittedPlan, path: str) -> None:
         "plan_tfidf": asdict(fitted.plan.tfidf), "weights": fitted.plan.weights, "preset": f.preset, "rows": f.vocabulary.rows,
         "tfidf": {**asdict(f.vocabulary.settings), "stop_words": f.vocabulary.settings.stop_list}, "image": f.image, "models": list(fitted.models),
         "status": fitted.status, "best_params": fitted.best_params, "feature_names": f.names,
+        "bundles": fitted.bundles and {n: getattr(fitted.bundles, n) for n in ("output", "alone", "bundles", "levels")},
     }
-    spark.createDataFrame([(json.dumps(about),)], "about string").coalesce(1).write.mode(
-        "overwrite").text(f"{path}/about")
-    for name, model in fitted.models.items():
-        PipelineModel([model]).write().overwrite().save(f"{path}/models/{name}")
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(f"{root}/current")
+    _write_about(spark, about, path)
+    _save_models(fitted.models, f"{path}/models")
+    if fitted.bundles:
+        fitted.bundles.stages.write().overwrite().save(f"{path}/bundles")
+    _finish(spark, root, version)
 
 
 def _tfidf(saved: dict) -> TfidfSettings:
@@ -59,7 +123,7 @@ def _tfidf(saved: dict) -> TfidfSettings:
 
 def load(spark: SparkSession, path: str) -> FittedPlan:
     """The plan as saved; it has no member factories, its members are fitted."""
-    path = f"{path.rstrip('/')}/{spark.read.text(f'{path}/current').first()['value']}"
+    path = _opened(spark, path)
     about = json.loads(spark.read.text(f"{path}/about").first()["value"])
     settings = _tfidf(about["tfidf"])
     plan = PricePlan(
@@ -82,10 +146,10 @@ def load(spark: SparkSession, path: str) -> FittedPlan:
         ),
         tuple(about["image"]) if about["image"] else None,
     )
-    models = {
-        name: PipelineModel.load(f"{path}/models/{name}").stages[0] for name in about["models"]
-    }
+    bundles = about["bundles"] and Bundles(
+        PipelineModel.load(f"{path}/bundles"), about["bundles"]["output"], tuple(about["bundles"]["alone"]),
+        tuple(map(tuple, about["bundles"]["bundles"])), about["bundles"]["levels"])
     return FittedPlan(
-        plan, features, models,
-        [tuple(s) for s in about["status"]], about["best_params"],
+        plan, features, _load_models(about["models"], f"{path}/models"),
+        [tuple(s) for s in about["status"]], about["best_params"], bundles,
     )

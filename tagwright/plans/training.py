@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Model
+from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.operators import scaling as sc
+from tagwright.operators.bundling import Bundles, fit_bundles
 from tagwright.operators.ensemble import NoModelError, pick_weights, to_long
 from tagwright.operators.gram import gram, moments
 from tagwright.operators.metrics import score
@@ -25,6 +28,8 @@ from tagwright.sources.catalog_csv import check_not_empty
 from tagwright.workspace import materialize
 
 KEY, TEXT, PRICE = "sample_id", "catalog_content", "price"
+#: the column that trees read where sparse columns are bundled
+BUNDLED = "bundled"
 #: folds and grid points fitted at the same time
 PARALLEL_FITS = 4
 
@@ -127,6 +132,59 @@ def tune(estimator: Estimator, folded: DataFrame, values: dict[str, list], k: in
     return fitted.bestModel, {n: v for n, v in best.items() if n != "mae"}, scores
 
 
+def _reading(estimator: Estimator, columns: Sequence[str]) -> Estimator:
+    """Trees read the bundled column where there is one."""
+    if BUNDLED in columns and estimator.hasParam("maxBins") and estimator.getFeaturesCol() == "features":
+        return estimator.setFeaturesCol(BUNDLED)
+    return estimator
+
+
+def first_trees(model: Model, count: int) -> Model:
+    """The forest or boosting of a fitted one's first ``count`` trees."""
+    context, java = SparkContext._active_spark_context, model._java_obj
+    ml = context._jvm.org.apache.spark.ml.regression
+    trees = context._gateway.new_array(ml.DecisionTreeRegressionModel, count)
+    for i, tree in enumerate(java.trees()[:count]):
+        trees[i] = tree
+    if isinstance(model, GBTRegressionModel):
+        weights = context._gateway.new_array(context._jvm.double, count)
+        for i, weight in enumerate(model.treeWeights[:count]):
+            weights[i] = weight
+        made = GBTRegressionModel(ml.GBTRegressionModel(model.uid, trees, weights, model.numFeatures))
+    else:
+        made = RandomForestRegressionModel(ml.RandomForestRegressionModel(model.uid, trees, model.numFeatures))
+    return made.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
+def tune_trees(estimator: Estimator, folded: DataFrame, values: dict[str, list], k: int = 3):
+    """As :func:`tune`, where points that differ in their number of trees share one fit.
+
+    A boosting of n rounds holds those of fewer: its first rounds are what a fit of fewer gives. A forest's first trees
+    are a forest of fewer, of other draws than a fit of its own.
+    """
+    count = "maxIter" if estimator.hasParam("maxIter") else "numTrees"
+    sizes = sorted(values.get(count, [estimator.getOrDefault(count)]))
+    others = grid_of(estimator, {n: v for n, v in values.items() if n != count})
+    found: dict[tuple[int, int], list[float]] = {}
+    for i, point in enumerate(others):
+        for fold in range(k):
+            seen, held = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+            model = estimator.copy({**point, estimator.getParam(count): sizes[-1]}).fit(seen)
+            wide = held.select("label", model.getFeaturesCol())
+            for n in sizes:
+                some = first_trees(model, n)
+                some = some.setPredictionCol(f"prediction_{n}")
+                wide = some.transform(wide)
+            row = wide.agg(*[F.avg(F.abs(F.col(f"prediction_{n}") - F.col("label"))).alias(str(n)) for n in sizes]).first()
+            for n in sizes:
+                found.setdefault((i, n), []).append(row[str(n)])
+    scores = [
+        {**{p.name: v for p, v in others[i].items()}, count: n, "mae": sum(maes) / k} for (i, n), maes in found.items()
+    ]
+    best = {n: v for n, v in min(scores, key=lambda s: s["mae"]).items() if n != "mae"}
+    return estimator.copy({estimator.getParam(n): v for n, v in best.items()}).fit(folded), best, scores
+
+
 def fit_members(
     train: DataFrame, members: dict[str, MemberFactory], folds: int | None = 3, strict: bool = False
 ) -> tuple[dict[str, Model], list[tuple]]:
@@ -139,11 +197,11 @@ def fit_members(
     for name, make in members.items():
         try:
             if folds:
-                cv = cross_validate(make(), train, folds)
+                cv = cross_validate(_reading(make(), train.columns), train, folds)
                 models[name] = cv.bestModel
                 status.append((name, 1, float(cv.avgMetrics[0]), 2.0 * float(cv.stdMetrics[0]), None))
             else:
-                models[name] = make().fit(train)
+                models[name] = _reading(make(), train.columns).fit(train)
                 status.append((name, 1, None, None, None))
         except Exception as exc:
             if strict:
@@ -212,6 +270,8 @@ class FittedPlan:
     models: dict[str, Model]
     status: list[tuple] = field(default_factory=list)
     best_params: dict[str, dict] = field(default_factory=dict)
+    #: of the sparse columns, for the models that read them bundled
+    bundles: Bundles | None = None
 
     def report(self, spark) -> DataFrame:
         return spark.createDataFrame(self.status, STATUS_SCHEMA)
@@ -220,7 +280,10 @@ class FittedPlan:
         """``keep`` and one column ``prediction_<model>`` per member, in one pass."""
         if not self.models:
             raise NoModelError("no models available for prediction")
-        return predict_members(self.models, self.features.vectors(df, keep), keep)
+        vectors = self.features.vectors(df, keep)
+        if self.bundles and any(m.getFeaturesCol() == BUNDLED for m in self.models.values()):
+            vectors = self.bundles.apply(vectors)
+        return predict_members(self.models, vectors, keep)
 
     def predict(self, df: DataFrame, keep: Sequence[str] = (KEY,)) -> DataFrame:
         """``keep`` and the blended, bounded ``price``."""
@@ -252,11 +315,12 @@ def predict_members(models: dict[str, Model], vectors: DataFrame, keep: Sequence
 def train(
     df: DataFrame, plan: PricePlan | str, *, members: dict[str, MemberFactory] | None = None,
     folds: int | None = 3, image: tuple[str, int] | None = None,
-    tuning: dict[str, dict[str, list]] | None = None, tasks: int | None = None, strict: bool = False,
+    tuning: dict[str, dict[str, list]] | None = None, tasks: int | None = None, strict: bool = False, bundle: bool = True,
 ) -> FittedPlan:
     """Fit a plan on a labelled catalog.
 
     ``members`` replaces the plan's models, ``tuning`` maps members to grids.
+    With ``bundle`` trees read sparse columns bundled, a tenth of the features (``operators/bundling.py``).
     ``tasks`` deals the rows over so many tasks first: about as many as cores
     for trees, whose histograms grow with the tasks, and for a table in one
     small file. A member that fails is reported, or raised if ``strict``.
@@ -267,16 +331,23 @@ def train(
         df = df.repartition(tasks, KEY)
     fitted, table = fit_features(df, plan, image)
     if folds or tuning:
-        table = materialize(contiguous_folds(table, folds or 3, KEY), "training")
+        table = contiguous_folds(table, folds or 3, KEY)
+    bundles = None
+    if bundle and any(make().hasParam("maxBins") for make in (members or plan.members).values()):
+        bundles = fit_bundles(table, output=BUNDLED)
+        table = bundles.apply(table)
+    if folds or tuning or bundles:
+        table = materialize(table, "training")
     models, status = fit_members(table, members or plan.members, folds, strict)
     if not models:
         raise NoModelError(f"no member could be fitted: {[(s[0], s[4]) for s in status]}")
     best = {}
     for name, grid in (tuning or {}).items():
         if name in models:
-            estimator = (members or plan.members)[name]()
-            models[name], best[name], _ = tune(estimator, table, grid, folds or 3)
-    return FittedPlan(plan, fitted, models, status, best)
+            estimator = _reading((members or plan.members)[name](), table.columns)
+            search = tune_trees if {"maxIter", "numTrees"} & set(grid) else tune
+            models[name], best[name], _ = search(estimator, table, grid, folds or 3)
+    return FittedPlan(plan, fitted, models, status, best, bundles)
 
 
 # ------------------------------------------------------------------ stacking
