@@ -145,11 +145,11 @@ def load(spark: SparkSession, path: str) -> FittedPlan:
             tuple((r["idx"], r["centre"]) for r in slots if r["centre"] is not None),
         ),
         tuple(about["image"]) if about["image"] else None,
+        about["bundles"] and Bundles(
+            PipelineModel.load(f"{path}/bundles"), about["bundles"]["output"], tuple(about["bundles"]["alone"]),
+            tuple(map(tuple, about["bundles"]["bundles"])), about["bundles"]["levels"]),
     )
-    bundles = about["bundles"] and Bundles(
-        PipelineModel.load(f"{path}/bundles"), about["bundles"]["output"], tuple(about["bundles"]["alone"]),
-        tuple(map(tuple, about["bundles"]["bundles"])), about["bundles"]["levels"])
     return FittedPlan(
         plan, features, _load_models(about["models"], f"{path}/models"),
-        [tuple(s) for s in about["status"]], about["best_params"], bundles,
+        [tuple(s) for s in about["status"]], about["best_params"],
     )

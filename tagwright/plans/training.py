@@ -44,6 +44,8 @@ class FittedFeatures:
     sparse: sc.VectorScale
     #: an array column of the input to append, and its width
     image: tuple[str, int] | None = None
+    #: of the sparse columns, for the models that read them bundled
+    bundles: Bundles | None = None
 
     @property
     def names(self) -> list[str]:
@@ -270,8 +272,10 @@ class FittedPlan:
     models: dict[str, Model]
     status: list[tuple] = field(default_factory=list)
     best_params: dict[str, dict] = field(default_factory=dict)
-    #: of the sparse columns, for the models that read them bundled
-    bundles: Bundles | None = None
+
+    @property
+    def bundles(self) -> Bundles | None:
+        return self.features.bundles
 
     def report(self, spark) -> DataFrame:
         return spark.createDataFrame(self.status, STATUS_SCHEMA)
@@ -332,11 +336,10 @@ def train(
     fitted, table = fit_features(df, plan, image)
     if folds or tuning:
         table = contiguous_folds(table, folds or 3, KEY)
-    bundles = None
     if bundle and any(make().hasParam("maxBins") for make in (members or plan.members).values()):
-        bundles = fit_bundles(table, output=BUNDLED)
-        table = bundles.apply(table)
-    if folds or tuning or bundles:
+        fitted.bundles = fit_bundles(table, output=BUNDLED)
+        table = fitted.bundles.apply(table)
+    if folds or tuning or fitted.bundles:
         table = materialize(table, "training")
     models, status = fit_members(table, members or plan.members, folds, strict)
     if not models:
@@ -347,7 +350,7 @@ def train(
             estimator = _reading((members or plan.members)[name](), table.columns)
             search = tune_trees if {"maxIter", "numTrees"} & set(grid) else tune
             models[name], best[name], _ = search(estimator, table, grid, folds or 3)
-    return FittedPlan(plan, fitted, models, status, best, bundles)
+    return FittedPlan(plan, fitted, models, status, best)
 
 
 # ------------------------------------------------------------------ stacking
