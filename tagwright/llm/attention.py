@@ -18,6 +18,8 @@ _SHAPES = {
     "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "o": (WIDTH, WIDTH),
     "w1": (WIDTH, INNER), "w2": (INNER, WIDTH), "u": (WIDTH, CLASSES), "b": (CLASSES,),
 }
+#: logits above it are moved down before powers are taken
+_LARGEST = 60.0
 _MASK = np.where(np.tri(CONTEXT, dtype=bool), 0, -1e9).astype(np.float32)
 
 Params = dict[str, np.ndarray]
@@ -39,7 +41,8 @@ def flat(params: Params) -> np.ndarray:
 
 def shaped(values: np.ndarray) -> Params:
     sizes = np.cumsum([int(np.prod(s)) for s in _SHAPES.values()])[:-1]
-    return {n: part.reshape(s).astype(np.float32) for (n, s), part in zip(_SHAPES.items(), np.split(values, sizes))}
+    values = values.astype(np.float32, copy=False)
+    return {n: part.reshape(s) for (n, s), part in zip(_SHAPES.items(), np.split(values, sizes))}
 
 
 def _forward(p: Params, lead: np.ndarray, tail: np.ndarray):
@@ -63,18 +66,27 @@ def _forward(p: Params, lead: np.ndarray, tail: np.ndarray):
     return x, q, k, v, a, c, h, g, h + g @ p["w2"]
 
 
+def _output(p: Params, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The last layer with a one behind, its logits, and what was taken off them to keep powers in range."""
+    ones = np.ones((len(last), WIDTH + 1), last.dtype)
+    ones[:, :WIDTH] = last
+    logits = ones @ np.concatenate([p["u"], p["b"][None]])
+    off = np.zeros(len(last), last.dtype)
+    if len(logits) and logits.max() > _LARGEST:
+        off = logits.max(1)
+        logits -= off[:, None]
+    return ones, logits, off
+
+
 def log_probabilities(p: Params, lead: np.ndarray, tail: np.ndarray, target: np.ndarray, skip: np.ndarray) -> np.ndarray:
     """Natural logarithms of the targets' probabilities; the first ``skip`` places
     of each window are context alone and left out, in the order of the rest."""
     last = _forward(p, lead, tail)[-1]
     scored = np.arange(lead.shape[1]) >= skip[:, None]
-    logits = last[scored.reshape(-1)] @ p["u"]
-    logits += p["b"]
+    _, logits, _ = _output(p, last[scored.reshape(-1)])
     hit = logits[np.arange(len(logits)), target[scored]]
-    top = logits.max(1)
-    logits -= top[:, None]
     np.exp(logits, out=logits)
-    return hit - top - np.log(logits.sum(1))
+    return hit - np.log(logits.sum(1))
 
 
 def gradient(p: Params, lead: np.ndarray, tail: np.ndarray, target: np.ndarray, weight: np.ndarray) -> Params:
@@ -82,14 +94,13 @@ def gradient(p: Params, lead: np.ndarray, tail: np.ndarray, target: np.ndarray,
     x, q, k, v, a, c, h, g, last = _forward(p, lead, tail)
     # places without a target have no share in the output layer
     some = np.flatnonzero(weight)
-    logits = last[some] @ p["u"]
-    logits += p["b"]
-    logits -= logits.max(-1, keepdims=True)
+    ones, logits, _ = _output(p, last[some])
     np.exp(logits, out=logits)
-    logits /= logits.sum(-1, keepdims=True)
-    logits[np.arange(len(some)), target.reshape(-1)[some]] -= 1
-    logits *= (weight.reshape(-1)[some] / max(1.0, weight.sum()))[:, None]
-    out = {"u": last[some].T @ logits, "b": logits.sum(0)}
+    share = weight.reshape(-1)[some] / np.float32(max(1.0, weight.sum()))
+    logits *= (share / logits.sum(1))[:, None]
+    logits[np.arange(len(some)), target.reshape(-1)[some]] -= share
+    both = ones.T @ logits
+    out = {"u": both[:WIDTH], "b": both[WIDTH]}
     d_last = np.zeros_like(last)
     d_last[some] = logits @ p["u"].T
     out["w2"] = g.T @ d_last
@@ -126,18 +137,18 @@ def train(
     rng, n = np.random.default_rng(seed), len(lead)
     once = -(-n // batch)
     steps = max(once, min(min_steps, max_epochs * once))
-    m = {k: np.zeros_like(v) for k, v in p.items()}
-    s = {k: np.zeros_like(v) for k, v in p.items()}
-    p, order, at = dict(p), rng.permutation(n), 0
+    # all weights in one array, which the model's arrays are views of
+    values = flat(p)
+    p, order, at = shaped(values), rng.permutation(n), 0
+    m, s = np.zeros_like(values), np.zeros_like(values)
     for step in range(1, steps + 1):
         if at >= n:
             order, at = rng.permutation(n), 0
         some = order[at : at + batch]
         at += batch
-        grad = gradient(p, lead[some], tail[some], target[some], weight[some])
+        g = flat(gradient(p, lead[some], tail[some], target[some], weight[some]))
         now = rate * (1 - 0.9 * step / steps)
-        for k, g in grad.items():
-            m[k] = 0.9 * m[k] + 0.1 * g
-            s[k] = 0.98 * s[k] + 0.02 * g * g
-            p[k] = p[k] - (now / (1 - 0.9**step)) * m[k] / (np.sqrt(s[k] / (1 - 0.98**step)) + 1e-6)
+        m += np.float32(0.1) * (g - m)
+        s += np.float32(0.02) * (g * g - s)
+        values -= np.float32(now / (1 - 0.9**step)) * m / (np.sqrt(s * np.float32(1 / (1 - 0.98**step))) + np.float32(1e-6))
     return p

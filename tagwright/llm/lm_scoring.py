@@ -41,7 +41,7 @@ from tagwright.workspace import materialize
 
 _PIECE = 3
 #: words a window moves on, and windows scored at once
-_MOVE, _BATCH = 24, 512
+_MOVE, _BATCH = 24, 128
 #: training windows of one trainer, and rounds of averaging
 _TRAINER, _ROUNDS = 25_000, 2
 #: training windows written at once
@@ -73,39 +73,58 @@ def _gather(batches):
 
 
 def _windows(chosen: np.ndarray):
-    """Consecutive windows over the whole of each text: every word and the end is a target once."""
+    """Consecutive windows over the whole of each text: every word and the end is a target once.
+
+    A window is packed into ``_PACKED`` bytes: whether it starts inside the text, whether the text ends in it, its
+    words with the one before it, their classes and their final pieces.
+    """
     def run(batches):
         for _, texts in chunks(batches):
             words = Words([lower(t) for t in texts])
             leads, tails = _pieces(words)
-            classes, tails = _classes(leads, chosen).astype(np.uint8), tails.astype(np.uint16)
-            rows = []
-            for a, n in zip(words.ptr[:-1].tolist(), np.diff(words.ptr).tolist()):
-                for at in range(0, n + 1, A.CONTEXT):
-                    # the word before the window, all words in it, and whether the text ends there
-                    some = slice(a + max(0, at - 1), a + min(n, at + A.CONTEXT))
-                    rows.append(bytes([at > 0, n < at + A.CONTEXT]) + classes[some].tobytes() + tails[some].tobytes())
-            for i in range(0, len(rows), _ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(rows[i : i + _ROWS], pa.binary())], names=["window"])
+            classes = np.append(_classes(leads, chosen), 0).astype(np.uint8)
+            tails = np.append(tails, 0).astype("<u2")
+            n = np.diff(words.ptr)
+            many = n // A.CONTEXT + 1
+            text = np.repeat(np.arange(len(n)), many)
+            at = (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)) * A.CONTEXT
+            first = words.ptr[:-1][text] + np.maximum(0, at - 1)
+            last = words.ptr[:-1][text] + np.minimum(n[text], at + A.CONTEXT)
+            for i in range(0, len(text), _ROWS):
+                some = slice(i, i + _ROWS)
+                place = first[some, None] + np.arange(A.CONTEXT + 1)
+                place = np.where(place < last[some, None], place, len(classes) - 1)
+                rows = np.empty((len(place), _PACKED), np.uint8)
+                rows[:, 0], rows[:, 1] = at[some] > 0, n[text][some] < at[some] + A.CONTEXT
+                rows[:, 2] = last[some] - first[some]
+                rows[:, 3 : 4 + A.CONTEXT] = classes[place]
+                rows[:, 4 + A.CONTEXT :] = tails[place].view(np.uint8)
+                offsets = np.arange(0, rows.size + 1, _PACKED, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(
+                    pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])], names=["window"])
 
     return run
 
 
+#: bytes of a packed window
+_PACKED = 3 + 3 * (A.CONTEXT + 1)
+
+
 def _unpack(windows: list[bytes]):
     """Inputs, targets and weights of training windows."""
-    n = len(windows)
-    lead, tail = np.full((n, A.CONTEXT), A.START), np.zeros((n, A.CONTEXT), np.int64)
-    target, weight = np.zeros((n, A.CONTEXT), np.int64), np.zeros((n, A.CONTEXT), np.float32)
-    for i, data in enumerate(windows):
-        inside, ends, size = data[0], data[1], (len(data) - 2) // 3
-        classes = np.frombuffer(data, np.uint8, size, 2).astype(np.int64)
-        tails = np.frombuffer(data, np.uint16, size, 2 + size).astype(np.int64)
-        after = np.append(classes[inside:], A.END)[: A.CONTEXT] if ends else classes[inside:]
-        before = classes if inside else np.append(A.START, classes)
-        before_tail = tails if inside else np.append(0, tails)
-        k = min(len(after), A.CONTEXT)
-        lead[i, :k], tail[i, :k], target[i, :k], weight[i, :k] = before[:k], before_tail[:k], after[:k], 1
-    return lead, tail, target, weight
+    rows = np.frombuffer(b"".join(windows), np.uint8).reshape(-1, _PACKED)
+    inside, ends, size = rows[:, 0].astype(bool), rows[:, 1].astype(np.int64), rows[:, 2].astype(np.int64)
+    classes = rows[:, 3 : 4 + A.CONTEXT].astype(np.int64)
+    tails = np.ascontiguousarray(rows[:, 4 + A.CONTEXT :]).view("<u2").astype(np.int64)
+    # from the start of a text on, inputs are the start and then the words
+    none = np.zeros((len(rows), 1), np.int64)
+    lead = np.where(inside[:, None], classes[:, :-1], np.hstack([none + A.START, classes[:, :-2]]))
+    tail = np.where(inside[:, None], tails[:, :-1], np.hstack([none, tails[:, :-2]]))
+    target = np.where(inside[:, None], classes[:, 1:], classes[:, :-1])
+    place, words = np.arange(A.CONTEXT), size - inside
+    target[(place == words[:, None]) & (ends[:, None] == 1)] = A.END
+    weight = place < np.minimum(words + ends, A.CONTEXT)[:, None]
+    return np.where(weight, lead, A.START), np.where(weight, tail, 0), np.where(weight, target, 0), weight.astype(np.float32)
 
 
 def _train(start: np.ndarray, rate: float):
@@ -250,10 +269,13 @@ def _score(params, chosen, tokens, distinct, n_ends: int, n_ranges: int, schema:
     return score
 
 
-def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(
+    docs: DataFrame, folds: int = 7, held_out: int = 2, key: str = "doc_id", text: str = "text", attend: bool = True,
+) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
-    Documents whose crc32(key) modulo ``folds`` is ``held_out`` teach nothing.
+    Documents whose crc32(key) modulo ``folds`` is ``held_out`` teach nothing. Without ``attend`` the classes have
+    their shares in training documents as probabilities, whatever stands before: what attention is measured against.
     """
     left_out = F.coalesce(crc_part(key, folds) == held_out, F.lit(False))
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), left_out.alias("held_out"))
@@ -272,14 +294,17 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, key: str = "
     shares[: len(chosen)] = [best[int(c)] for c in chosen.view(np.int64)]
     everything = gathered.agg(F.sum("number")).first()[0] or 0
     shares[A.OTHER], shares[A.END] = everything - shares.sum(), n_ends
-    params = A.flat(A.initial(shares))
+    params = A.initial(shares)
+    if not attend:
+        params["u"] *= 0
+    params = A.flat(params)
     trainers = max(1, -(-windows.count() // _TRAINER))
     # dealt by place in the written table, so that copies of one text do not meet in one trainer
     dealt = windows.withColumn("place", F.monotonically_increasing_id()).select(
         "window", F.pmod(F.xxhash64("place"), F.lit(trainers)).alias("trainer"),
         F.pmod(F.xxhash64("place", F.lit(1)), F.lit(_ROUNDS)).alias("turn"),
     )
-    for turn in range(_ROUNDS):
+    for turn in range(_ROUNDS if attend else 0):
         part = dealt.where(F.col("turn") == turn)
         mean = part.groupBy("trainer").applyInArrow(
             _train(params, 0.01 / (turn + 1)), "place long, value double"

@@ -112,3 +112,75 @@ def link_components(rows, percent=75):
                 x, y = find(i), find(j)
                 root[max(x, y)] = min(x, y)
     return {i: (len(s), find(i)) for i, s in sets}
+
+
+# ------------------------------------------------------------ conversations
+NODE = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def conversations(rows):
+    """conv_id -> its turns (role, text) in order; of equal numbers as the operator orders them, by a digest."""
+    found = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()
+            found.setdefault(c, []).append((turn is not None, turn or 0, digest, (role, text)))
+    return {c: [t[-1] for t in sorted(turns)] for c, turns in found.items()}
+
+
+def rebuilt(rows):
+    own = conversations(rows)
+    out = {}
+    for c, turns in own.items():
+        h = crc(c) % 6
+        out[c] = own.get(int(c / 100) * 100, [])[:h] + turns[h:]
+    return out
+
+
+def trie(convs):
+    """All nodes, as tuples in the order of :data:`NODE`."""
+    members, below = {}, {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    for path in members:
+        if path:
+            below.setdefault(path[:-1], []).append(path)
+    leaves, saved, out = {}, {}, []
+    for path in sorted(members, key=len, reverse=True):
+        under = below.get(path, [])
+        leaves[path] = sum(leaves[x] for x in under) or 1
+        saved[path] = sum(saved[x] for x in under) + ((len(members[path]) - 1) * len(path[-1][1]) if path else 0)
+    for path, m in members.items():
+        ends = ",".join(map(str, sorted(c for c in m if len(convs[c]) == len(path))))
+        parent = min(members[path[:-1]]) if path else None
+        out.append((min(m), len(path), parent, len(m), len(below.get(path, [])), leaves[path], saved[path], sha(ends)))
+    return sorted(out, key=str)
+
+
+# ------------------------------------------------------------ embeddings
+def check_whitened(got, rows, components=4):
+    """Compares with numpy's eigenvectors, up to the components' signs."""
+    import numpy as np
+
+    rows = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    width = max((len(v) for _, v in rows), default=0)
+    x = np.array([[math.floor(256 * float(c)) for c in v] + [0] * (width - len(v)) for _, v in rows], np.int64)
+    fit = np.unique(x, axis=0)
+    n, s = len(fit), fit.sum(0)
+    values, vectors = np.linalg.eigh(np.cov(fit.T, bias=True).reshape(width, width))
+    order = np.argsort(-values)[: min(components, int((values > 1e-9).sum()))]
+    want = (x - s / n) @ vectors[:, order] / np.sqrt(values[order])
+    assert len(got) == len(rows) * len(order)
+    found = {}
+    for r in got:
+        found.setdefault((r["vec_id"], r["component"]), []).append(r)
+    for j in range(len(order)):
+        mine = np.array([found[i, j + 1][0]["whitened"] for i, _ in rows])
+        flip = np.sign(mine @ want[:, j])
+        assert np.abs(mine - flip * want[:, j]).max() < 1e-7
+        assert abs(found[rows[0][0], j + 1][0]["explained"] / (values[order[j]] / values.sum()) - 1) < 1e-9
+    for (i, _), v in zip(rows, x):
+        r = found[i, 1][0]
+        assert r["deviation"] == int(((n * v - s) ** 2).sum()) and r["n"] == n and r["identity_error"] < 1e-9

@@ -27,7 +27,7 @@ def run(name, spark, sf_dir):
 
 
 def test_one_query_each():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 def test_lm_scoring(spark, sf_dir, rows):
@@ -118,3 +118,35 @@ def test_stages_keep_the_columns(spark, sf_dir):
         assert out.columns == docs.columns, name
         bad = out.where("n_chars <> length(text)") if name != "quality classifier" else out.limit(0)
         assert bad.count() == 0, name
+
+
+def test_conversation_trie(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
+    got = QUERIES["op11_conversation_trie"](spark, sf_dir).select(*plain.NODE).collect()
+    assert sorted(map(tuple, got), key=str) == plain.trie(plain.rebuilt(map(tuple, turns)))
+
+
+def test_embedding_whitening(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()
+    plain.check_whitened(QUERIES["op12_embedding_whitening"](spark, sf_dir).collect(), [(r.vec_id, r.embedding) for r in rows])
+
+
+def test_token_files(spark, sf_dir, rows):
+    got, start = run("op13_token_files", spark, sf_dir), 0
+    for i, t in sorted(rows):
+        ids = BYTE_BPE.encode(t or "", add_special_tokens=False).ids + [2]
+        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), crc)
+        start += len(ids)
+
+
+def test_attention_beats_its_bias(spark, sf_dir):
+    """What attention learned counts for more than the classes' shares alone, on texts that it did not see."""
+    from tagwright.llm import lm_scoring
+
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    full, bias = (
+        lm_scoring.score_texts(docs, attend=attend).where("held_out").selectExpr("sum(score) / sum(n_tokens)").first()[0]
+        for attend in (True, False)
+    )
+    assert full > bias + 0.1
