@@ -293,15 +293,21 @@ def write_ids(
         for batch in _gathered(batches):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             ids, bounds = words.encode(texts)
-            if out is None:
-                store.create_dir(at, recursive=True)
-                name = f"ids-{part:05d}-{seq:03d}-{uuid.uuid4().hex}.pfor"
-                out = Writer(store.open_output_stream(f"{at}/{name}"))
             ids = np.insert(ids, bounds[1:], np.uint32(end_id))
-            out.add(batch.column(0), np.diff(bounds) + 1, ids)
-            if out.n_ids >= file_ids:
-                yield done()
-                seq, out = seq + 1, None
+            sizes = np.diff(bounds) + 1
+            ends, first = np.concatenate([[0], np.cumsum(sizes)]), 0
+            while first < len(sizes):
+                if out is None:
+                    store.create_dir(at, recursive=True)
+                    name = f"ids-{part:05d}-{seq:03d}-{uuid.uuid4().hex}.pfor"
+                    out = Writer(store.open_output_stream(f"{at}/{name}"))
+                # whole documents, up to the one that fills the file
+                to = min(len(sizes), int(np.searchsorted(ends[1:], ends[first] + file_ids - out.n_ids)) + 1)
+                out.add(batch.column(0).slice(first, to - first), sizes[first:to], ids[ends[first] : ends[to]])
+                first = to
+                if out.n_ids >= file_ids:
+                    yield done()
+                    seq, out = seq + 1, None
         if out is not None:
             yield done()
 
