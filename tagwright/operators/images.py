@@ -7,8 +7,10 @@ links and files over tasks, to batch them, and to keep a failure to its row.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import quote
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,6 +104,19 @@ def map_batches(
     return df.select(*keep, column).mapInPandas(run, schema)
 
 
+def read_file(path: str) -> bytes | None:
+    """The bytes of a listed file, read where the row is; None if it is gone or may not be read."""
+    if path.startswith("file:") or "://" not in path:
+        store, place = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    else:
+        store, place = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    try:
+        with store.open_input_stream(place) as stream:
+            return stream.read()
+    except (FileNotFoundError, PermissionError):
+        return None
+
+
 def embed_images(
     files: DataFrame, embed: Callable[[list[bytes]], Sequence[Sequence[float]]],
     width: int = WIDTH, batch_size: int = 32, max_bytes: int = MAX_BYTES, min_side: int = MIN_SIDE,
@@ -115,7 +130,9 @@ def embed_images(
     ``unreadable``. Too large files are set aside by their length before their
     bytes are read. A batch that fails is done again file by file: only the
     files that fail alone, or give a vector of another width, are ``failed``.
+    Files without a column ``content`` are read from their ``path``, a batch at a time.
     """
+    column, read = ("content", bytes) if "content" in files.columns else ("path", read_file)
     zeros = [0.0] * width
 
     def guard(content: bytes | None) -> str:
@@ -158,7 +175,7 @@ def embed_images(
         for batch in batches:
             for at in range(0, len(batch), batch_size):
                 part = batch.iloc[at:at + batch_size]
-                done = run_batch([None if c is None else bytes(c) for c in part["content"]])
+                done = run_batch([None if c is None else read(c) for c in part[column]])
                 yield pd.DataFrame({
                     "file_name": part["file_name"].to_numpy(),
                     "embedding": [v for v, _ in done], "status": [s for _, s in done],
@@ -167,7 +184,7 @@ def embed_images(
     # plain comparisons reach the scan; a file of unknown length is read
     length = F.col("length")
     fits = files.where(length <= max_bytes).unionByName(files.where(length.isNull()))
-    done = fits.select("file_name", "content").mapInPandas(
+    done = fits.select("file_name", column).mapInPandas(
         run, "file_name string, embedding array<float>, status string"
     )
     oversized = files.where(length > max_bytes).select(
@@ -183,10 +200,20 @@ def attach_images(
 ) -> DataFrame:
     """From links and image files to rows with a vector: embed, write, attach.
 
-    Only files that a link names are embedded, each once; rows without a
-    usable image get zeros. Train on the result with ``image=("embedding", width)``.
+    Only files that a link names are embedded, each once (of several paths with one name the smallest); rows without
+    a usable image get zeros. Where ``files`` has a ``path``, files are chosen on the listing alone and read where they
+    are embedded, so no bytes are shuffled. Train on the result with ``image=("embedding", width)``.
     """
     names = with_file_name(df.select(link), link).select("file_name").distinct()
-    wanted = files.join(names, "file_name", "left_semi").dropDuplicates(["file_name"])
+    if "path" in files.columns:
+        listed = files.select("file_name", "path", "length").join(names, "file_name", "left_semi")
+        chosen = materialize(
+            listed.groupBy("file_name").agg(F.min(F.struct("path", "length")).alias("f")).select("file_name", "f.path", "f.length"),
+            "paths",
+        )
+        tasks = max(1, min(chosen.count(), 4 * df.sparkSession.sparkContext.defaultParallelism))
+        wanted = chosen.repartition(tasks)
+    else:
+        wanted = files.join(names, "file_name", "left_semi").dropDuplicates(["file_name"])
     vectors = materialize(embed_images(wanted, embed, width, **settings), "vectors")
     return attach_vectors(df, vectors, width, link)

@@ -293,3 +293,20 @@ def test_fetch_plan_counts_colliding_names(spark):
     df = spark.createDataFrame(links, "image_link string")
     plan = {r["file_name"]: (r["image_link"], r["links"]) for r in images.fetch_plan(df).collect()}
     assert plan == {"1.jpg": ("http://a/1.jpg", 2), "2.jpg": ("http://a/2.jpg", 1), "x": ("http://c/x/", 1)}
+
+
+def test_images_are_chosen_before_they_are_read(spark, tmp_path):
+    """Two folders with one name, a file that no link names, one that is gone: no exchange carries bytes."""
+    for folder, name, data in (("b", "x.jpg", b"22"), ("a", "x.jpg", b"1"), ("a", "no link.jpg", b"3"), ("a", "y z.jpg", b"4444")):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / name).write_bytes(data)
+    files = images.list_images(spark, f"{tmp_path}/*")
+    df = spark.createDataFrame([(1, "http://h/x.jpg"), (2, "http://h/y z.jpg"), (3, "http://h/none.jpg"), (4, None)], "sample_id long, image_link string")
+    lengths = lambda contents: [[float(len(c)), 0.0] for c in contents]
+    got = {r["sample_id"]: r["embedding"][0] for r in images.attach_images(df, files, lengths, 2).collect()}
+    assert got == {1: 1.0, 2: 4.0, 3: 0.0, 4: 0.0}
+    listing = files.select("file_name", "path", "length")
+    done = images.embed_images(listing, lengths, 2)
+    assert "content" not in plan_of(done)
+    gone = spark.createDataFrame([("q.jpg", f"file:{tmp_path}/a/q.jpg", 4)], "file_name string, path string, length long")
+    assert [r["status"] for r in images.embed_images(gone, lengths, 2).collect()] == ["unreadable"]
