@@ -43,8 +43,8 @@ _PRETOKEN = regex.compile(
 #: white space and what follows it up to the next white space: no pre-token crosses their ends
 _STRETCH = regex.compile(rf"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 _IS_SPACE = regex.compile(rf"[{_SPACES}]")
-#: encodings remembered by a worker, of pre-tokens and of pieces
-_REMEMBERED = 700_000
+#: encodings remembered by a worker, of pre-tokens and of pieces, and the characters of the longest of them
+_REMEMBERED, _LONGEST = 700_000, 64
 #: ids decoded at once
 _DECODE_IDS = 1 << 16
 
@@ -166,8 +166,10 @@ class Transducer:
     def _pretoken(self, text: str) -> bytes:
         ids = self._pretokens.get(text)
         if ids is None:
-            forget_late(self._pretokens, _REMEMBERED)
-            ids = self._pretokens[text] = np.array([*self.emit(text.encode())], "<u4").tobytes()
+            ids = np.array([*self.emit(text.encode())], "<u4").tobytes()
+            if len(text) <= _LONGEST:
+                forget_late(self._pretokens, _REMEMBERED)
+                self._pretokens[text] = ids
         return ids
 
     def _stretch(self, text: str) -> bytes:
@@ -194,10 +196,15 @@ class Transducer:
         first, *pieces = text.split(" ")
         known = self._after_space
         forget_late(known, _REMEMBERED)
+        long = []
         for piece in set(pieces):
             if piece not in known:
                 known[piece] = self._piece(piece, " ")
+                if len(piece) > _LONGEST:
+                    long.append(piece)
         found = [self._piece(first, ""), *map(known.__getitem__, pieces)]
+        for piece in long:
+            del known[piece]
         if None in found:
             return b"".join(map(self._stretch, _STRETCH.findall(text)))
         return b"".join(found)
