@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagwright.operators.metrics import mae
@@ -70,14 +70,10 @@ def performance_weights(scored: DataFrame, actual: str = "price") -> DataFrame:
     per_model = scored.groupBy("model").agg(
         mae(F.col("prediction"), F.col(actual)).alias("mae")
     ).withColumn("performance", F.lit(1.0) / (1.0 + F.col("mae")))
-    rows = per_model.collect()
-    if not rows:
+    if per_model.isEmpty():
         raise NoModelError("no models available for prediction")
-    total = sum(r["performance"] for r in rows)
-    return scored.sparkSession.createDataFrame(
-        [(r["model"], r["mae"], r["performance"] / total) for r in rows],
-        "model string, mae double, weight double",
-    )
+    share = F.col("performance") / F.sum("performance").over(Window.partitionBy())
+    return per_model.select("model", "mae", share.alias("weight"))
 
 
 def to_long(wide: DataFrame, members: list[str], keep: Sequence[str] = ("sample_id",)) -> DataFrame:
