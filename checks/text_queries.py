@@ -13,6 +13,7 @@ from tagwright.functions import text as tx
 from tagwright.functions.cleaning import clean
 from tagwright.operators import text_features as tf
 from tagwright.operators import tfidf as tv
+from tagwright.workspace import spread
 
 # --------------------------------------------------- SQL for single features
 _SQL_TEXT = {
@@ -376,7 +377,7 @@ def _doc_sql(s: tv.TfidfSettings) -> str:
 
 
 def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"), 2000)
 
 
 _TOKEN_SUMMARY = "CAST(len(t) AS BIGINT) AS tokens, md5(array_to_string(t, ' ')) AS digest"
@@ -477,12 +478,9 @@ def _add_vectors(name: str, s: tv.TfidfSettings) -> None:
 SELECT id AS sample_id, CAST(count(*) AS BIGINT) AS entries, {s6('sum(weight)')} AS total,
   {s6('sum(weight * (idx + 1))', 4)} AS moment FROM weights GROUP BY id""")
     def run(spark, sf_dir):
-        from pyspark.ml.functions import vector_to_array
-
         rows = catalog(spark, sf_dir)
         vocabulary = tv.fit_vocabulary(rows, s)
-        arrays = tv.tfidf_vectors(rows, vocabulary).select("sample_id", vector_to_array("tfidf").alias("v"))
-        cells = arrays.select("sample_id", F.posexplode("v").alias("idx", "weight")).where(F.col("weight") != 0)
+        cells = tv.vector_cells(tv.tfidf_vectors(rows, vocabulary), "tfidf", ["sample_id"])
         return cells.groupBy("sample_id").agg(
             F.count(F.lit(1)).alias("entries"), r6(F.sum("weight")).alias("total"),
             r6(F.sum(F.col("weight") * (F.col("idx") + 1)), 4).alias("moment"),
