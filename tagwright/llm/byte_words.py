@@ -42,7 +42,7 @@ def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return values[np.repeat((starts - (ends - sizes)).astype(kind), sizes) + np.arange(total, dtype=kind)]
 
 
-def _values(array: pa.Array) -> list[bytes]:
+def values_of(array: pa.Array) -> list[bytes]:
     """The values of a binary array that starts at its buffers' start."""
     data, at = array.buffers()[2].to_pybytes(), np.frombuffer(array.buffers()[1], np.int32, len(array) + 1).tolist()
     return [data[a:b] for a, b in zip(at, at[1:])]
@@ -153,7 +153,7 @@ class ByteWords:
         """Ids of all parts, and where each part starts."""
         pieces, first = self._pieces(parts)
         coded = pieces.filter(pa.array(~first)).dictionary_encode()
-        distinct = _values(coded.dictionary) if len(coded) else []
+        distinct = values_of(coded.dictionary) if len(coded) else []
         found = list(map(self.known.get, distinct))
         if None in found:
             new = [p for p, ids in zip(distinct, found) if ids is None]

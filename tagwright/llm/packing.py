@@ -25,12 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagwright.llm.byte_words import gather, values_of
 from tagwright.llm.frames import forget_late, held, map_texts
+from tagwright.llm.words import Words
 
 #: encodings remembered by a worker, 200 bytes each
 _REMEMBERED = 550_000
 #: stems encoded in one call
 _CALL = 5_000
+#: full stops and commas at a word's end that are a piece of their own
+_MARKS = 3
+_IS_MARK = np.zeros(256, bool)
+_IS_MARK[list(b".,")] = True
 
 
 def _ends_plainly(stem: bytes) -> bool:
@@ -43,9 +49,9 @@ class WordEncoder:
     """Ids by the ``tokenizers`` library, word by word.
 
     For vocabularies that drop white space and case, cut words where letters
-    meet marks, and never join across white space. Each distinct word is looked
-    up once; it is cut into a stem and the full stops and commas at its end, so
-    that each distinct stem is encoded once.
+    meet marks, and never join across white space. Words are lower-cased and
+    cut into a stem and the full stops and commas at its end. Each distinct
+    piece of a batch is looked up once, and each distinct stem encoded once.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -96,13 +102,47 @@ class WordEncoder:
             self._encode_each(rest[at : at + _CALL])
         known.update([(word, known[stem] + known[tail]) for word, stem, tail in cut])
 
+    @staticmethod
+    def _pieces(words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of words cut before the full stops and commas after a small letter, and each text's bounds among them.
+
+        More marks than ``_MARKS`` stay with their word.
+        """
+        marked, n = np.arange(len(words.starts)), np.zeros(len(words.starts), np.int64)
+        for k in range(1, _MARKS + 2):
+            at = words.ends[marked] - k
+            marked = marked[(at > words.starts[marked]) & _IS_MARK[words.data[at]]]
+            n[marked] = k
+        before = words.data[words.ends - n - 1]
+        n[(n > _MARKS) | (before < 97) | (before > 122)] = 0
+        cut = n > 0
+        after = np.cumsum(cut)
+        place = np.arange(len(n)) + after - cut
+        sizes = np.empty(len(n) + int(cut.sum()), np.int64)
+        sizes[place] = words.ends - words.starts - n
+        sizes[place[cut] + 1] = n[cut]
+        return sizes, words.ptr + np.concatenate([[0], after])[words.ptr]
+
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Each text's ids with the end id, as little-endian unsigned 32-bit integers."""
-        known, split = self.known, [t.split() for t in texts]
+        known, words = self.known, Words([t.lower() for t in texts])
+        size, ptr = self._pieces(words)
+        coded = words.array(size).dictionary_encode()
+        distinct = values_of(coded.dictionary) if len(coded) else []
         forget_late(known, _REMEMBERED)
-        self._learn([w for w in set().union(*split) if w not in known])
-        for words in split:
-            yield b"".join(map(known.__getitem__, words)) + self.end
+        found = list(map(known.get, distinct))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            self._learn([distinct[i] for i in new])
+            for i in new:
+                found[i] = known[distinct[i]]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        which = coded.indices.to_numpy()
+        sizes = size[which]
+        ids = gather(np.frombuffer(b"".join(found), "<u4"), (np.cumsum(size) - size)[which], sizes).tobytes()
+        at = 4 * np.concatenate([[0], np.cumsum(sizes)])[ptr]
+        for a, b in zip(at.tolist(), at[1:].tolist()):
+            yield ids[a:b] + self.end
 
 
 def _load(path: str, end_id: int) -> WordEncoder:

@@ -126,6 +126,14 @@ class Words:
         """The index of each word's text."""
         return np.repeat(np.arange(len(self.ptr) - 1), np.diff(self.ptr))
 
+    def array(self, sizes: np.ndarray) -> pa.Array:
+        """All words, one after the other, cut into pieces of these sizes."""
+        edge = np.zeros(len(self.data) + 1, np.int8)
+        edge[self.starts], edge[self.ends] = 1, -1
+        inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(self.data[inside])])
+
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
