@@ -355,6 +355,9 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, pe
     )
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "bitsa", "bitsb", "doca", "docb")
     left = materialize(pairs.mapInArrow(_may_link(percent), "a long, b long, doca long, docb long"), "pairs")
+    n_pairs = left.count()
+    if not n_pairs:
+        return left.select("a", "b")
     tiles = left.groupBy("a").agg(F.ceil(F.count("*") / _TILE).alias("tiles"))
     put = left.join(tiles, "a").withColumn("tile", F.pmod(F.xxhash64("b"), "tiles"))
     rows = put.select(F.col("a").alias("lead"), "tile", F.col("docb").alias("doc_id"), F.col("b").alias("class")).union(
@@ -370,7 +373,7 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, pe
         bits[row["word"]] = row["bits"]
     wanted = np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool)
     texts = docs.where("doc_id is not null").mapInArrow(_only(wanted), docs.schema)
-    n_groups = max(1, 2 * left.count() // _GROUP)
+    n_groups = max(1, 2 * n_pairs // _GROUP)
     group = F.pmod(F.xxhash64("lead", "tile"), F.lit(n_groups)).alias("part")
     return (
         rows.join(texts, "doc_id").select(group, "lead", "class", "text").groupBy("part")
@@ -409,15 +412,16 @@ def similar_components(
     ).dropDuplicates(["list", "flags"]).select("list", F.explode(F.arrays_zip("classes", "sizes")).alias("m")).groupBy(
         "list", F.col("m.classes").alias("class")).agg(F.max("m.sizes").alias("n"))
     tested = shared.where("a is not null").select("a", "b").distinct()
-    links = materialize(_verify(known, classes, tested, size, percent), "links")
+    roots = components(_verify(known, classes, tested, size, percent))
     # leaders first, then the most promising partners, then all that are still apart
     for best in (True, False):
-        pairs = _apart(members, classes, components(links), percent, best)
+        pairs = _apart(members, classes, roots, percent, best)
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "apart")
         tested = tested.union(pairs)
-        links = links.union(materialize(_verify(known, classes, pairs, size, percent), "links"))
+        # what was linked before stands as one star a component, so that only new links take rounds
+        linked = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(linked.union(_verify(known, classes, pairs, size, percent)))
 
-    roots = components(links)
     joined = classes.select("class", F.col("doc_id").alias("first")).join(
         roots.withColumnRenamed("node", "class"), "class", "left"
     ).withColumn("root", F.coalesce("root", "class"))
