@@ -3,19 +3,23 @@
 Tokens are lower-cased words and an end for each text. A word's subword ids are
 its leading piece (up to three bytes) and its final piece. The model reads the
 ids of the words before and predicts the class of the next word: one of the most
-frequent leading pieces, any other, or the end. Within its class a word has the
+frequent leading pieces, any other, or the end. It does so in two steps, the
+class's group and the class within it, so that a word needs the powers of one
+group and not of all classes. Within its class a word has the
 probability (c + 1) / (C + V + 1): c its count, C the tokens and V the distinct
 words of the class in training documents, 1 for all words never seen. The
 product is the word's probability, and a text's score the sum of logarithms.
 
 Long texts are cut into overlapping windows. Every token is scored once: the
-first places of a window that an earlier one has scored are context only.
+first places of a window that an earlier one has scored are context only, with
+keys and values but no query.
 Windows run in batches through masked attention.
 
 What comes from the corpus: counts of leading pieces, and counts of all words,
 over all training documents, and training windows over the whole of their texts.
 Windows are dealt to trainers of bounded size, whose parameters are averaged,
-twice; so training grows with the corpus and no task holds all of it. Word
+twice, half of the windows each time; so training grows with the corpus and no
+task holds all of it. A corpus with enough for one trainer is seen once. Word
 counts are packed lookups from block to block, never a broadcast.
 
 Null and empty texts are an end alone. Rows with a null key belong to the
@@ -26,8 +30,11 @@ gives an empty table.
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +49,7 @@ from tagwright.workspace import materialize
 _PIECE = 3
 #: words a window moves on, and windows scored at once
 _MOVE, _BATCH = 24, 128
-#: training windows of one trainer, and rounds of averaging
+#: training windows of one trainer in a round, and rounds of averaging
 _TRAINER, _ROUNDS = 25_000, 2
 #: training windows written at once
 _ROWS = 10_000
@@ -50,8 +57,19 @@ _ROWS = 10_000
 
 def _pieces(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the leading pieces, and ids of the final pieces (0 is for the start)."""
-    tails = words.hashes(_PIECE, tail=True) % np.uint64(A.TAILS)
-    return words.hashes(_PIECE), tails.astype(np.int64) + 1
+    return words.hashes(_PIECE), _tails(words)
+
+
+def _tails(words: Words, some: np.ndarray | None = None) -> np.ndarray:
+    return (words.hashes(_PIECE, tail=True, some=some) % np.uint64(A.TAILS)).astype(np.int64) + 1
+
+
+def _distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct hashes, a word of each, and where in them each word's is."""
+    values, at = np.unique(words.hashes(), return_inverse=True)
+    first = np.empty(len(values), np.int64)
+    first[at] = np.arange(len(at))
+    return values, first, at
 
 
 def _classes(leads: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -66,10 +84,9 @@ def _classes(leads: np.ndarray, chosen: np.ndarray) -> np.ndarray:
 def _gather(batches):
     """Counts of leading pieces."""
     for _, texts in chunks(batches):
-        values, counts = np.unique(_pieces(Words([lower(t) for t in texts]))[0], return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], names=["lead", "number"]
-        )
+        leads = Words([lower(t) for t in texts]).hashes(_PIECE)
+        found = pc.value_counts(pa.array(leads.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["lead", "number"])
 
 
 def _windows(chosen: np.ndarray):
@@ -127,6 +144,11 @@ def _unpack(windows: list[bytes]):
     return np.where(weight, lead, A.START), np.where(weight, tail, 0), np.where(weight, target, 0), weight.astype(np.float32)
 
 
+def _trainers(windows: int) -> int:
+    """Trainers of a round, which share its part of the windows."""
+    return max(1, -(-windows // (_ROUNDS * _TRAINER)))
+
+
 def _train(start: np.ndarray, rate: float):
     def run(table: pa.Table) -> pa.Table:
         # in the order of the bytes, so that a trainer run again gives the same
@@ -142,14 +164,13 @@ def _ask(chosen: np.ndarray, n_ranges: int):
     """A block's distinct words with their counts in training documents, and their classes."""
     def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         words, learn = _words(table)
-        leads, _ = _pieces(words)
-        values, first, at = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        values, first, at = _distinct(words)
         # a block's text, and so a word's number in it, is far below 2**32
         counts = np.bincount(at, learn[words.text_of()], len(values)).astype(np.uint32)
-        classes = _classes(leads[first], chosen).astype(np.uint8)
+        classes = _classes(words.hashes(_PIECE, some=first), chosen).astype(np.uint8)
         order, bounds = by_range(values, n_ranges)
         some = np.flatnonzero(np.diff(bounds))
-        cut = lambda x: pa.array([x[order][bounds[r] : bounds[r + 1]].tobytes() for r in some], pa.binary())
+        cut = lambda x: pa.array([part.tobytes() for part in np.split(x[order], bounds[1:-1]) if len(part)], pa.binary())
         return pa.table({
             "block": pa.array(np.full(len(some), key[0].as_py()), pa.int32()), "range": pa.array(some, pa.int32()),
             "values": cut(values), "counts": cut(counts), "classes": cut(classes),
@@ -201,6 +222,7 @@ def class_scores(params: A.Params, lead: np.ndarray, tail: np.ndarray, ptr: np.n
     Text ``i`` has the words ``ptr[i]`` to ``ptr[i + 1]``; its values, one more
     than its words, start at ``ptr[i] + i``.
     """
+    A.touch_buffers()
     size = np.diff(ptr) + 1
     starts = ptr[:-1] + np.arange(len(size))
     # inputs run one place behind targets: the start, then the words
@@ -220,9 +242,9 @@ def class_scores(params: A.Params, lead: np.ndarray, tail: np.ndarray, ptr: np.n
     skip = np.where(number == 0, 0, A.CONTEXT - _MOVE)
     length = np.minimum(A.CONTEXT, starts[text] + size[text] - at)
     out = np.zeros(total)
-    for width in (4, 8, 16, A.CONTEXT):
-        # short windows are not padded to the full context
-        of = np.flatnonzero((length <= width) & (length > (0 if width == 4 else width // 2)))
+    for width, later in product((4, 8, 16, A.CONTEXT), (False, True)):
+        # short windows are not padded to the full context; those of one batch have the same context
+        of = np.flatnonzero((length <= width) & (length > (0 if width == 4 else width // 2)) & ((number > 0) == later))
         for i in range(0, len(of), _BATCH):
             some = of[i : i + _BATCH]
             place = np.minimum(at[some, None] + np.arange(width), (starts + size - 1)[text[some], None])
@@ -241,9 +263,9 @@ def _score(params, chosen, tokens, distinct, n_ends: int, n_ranges: int, schema:
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         words, _ = _words(docs)
-        leads, tails = _pieces(words)
-        classes = _classes(leads, chosen)
-        values, at = np.unique(words.hashes(), return_inverse=True)
+        # what a word is read as, once for each distinct word
+        values, first, at = _distinct(words)
+        classes, tails = _classes(words.hashes(_PIECE, some=first), chosen)[at], _tails(words, first)[at]
         order, bounds = by_range(values, n_ranges)
         counts = np.zeros(len(values), np.int64)
         for r, data in zip(answers["range"].to_pylist(), answers["counts"].to_pylist()):
@@ -297,8 +319,9 @@ def score_texts(
     params = A.initial(shares)
     if not attend:
         params["u"] *= 0
+        params["groups"] *= 0
     params = A.flat(params)
-    trainers = max(1, -(-windows.count() // _TRAINER))
+    trainers = _trainers(windows.count())
     # dealt by place in the written table, so that copies of one text do not meet in one trainer
     dealt = windows.withColumn("place", F.monotonically_increasing_id()).select(
         "window", F.pmod(F.xxhash64("place"), F.lit(trainers)).alias("trainer"),

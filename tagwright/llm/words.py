@@ -92,9 +92,9 @@ class Words:
         self.starts, self.ends = edges[0::2], edges[1::2]
         self.ptr = np.searchsorted(self.starts, self.text_start)
 
-    def hashes(self, length: int | None = None, tail: bool = False) -> np.ndarray:
-        """One value per word; with ``length``, of its first bytes only, or of its last (``tail``)."""
-        starts, ends = self.starts, self.ends
+    def hashes(self, length: int | None = None, tail: bool = False, some: np.ndarray | None = None) -> np.ndarray:
+        """One value per word, or per word of ``some``; with ``length``, of its first bytes only, or of its last (``tail``)."""
+        starts, ends = (self.starts, self.ends) if some is None else (self.starts[some], self.ends[some])
         if length is not None and tail:
             starts = np.maximum(starts, ends - length)
         elif length is not None:
@@ -105,21 +105,21 @@ class Words:
         eight = np.ndarray(len(self.bytes) + 1, "<u8", padded, strides=(1,))
         out = mix(size.astype(np.uint64) * np.uint64(_BASE) + np.uint64(1))
         out = mix(out ^ (eight[starts] & _FIRST[np.minimum(size, 8)]))
-        some = np.flatnonzero(size > 8)
+        left = np.flatnonzero(size > 8)
         for k in range(1, _CHAIN):
-            if not len(some):
+            if not len(left):
                 return out
-            at = starts[some] + 8 * k
-            out[some] = mix(out[some] ^ (eight[at] & _FIRST[np.minimum(ends[some] - at, 8)]))
-            some = some[size[some] > 8 * (k + 1)]
-        if len(some):
-            blocks = -(-size[some] // 8) - _CHAIN
+            at = starts[left] + 8 * k
+            out[left] = mix(out[left] ^ (eight[at] & _FIRST[np.minimum(ends[left] - at, 8)]))
+            left = left[size[left] > 8 * (k + 1)]
+        if len(left):
+            blocks = -(-size[left] // 8) - _CHAIN
             first = np.cumsum(blocks) - blocks
             k = np.arange(blocks.sum()) - np.repeat(first, blocks) + _CHAIN
-            at = np.repeat(starts[some], blocks) + 8 * k
-            value = eight[at] & _FIRST[np.minimum(np.repeat(ends[some], blocks) - at, 8)]
+            at = np.repeat(starts[left], blocks) + 8 * k
+            value = eight[at] & _FIRST[np.minimum(np.repeat(ends[left], blocks) - at, 8)]
             value = mix(value ^ mix(k.astype(np.uint64) * np.uint64(_STEP)))
-            out[some] = mix(out[some] ^ np.add.reduceat(value, first))
+            out[left] = mix(out[left] ^ np.add.reduceat(value, first))
         return out
 
     def text_of(self) -> np.ndarray:
