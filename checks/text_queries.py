@@ -433,9 +433,7 @@ FROM raww""")
 def term_frequency(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     vocabulary = tv.fit_vocabulary(docs, ENHANCED, text="text", key="doc_id")
-    counts = tv.term_counts(tv.with_terms(docs, ENHANCED, "text", ["doc_id"]), "doc_id")
-    known = counts.join(F.broadcast(vocabulary.table(spark)), "term")
-    return known.select(
+    return tv.vocabulary_counts(docs, vocabulary, text="text", key="doc_id").select(
         "doc_id", F.col("idx").cast("long").alias("idx"), "tf",
         r6(tv.term_weight(F.col("tf"), True)).alias("sublinear"),
     )
